@@ -58,7 +58,7 @@ def base_failed(s: dict) -> bool:
 RULES: dict[str, Callable[[str, dict], bool]] = {
     "symbols": lambda t, s: 10 * s["n_symbols"] > s["n_words"],
     "word_length": lambda t, s: not 2 * s["n_words"] <= s["word_chars"] <= 14 * s["n_words"],
-    "duplicate_lines": lambda t, s: 10 * s["n_dup_lines"] > 3 * (t.count("\n") + 1),
+    "duplicate_lines": lambda t, s: 2 * s["n_dup_lines"] > t.count("\n") + 1,
     "few_letters": lambda t, s: 2 * len(_LETTER.findall(t)) < s["word_chars"],
     "shouting": lambda t, s: 2 * sum(map(str.isupper, t)) > s["word_chars"],
     "long_words": lambda t, s: 20 * sum(len(w) > 40 for w in t.split()) > s["n_words"],
