@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from facetlake.llm import bpe, exact_dedup, quality_rules, simhash
-from facetlake.llm.text import documents
+from facetlake.llm import bpe, exact_dedup, nbsvm, quality_rules, sentence_spans, simhash
+from facetlake.llm.text import documents, labels
+
+
+def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.span_dedup(documents(spark, sf_dir))
 
 
 def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +30,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return nbsvm.score_quality(docs, nbsvm.train(docs, labels(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
