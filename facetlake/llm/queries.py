@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from facetlake.llm import bpe, exact_dedup, nbsvm, packing, quality_rules, sentence_spans, simhash
+from facetlake.llm import bpe, exact_dedup, nbsvm, packing, quality_rules, sentence_spans, simhash, suffix_dedup
 from facetlake.llm.text import documents, labels
 
 
@@ -35,6 +35,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.score_quality(docs, nbsvm.train(docs, labels(spark, sf_dir)))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.substring_dedup(documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
