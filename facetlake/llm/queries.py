@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from facetlake.llm import bpe, exact_dedup, nbsvm, packing, quality_rules, sentence_spans, simhash, suffix_dedup
+from facetlake.llm import bpe, exact_dedup, nbsvm, packing, pii, quality_rules, sentence_spans, simhash, suffix_dedup
 from facetlake.llm.text import documents, labels
 
 
@@ -30,6 +30,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(documents(spark, sf_dir))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return nbsvm.score_quality(docs, nbsvm.train(docs, labels(spark, sf_dir)))
