@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from facetlake.llm import bpe, exact_dedup, nbsvm, packing, pii, quality_rules, sentence_spans, simhash, suffix_dedup
+from facetlake.llm import bpe, ctw, exact_dedup, nbsvm, packing, pii, quality_rules, sentence_spans, simhash, suffix_dedup
 from facetlake.llm.text import documents, labels
 
 
+def op1_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_texts(documents(spark, sf_dir))
+
+
 def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.span_dedup(documents(spark, sf_dir))
 
