@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.functions.storage import materialize
+from facetlake.llm.exact_dedup import drop_ids
 from facetlake.llm.text import id_text, map_texts
 from facetlake.operators.components import connected_components
 
@@ -171,5 +172,5 @@ def near_duplicates(docs: DataFrame, radius: int = 4, id_col: str = "doc_id", te
 
 def near_dedup(docs: DataFrame, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its class, with all their columns; rows with a null id stay."""
-    lost = near_duplicates(docs, radius, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(materialize(lost, "lost"), F.col(id_col).cast("long") == F.col("__lost"), "left_anti")
+    lost = near_duplicates(docs, radius, id_col, text_col).where("doc_id <> component_id").select("doc_id")
+    return drop_ids(docs, lost, id_col)
