@@ -18,9 +18,11 @@ import heapq
 import json
 import struct
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
 from facetlake.llm.text import id_text, map_texts
@@ -30,7 +32,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _WORDS = regex.compile(PATTERN)
 _CUT = regex.compile(r" (?=\S)")
 _UNSAFE = regex.compile(r" (?!\S)")
-MOST_PIECES, MOST_PAIRS = 400_000, 2_000_000
+_SIGNS = frozenset(".,;:!?")
+MOST_PIECES, PAIR_BITS = 900_000, 20
 
 
 def _byte_letters() -> dict[str, int]:
@@ -55,19 +58,18 @@ class Encoder:
         self.ranks = {(vocab[a], vocab[b]): (i, vocab[a + b]) for i, (a, b) in enumerate(merges)}
         self.bytes = {v: k for k, v in self.ids.items()} | {v: k.encode() for k, v in self.special.items()}
         self.size = max(self.bytes) + 1
-        self.longest = max(map(len, self.ids))
-        self.by_length = [dict() for _ in range(self.longest + 1)]
-        for k, v in self.ids.items():
-            self.by_length[len(k)][k] = v
-        self.first = [max((len(k) for k in self.ids if k[0] == b), default=1) for b in range(256)]
         self.single = [self.ids[bytes([b])] for b in range(256)]
         self.cut_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        own = {v: self.merge(k) == [v] for k, v in self.ids.items()}
+        # Where ids follow the order of merges, the installed core merges a word by the same rule, only faster.
+        self.exact = self.merge
+        if all(v == 256 + i for i, v in self.ranks.values()) and sorted(self.single) == list(range(256)):
+            self.exact = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=self.ids, special_tokens={})._core_bpe.encode_single_piece
+        own = {v: self.exact(k) == [v] for k, v in self.ids.items()}
         self.sound = np.zeros(self.size, bool)
         self.sound[[v for v, ok in own.items() if ok]] = True
-        self.pieces = Pieces(self)
-        self.good: np.ndarray = np.zeros(0, np.int64)
-        self.bad: np.ndarray = np.zeros(0, np.int64)
+        self.pieces = Pieces()
+        self.pairs = np.full(1 << PAIR_BITS, -1)
+        self._build_trie()
         self.words: dict[str, bytes] = {}
         self.stats = {"words": 0, "failed": 0}
 
@@ -96,89 +98,165 @@ class Encoder:
                 heapq.heappush(heap, (r[0], h, ids[h], ids[i]))
         return [x for x in ids if x >= 0]
 
-    def propose(self, word: bytes) -> list[int]:
-        """Greedy longest match."""
-        out, at, n, by_length, first = [], 0, len(word), self.by_length, self.first
-        while at < n:
-            for k in range(min(first[word[at]], n - at), 0, -1):
-                t = by_length[k].get(word[at : at + k])
-                if t is not None:
-                    out.append(t)
-                    at += k
-                    break
+    def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest match of all words at once: (index of the word, token), in order.
+
+        All words step through the trie of the vocabulary together, a byte at a time; a word that finds no next node
+        hands out its longest token so far and starts again behind it.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        text = np.frombuffer(b"".join(words) + b"\0", np.uint8).astype(np.int64)
+        end = np.cumsum(lengths)
+        start = end - lengths
+        who = np.flatnonzero(lengths)
+        at, stop, begin = start[who], end[who], start[who]
+        node, best, best_end = np.zeros(len(who), np.int64), np.zeros(len(who), np.int64), begin.copy()
+        owners, tokens = [], []
+        while len(who):
+            node = np.where(at < stop, self._next(node, text[at]), -1)
+            here = np.where(node >= 0, self.node_token[node], -1)
+            at = at + 1
+            longer = here >= 0
+            best = np.where(longer, here, best)
+            best_end = np.where(longer, at, best_end)
+            stuck = node < 0
+            if stuck.any():
+                owners.append(who[stuck])
+                tokens.append(best[stuck])
+                at = np.where(stuck, best_end, at)
+                node = np.where(stuck, 0, node)
+                left = at < stop
+                if not (left | ~stuck).all():
+                    keep = left | ~stuck
+                    who, at, stop, node, best, best_end = (x[keep] for x in (who, at, stop, node, best, best_end))
+        if not owners:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        owner, token = np.concatenate(owners), np.concatenate(tokens)
+        order = np.argsort(owner, kind="stable")
+        return owner[order], token[order]
+
+    def _build_trie(self) -> None:
+        """The vocabulary as a trie whose steps (node * 256 + byte -> node) are in one open hash table."""
+        child: dict[int, int] = {}
+        token = [-1]
+        for word, t in self.ids.items():
+            n = 0
+            for b in word:
+                m = child.get(n * 256 + b)
+                if m is None:
+                    child[n * 256 + b] = m = len(token)
+                    token.append(-1)
+                n = m
+            token[n] = t
+        self.node_token = np.array(token, np.int64)
+        keys, values = np.fromiter(child, np.int64, len(child)), np.fromiter(child.values(), np.int64, len(child))
+        bits = max(10, int(len(keys) * 4).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.step_key, self.step_to, self.probes = np.full((1 << bits) + 64, -1), np.full((1 << bits) + 64, -1), 0
+        while len(keys):
+            slot = self._slot(keys) + self.probes
+            free = self.step_key[slot] < 0
+            put, first = np.unique(slot[free], return_index=True)
+            self.step_key[put], self.step_to[put] = keys[free][first], values[free][first]
+            left = self.step_key[slot] != keys
+            keys, values = keys[left], values[left]
+            self.probes += 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def _next(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        key = node * 256 + byte
+        slot = self._slot(key)
+        out = np.where(self.step_key[slot] == key, self.step_to[slot], -1)
+        wait = np.flatnonzero((out < 0) & (self.step_key[slot] >= 0))
+        for k in range(1, self.probes):
+            if not len(wait):
+                break
+            s = slot[wait] + k
+            out[wait] = np.where(self.step_key[s] == key[wait], self.step_to[s], -1)
+            wait = wait[(out[wait] < 0) & (self.step_key[s] >= 0)]
         return out
 
     def compatible(self, pairs: np.ndarray) -> np.ndarray:
         """For each pair (left * size + right): whether merging the two tokens' bytes gives them back."""
-        inside = lambda table: table[np.minimum(np.searchsorted(table, pairs), len(table) - 1)] == pairs if len(table) else np.zeros(len(pairs), bool)
-        ok = inside(self.good)
-        unknown = np.unique(pairs[~(ok | inside(self.bad))])
-        if len(unknown):
-            verdict = np.fromiter((self.merge(self.bytes[p // self.size] + self.bytes[p % self.size]) == [p // self.size, p % self.size] for p in unknown.tolist()), bool, len(unknown))
-            if len(self.good) + len(self.bad) > MOST_PAIRS:
-                self.good = self.bad = np.zeros(0, np.int64)
-                self.good, self.bad = unknown[verdict], unknown[~verdict]
-                return self.compatible(pairs)
-            self.good = np.sort(np.concatenate([self.good, unknown[verdict]]))
-            self.bad = np.sort(np.concatenate([self.bad, unknown[~verdict]]))
-            ok = inside(self.good)
+        slot = ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIR_BITS)).view(np.int64)
+        found = self.pairs[slot]
+        ok = (found & 1).astype(bool)
+        new = np.flatnonzero(found >> 1 != pairs)
+        if len(new):
+            unknown, back = np.unique(pairs[new], return_inverse=True)
+            verdict = np.fromiter((self.exact(self.bytes[a] + self.bytes[b]) == [a, b] for a, b in zip((unknown // self.size).tolist(), (unknown % self.size).tolist(), strict=True)), bool, len(unknown))
+            ok[new] = verdict[back]
+            self.pairs[slot[new]] = pairs[new] << 1 | ok[new]  # the table holds one pair a slot; a pair pushed out is worked out again
         return ok
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
-        lists = [[t] if (t := self.ids.get(w)) is not None and self.sound[t] else self.propose(w) for w in words]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((t for x in lists for t in x), np.int64, int(lengths.sum()))
-        owner = np.repeat(np.arange(len(lists)), lengths)
-        failed = np.zeros(len(lists), bool)
-        failed[owner[~self.sound[flat]]] = True
+        owner, token = self.propose(words)
+        failed = np.zeros(len(words), bool)
+        failed[owner[~self.sound[token]]] = True
         inner = owner[1:] == owner[:-1]
         where = owner[1:][inner]
-        failed[where[~self.compatible(flat[:-1][inner] * self.size + flat[1:][inner])]] = True
+        failed[where[~self.compatible(token[:-1][inner] * self.size + token[1:][inner])]] = True
         self.stats["words"] += len(words)
         self.stats["failed"] += int(failed.sum())
+        coded = token.astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
+        out = [coded[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         for i in np.flatnonzero(failed).tolist():
-            lists[i] = self.merge(words[i])
-        return [struct.pack(f"<{len(x)}I", *x) for x in lists]
+            ids = self.exact(words[i])
+            out[i] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
 
-    def learn(self, pieces: list[str]) -> None:
+    def learn(self, pieces: list[str | bytes]) -> None:
         """Encode pieces that are not known yet, all their new words together."""
-        if len(self.pieces) + len(pieces) > MOST_PIECES:
-            self.pieces.clear()
-        if len(self.words) > MOST_PIECES:
+        if len(self.words) > MOST_PIECES // 4:
             self.words.clear()
-        split = [_WORDS.findall(p) for p in pieces]
-        new = list({w for x in split for w in x if w not in self.words})
-        self.words.update(zip(new, self.encode_words([w.encode() for w in new]), strict=True))
-        words = self.words
-        self.pieces.update((p, words[x[0]] if len(x) == 1 else b"".join(map(words.__getitem__, x))) for p, x in zip(pieces, split, strict=True))
-
-    def cut(self, text: str) -> list[str]:
-        """Pieces whose concatenation is the text and that are encoded independently."""
+        plain, ended, other = [], [], []
+        for p in pieces:  # letters alone are one word; most of the rest are letters and one sign
+            (plain if isinstance(p, str) and p.isalpha() else ended if isinstance(p, str) and p[-1:] in _SIGNS and p[:-1].isalpha() else other).append(p)
+        known, words = self.pieces, self.words
+        stems = {p[:-1] for p in ended}
+        plain += [p for p in stems.difference(plain) if p not in known]
+        split = [_WORDS.findall(_text(p)) for p in other]
+        new = list({w for x in split for w in x if w not in words}.union(x for x in _SIGNS if x not in words))
+        coded = self.encode_words([*(b" " + p.encode() for p in plain), *(w.encode() for w in new)])
+        known.update(zip(plain, coded, strict=False))
+        words.update(zip(new, coded[len(plain) :], strict=True))
+        known.update([(p, known[p[:-1]] + words[p[-1]]) for p in ended])
+        known.update((p, b"".join(map(words.__getitem__, x))) for p, x in zip(other, split, strict=True))
+
+    def cut(self, text: str) -> list[str | bytes]:
+        """Pieces that are encoded independently: the first as bytes, the others as text without the space before them."""
+        if not text:
+            return []
         if _UNSAFE.search(text):
             at = [0, *(m.start() for m in _CUT.finditer(text)), len(text)]
-            return [text[a:b] for a, b in zip(at, at[1:], strict=False) if a < b]
-        head, *rest = text.split(" ")
-        return [head, *map(" ".__add__, rest)] if head else [*map(" ".__add__, rest)]
+            head, *rest = (text[a:b] for a, b in zip(at, at[1:], strict=False))
+            rest = [x[1:] for x in rest]
+        else:
+            head, *rest = text.split(" ")
+        return [head.encode(), *rest] if head else rest
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts: list[list] = []
         for text in texts:
-            if self.cut_special and (found := self.cut_special.search(text)):
-                own, at = [], 0
-                while found:
-                    own += self.cut(text[at : found.start()]) if found.start() > at else []
-                    own.append(self.special[found.group()])
-                    at = found.end()
-                    found = self.cut_special.search(text, at)
-                parts.append(own + (self.cut(text[at:]) if at < len(text) else []))
-            else:
-                parts.append(self.cut(text) if text else [])
+            own, at = [], 0
+            while self.cut_special and (found := self.cut_special.search(text, at)):
+                own += self.cut(text[at : found.start()])
+                own.append(self.special[found.group()])
+                at = found.end()
+            parts.append(own + self.cut(text[at:]) if at else self.cut(text))
         known = self.pieces
         out: list[bytes] = [b""] * len(parts)
         for a in range(0, len(parts), 200):  # few enough that what they need fits the table at once
-            new = list({p for x in parts[a : a + 200] for p in x if p not in known and isinstance(p, str)})
+            need = {p for p in set(chain.from_iterable(parts[a : a + 200])) if not isinstance(p, int)}
+            new = [p for p in need if p not in known]
+            if len(known) + len(new) > MOST_PIECES:
+                known.clear()
+                new = list(need)
             if new:
                 self.learn(new)
             for i in range(a, min(a + 200, len(parts))):
@@ -191,16 +269,14 @@ class Encoder:
 
 
 class Pieces(dict):
-    """Piece -> ids; a special token's id stands for itself, a piece lost in between is encoded again."""
+    """Piece -> ids; a special token's id stands for itself."""
+
+    def __missing__(self, piece: int) -> bytes:
+        return struct.pack("<I", piece)
 
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
 
-    def __missing__(self, piece: str | int) -> bytes:
-        if isinstance(piece, int):
-            return struct.pack("<I", piece)
-        e = self.encoder
-        return b"".join(e.encode_words([w.encode() for w in _WORDS.findall(piece)]))
+def _text(piece: str | bytes) -> str:
+    return " " + piece if isinstance(piece, str) else piece.decode()
 
 
 @cache
