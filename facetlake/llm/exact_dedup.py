@@ -33,18 +33,21 @@ def drop_ids(docs: DataFrame, lost: DataFrame, id_col: str, max_bits: int = 1 <<
     A Bloom filter of the lost ids, never larger than ``max_bits``, decides which rows shuffle to be looked up; the rest pass straight through.
     """
     lost = materialize(lost.toDF("lost_id").where("lost_id is not null").select(F.col("lost_id").cast("long")).distinct(), "lost")
-    words, n = 1 << 10, lost.count()
-    while words * 4 < n and words * 64 < max_bits:
-        words *= 2
-    word, bits = _word_and_bits(F.col("lost_id"), words)
-    cells = lost.select(word.alias("word"), F.explode(bits).alias("bit"))
-    found = materialize(cells.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")), "filter")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("sha"))
-    flagged = flag_candidates(rows, found, words)
+    flagged = flag_ids(docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("sha")), lost, max_bits)
     kept = flagged.where("candidate").join(lost.hint("merge"), F.col("sha") == F.col("lost_id"), "left_anti")
     return flagged.where("not candidate").unionByName(kept).select("row.*")
 
 
+def flag_ids(rows: DataFrame, ids: DataFrame, max_bits: int = 1 << 27) -> DataFrame:
+    """Adds ``candidate``: false where the number in ``sha`` is certainly not in the one column of ``ids``."""
+    words, n = 1 << 10, ids.count()
+    while words * 4 < n and words * 64 < max_bits:
+        words *= 2
+    word, bits = _word_and_bits(F.col(ids.columns[0]), words)
+    cells = ids.select(word.alias("word"), F.explode(bits).alias("bit"))
+    return flag_candidates(rows, materialize(cells.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")), "filter"), words)
+
+
 def _word_and_bits(key: Column, words: int) -> tuple[Column, Column]:
     """The filter's word for a key, and the bits in that word."""
     h = F.xxhash64(key)
