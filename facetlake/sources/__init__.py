@@ -1 +1 @@
-"""See README.md for what lives here."""
+"""Readers: files on any Hadoop file system, typed tables, and the adapter contract for CAD kernels."""
