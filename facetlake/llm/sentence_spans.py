@@ -8,8 +8,7 @@ it covers is removed, all judged on the input.
 Spans are grouped after map-side counting; the repeated ones, written out, meet the spans in a join of plain exchanges, so that AQE
 splits a span that a large share of the documents holds.
 
-Defined cases: null text is empty; a text with fewer sentences than ``size`` keeps them all; rows that repeat an id count as one document
-of which the first of equal places stays in each; null ids sort first; an empty table gives an empty result; other columns are not read.
+Defined cases: null text is empty; a text with fewer sentences than ``size`` keeps them all; rows that repeat an id keep what they share with each other; null ids sort first; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,9 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.functions.storage import materialize
-from facetlake.llm.text import id_text, map_texts
+from facetlake.llm.exact_dedup import flag_ids
+from facetlake.llm.text import give_back, id_text, map_texts
 
-SIZE, MIN_WORDS = 3, 12
+SIZE, MIN_WORDS, NO_ID = 3, 12, -(1 << 63)
 _ENDS = regex.compile(r"(?:(?<=[.!?])[\x20\x09-\x0D]|\n|(?<=[。！？]))[\x20\x09-\x0D]*")
 
 
@@ -52,38 +52,49 @@ def span_hashes(text: str, size: int, min_words: int) -> list[tuple[int, bytes]]
 
 
 def spans(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, at, h) of every span of every document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("at", pa.int32()), ("h", pa.binary())])
+    """(doc_key, at, h1, h2, again) of every span of every document; ``again`` marks what the document itself holds further up."""
+    schema = pa.schema([("doc_key", pa.int64()), ("at", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                ids, at, h = [], [], []
-                for i, t in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    found = span_hashes(t, size, min_words)
-                    ids += [i] * len(found)
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                keys, at, hashes, again = [], [], [], []
+                for key, t in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    found, seen = span_hashes(t, size, min_words), set()
+                    keys += [key] * len(found)
                     at += [x for x, _ in found]
-                    h += [x for _, x in found]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int32()), pa.array(h, pa.binary())], schema=schema)
+                    hashes += [x for _, x in found]
+                    for _, x in found:
+                        again.append(x in seen)
+                        seen.add(x)
+                h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(at, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(again, pa.bool_())], schema=schema)
+        give_back()
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, at int, h binary")
+    rows = id_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_key"), "text")
+    return rows.mapInArrow(run, "doc_key long, at int, h1 long, h2 long, again boolean")
 
 
 def repeated_sentences(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, starts, from_ids): where non-first repeated spans start in a document, and the ids of up to one document a span that holds it first."""
-    all_spans = materialize(spans(docs, size, min_words, id_col, text_col), "spans")
-    first = materialize(all_spans.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at")), "repeated")
-    again = all_spans.join(first, "h").where(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("at") == F.col("first_at"))))
-    return again.groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias("starts"), F.sort_array(F.collect_set("first_id")).alias("from_ids"))
+    """(found_key, starts, from_ids): where non-first repeated spans start in a document, and the documents that hold them first."""
+    every = materialize(spans(docs, size, min_words, id_col, text_col), "spans")
+    once = every.where("not again")
+    first = materialize(once.groupBy("h1", "h2").agg(F.min("doc_key").alias("first_key"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
+    others = once.join(first.hint("merge"), ["h1", "h2"]).where("doc_key > first_key").select("doc_key", "at", "first_key")
+    found = others.unionAll(every.where("again").select("doc_key", "at", F.col("doc_key").alias("first_key")))
+    return found.groupBy(F.col("doc_key").alias("found_key")).agg(F.sort_array(F.collect_set("at")).alias("starts"), F.sort_array(F.collect_set("first_key")).alias("from_ids"))
 
 
 def span_dedup(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_sentences, n_removed, removed_chars, n_spans, from_ids, kept_sha256 and the remaining text."""
     found = materialize(repeated_sentences(docs, size, min_words, id_col, text_col), "found")
-    found = found.withColumnRenamed("doc_id", "found_id")
-    rows = id_text(docs, id_col, text_col)
-    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").drop("found_id")
+    rows = id_text(docs, id_col, text_col).withColumn("sha", F.coalesce("doc_id", F.lit(NO_ID)))
+    # Only documents that lose something are joined; the texts of the others do not move.
+    flagged = flag_ids(rows, found.select("found_key"))
+    some = flagged.where("candidate").join(found.hint("merge"), F.col("sha") == F.col("found_key"), "left").select("doc_id", "text", "starts", "from_ids")
+    none = F.lit(None)
+    rows = flagged.where("not candidate").select("doc_id", "text", none.cast("array<int>").alias("starts"), none.cast("array<long>").alias("from_ids")).unionAll(some)
 
     def work(ids: list, texts: list, starts: list, sources: list) -> dict:
         out: dict[str, list] = {k: [] for k in ("doc_id", "n_sentences", "n_removed", "removed_chars", "n_spans", "from_ids", "kept_sha256", "text")}
