@@ -14,10 +14,11 @@ are not learned from; of several labels for an id the smallest counts; without b
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetlake.llm.text import hash_mod, id_text, map_texts
+from facetlake.llm.text import give_back, hash_mod, id_text, map_texts, small_batches
 
 ORDERS, BITS, SAMPLE_ROWS = 4, 18, 4000
 
@@ -136,13 +137,14 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
 
 def keep_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model accepts, with all their columns, in one pass over the texts."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    import pyarrow as pa
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            yield batch.filter(pa.array([m.score(features(t or "")) >= 0.3 for t in texts], pa.bool_()))
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            yield batch.filter(pa.array([m.score(features(t.as_py() or "")) >= 0.3 for t in texts], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from facetlake.functions.storage import materialize
 from facetlake.llm.exact_dedup import drop_ids
-from facetlake.llm.text import id_text, map_texts
+from facetlake.llm.text import give_back, id_text, map_texts
 from facetlake.operators.components import connected_components
 
 TILE, DENSE = 8192, 1 << 18
@@ -155,6 +155,7 @@ def links(distinct: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
         for frame in frames:
             out = [e for x, y, same in zip(frame["left"], frame["right"], frame["same"], strict=True) for e in forest_of(np.asarray(x, np.int64).view(np.uint64), None if same else np.asarray(y, np.int64).view(np.uint64), radius)]
             yield pd.DataFrame({k: np.array([e[i] for e in out], np.uint64).view(np.int64) for i, k in enumerate("ab")})
+        give_back()
 
     return pairs.mapInPandas(run, "a long, b long")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -21,8 +23,26 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Hold Arrow batches to so many rows and bytes in this session: an executor's memory then does not depend on how long texts are."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(key).lower())
+        if not now or not 0 < int(now[1]) <= most:
+            spark.conf.set(key, str(most))
+
+
+def give_back() -> None:
+    """Return freed memory to the system at a task's end; worker processes live on and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns that the operators read, under fixed names; a null text counts as empty."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
@@ -49,5 +69,6 @@ def map_texts(docs: DataFrame, work: Callable[[list, list], dict], schema: str |
                 part = batch.slice(at, 2000)
                 out = work(*(c.to_pylist() for c in part.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        give_back()
 
     return chosen.mapInArrow(run, fields)
