@@ -33,7 +33,7 @@ _WORDS = regex.compile(PATTERN)
 _CUT = regex.compile(r" (?=\S)")
 _UNSAFE = regex.compile(r" (?!\S)")
 _SIGNS = frozenset(".,;:!?")
-MOST_PIECES, PAIR_BITS = 900_000, 20
+MOST_PIECES, PAIR_BITS = 500_000, 20
 
 
 def _byte_letters() -> dict[str, int]:
@@ -241,27 +241,30 @@ class Encoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts: list[list] = []
+        out: list[bytes] = []
+        for at in range(0, len(texts), 200):  # few enough that what they need fits the table at once
+            out += self._encode_some(texts[at : at + 200])
+        return out
+
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        parts, known, any_special = [], self.pieces, False
         for text in texts:
             own, at = [], 0
             while self.cut_special and (found := self.cut_special.search(text, at)):
                 own += self.cut(text[at : found.start()])
                 own.append(self.special[found.group()])
-                at = found.end()
+                at, any_special = found.end(), True
             parts.append(own + self.cut(text[at:]) if at else self.cut(text))
-        known = self.pieces
-        out: list[bytes] = [b""] * len(parts)
-        for a in range(0, len(parts), 200):  # few enough that what they need fits the table at once
-            need = {p for p in set(chain.from_iterable(parts[a : a + 200])) if not isinstance(p, int)}
-            new = [p for p in need if p not in known]
-            if len(known) + len(new) > MOST_PIECES:
-                known.clear()
-                new = list(need)
-            if new:
-                self.learn(new)
-            for i in range(a, min(a + 200, len(parts))):
-                out[i] = b"".join(map(known.__getitem__, parts[i]))
-        return out
+        need = set(chain.from_iterable(parts))
+        if any_special:
+            need = {p for p in need if not isinstance(p, int)}
+        new = [p for p in need if p not in known]
+        if len(known) + len(new) > MOST_PIECES:
+            known.clear()
+            new = list(need)
+        if new:
+            self.learn(new)
+        return [b"".join(map(known.__getitem__, own)) for own in parts]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids as little-endian unsigned 32-bit integers; broken UTF-8 becomes the replacement character."""

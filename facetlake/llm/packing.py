@@ -197,10 +197,12 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_
     rows = id_text(docs, id_col, text_col).withColumn("row_no", F.monotonically_increasing_id())
 
     def tokens(ids: list, texts: list, row_no: list) -> dict:
-        coded = [c + END.to_bytes(4, "little") for c in encoder(path or vocabulary_path()).encode_batch(texts)]
-        size = 4 * capacity
-        whole = [len(c) // size * size for c in coded]
-        return {"doc_id": ids, "row_no": row_no, "n": [len(c) // 4 for c in coded], "crcs": [[zlib.crc32(c[a : a + size]) for a in range(0, w, size)] for c, w in zip(coded, whole, strict=True)], "tail": [np.frombuffer(c[w:], "<u4").astype("<u2").tobytes() if (x := np.frombuffer(c[w:], "<u4")).max(initial=0) < 1 << 16 else c[w:] for c, w in zip(coded, whole, strict=True)]}
+        tokenizer, size = encoder(path or vocabulary_path()), 4 * capacity
+        coded = [c + END.to_bytes(4, "little") for c in tokenizer.encode_batch(texts)]
+        tails = [c[len(c) // size * size :] for c in coded]
+        if tokenizer.size <= 1 << 16:  # two bytes hold an id
+            tails = [np.frombuffer(t, "<u4").astype("<u2").tobytes() for t in tails]
+        return {"doc_id": ids, "row_no": row_no, "n": [len(c) // 4 for c in coded], "crcs": [[zlib.crc32(c[a : a + size]) for a in range(0, len(c) - size + 1, size)] for c in coded], "tail": tails}
 
     coded = materialize(map_texts(rows, tokens, "doc_id long, row_no long, n long, crcs array<long>, tail binary", ("row_no",)), "tokens")
     sizes = materialize(coded.groupBy("n").agg(F.count(F.lit(1)).alias("docs")), "lengths")
