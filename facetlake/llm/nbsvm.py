@@ -23,6 +23,11 @@ from facetlake.llm.text import give_back, hash_mod, id_text, map_texts, small_ba
 ORDERS, BITS, SAMPLE_ROWS = 4, 18, 4000
 
 
+def dot(a: np.ndarray, b: np.ndarray) -> float:
+    """Without BLAS, whose threads are of no use here."""
+    return float(np.einsum("i,i->", a, b))
+
+
 def features(text: str) -> np.ndarray:
     """Sorted distinct hashed n-grams of the text's bytes."""
     raw = np.frombuffer(text.encode(), np.uint8).astype(np.uint64)
@@ -43,8 +48,8 @@ class Model:
 
     def margin(self, x: np.ndarray) -> float:
         r = self.ratio[x]
-        size = float(np.sqrt(np.dot(r, r)))
-        return float(np.dot(r, self.weight[x])) / size + self.bias if size else self.bias
+        size = np.sqrt(dot(r, r))
+        return dot(r, self.weight[x]) / size + self.bias if size else self.bias
 
     def score(self, x: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(x) + self.shift, -30, 30))))
@@ -53,14 +58,14 @@ class Model:
 def fit_svm(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: float, epochs: int, seed: int = 7) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the hinge loss; the bias is one more feature with value one."""
     weight, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
-    values = [(r / s if (s := np.sqrt(np.dot(r, r))) else r) for r in (ratio[x].astype(np.float64) for x in rows)]
-    norms = [1.0 + float(np.dot(v, v)) for v in values]
+    values = [(r / s if (s := np.sqrt(dot(r, r))) else r) for r in (ratio[x].astype(np.float64) for x in rows)]
+    norms = [1.0 + dot(v, v) for v in values]
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(rows)):
             x, v = rows[i], values[i]
-            gradient = y[i] * (np.dot(weight[x], v) + bias) - 1
+            gradient = y[i] * (dot(weight[x], v) + bias) - 1
             new = min(max(alpha[i] - gradient / norms[i], 0.0), cost)
             step = (new - alpha[i]) * y[i]
             if step:
@@ -95,8 +100,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 10.0, epochs:
         for _ in range(100):
             p = 1 / (1 + np.exp(-np.clip(a * m + b, -30, 30)))
             g, h = p - goal, p * (1 - p) + 1e-9
-            hess = np.array([[np.dot(h, m * m) + 1e-6, np.dot(h, m)], [np.dot(h, m), h.sum() + 1e-6]])
-            step = np.linalg.solve(hess, np.array([np.dot(g, m), g.sum()]))
+            aa, ab, bb = dot(h, m * m) + 1e-6, dot(h, m), float(h.sum()) + 1e-6
+            ga, gb, det = dot(g, m), float(g.sum()), aa * bb - ab * ab
+            step = np.array([(bb * ga - ab * gb) / det, (aa * gb - ab * ga) / det])
             a, b = a - step[0], b - step[1]
             if np.abs(step).max() < 1e-8:
                 break

@@ -30,7 +30,7 @@ from facetlake.llm.text import id_text, map_texts
 
 CAPACITY, END = 1024, 0
 #: The program stops within this share of the least possible cost (all tokens), or after so many columns.
-GAP, COLUMNS = 1e-3, 600
+GAP, COLUMNS = 1e-3, 1500
 #: Documents of one length that share a window, as a share of all documents.
 PARTS = 2048
 
@@ -62,7 +62,7 @@ def price(duals: np.ndarray, lengths: np.ndarray, costs: np.ndarray) -> tuple[fl
     return worth, pattern
 
 
-def start(lengths: np.ndarray, need: np.ndarray, capacity: int) -> tuple[list[dict[int, int]], np.ndarray]:
+def start(lengths: np.ndarray, need: np.ndarray, capacity: int) -> tuple[list[dict[int, int]], np.ndarray, list[int]]:
     """A first basis: fill a sequence from the longest item on, use that pattern until a length is exhausted, and go on without that length.
 
     Each pattern holds the length that it exhausts and none exhausted before, so the patterns are independent.
@@ -70,7 +70,7 @@ def start(lengths: np.ndarray, need: np.ndarray, capacity: int) -> tuple[list[di
     place = {int(x): j for j, x in enumerate(lengths)}
     left, open_ = need.copy(), np.zeros(capacity + 1, bool)
     open_[lengths] = True
-    basis, use = [], []
+    basis, use, order = [], [], []
     for _ in range(len(lengths)):
         some = np.zeros(capacity + 1, bool)
         some[lengths[left > 0]] = True
@@ -101,7 +101,26 @@ def start(lengths: np.ndarray, need: np.ndarray, capacity: int) -> tuple[list[di
         open_[lengths[out]] = False
         basis.append(pattern)
         use.append(times)
-    return basis, np.array(use)
+        order.append(out)
+    return basis, np.array(use), order
+
+
+def invert(basis: list[dict[int, int]], order: list[int]) -> np.ndarray:
+    """Inverse of the first basis, whose rows in the order of exhaustion are triangular, by substitution."""
+    m = len(basis)
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for i, pattern in enumerate(basis):
+        for j, k in pattern.items():
+            rows.setdefault(j, []).append((i, k))
+    inverse = np.zeros((m, m))
+    for i, j in enumerate(order):
+        own = np.zeros(m)
+        own[j] = 1.0
+        for h, k in rows[j]:
+            if h < i:
+                own -= k * inverse[h]
+        inverse[i] = own / basis[i][j]
+    return inverse
 
 
 def solve(counts: dict[int, int], capacity: int = CAPACITY, gap: float = GAP, columns: int = COLUMNS) -> list[tuple[dict[int, int], float]]:
@@ -113,21 +132,18 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, gap: float = GAP, co
     need = np.array([counts[int(x)] for x in lengths], np.float64)
     costs = np.array([padded(s, capacity) for s in range(capacity + 1)], np.float64)
     cost_of = lambda p: costs[sum(int(lengths[j]) * k for j, k in p.items())]
-    basis, use = start(lengths, need, capacity)
-    matrix = np.zeros((m, m))
-    for i, p in enumerate(basis):
-        matrix[list(p), i] = list(p.values())
-    inverse, cost = np.linalg.inv(matrix), np.array([cost_of(p) for p in basis])
-    least = float(np.dot(need, lengths))
+    # einsum, not BLAS: threads of a BLAS library can lock up in a driver that has forked.
+    basis, use, order = start(lengths, need, capacity)
+    inverse = invert(basis, order)
+    cost = np.array([cost_of(p) for p in basis])
+    least = float((need * lengths).sum())
     for _ in range(columns):
-        if float(np.dot(cost, use)) <= least * (1 + gap):
+        if float((cost * use).sum()) <= least * (1 + gap):
             break
-        worth, pattern = price(cost @ inverse, lengths, costs)
+        worth, pattern = price(np.einsum("i,ij->j", cost, inverse), lengths, costs)
         if worth <= 1e-7:
             break
-        column = np.zeros(m)
-        column[list(pattern)] = list(pattern.values())
-        step = inverse @ column
+        step = sum(k * inverse[:, j] for j, k in pattern.items())
         up = step > 1e-9
         if not up.any():
             break
@@ -137,7 +153,7 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, gap: float = GAP, co
         use = np.maximum(use - theta * step, 0)
         use[out] = theta
         row = inverse[out] / step[out]
-        inverse -= np.outer(step, row)
+        inverse -= step[:, None] * row[None, :]
         inverse[out] = row
         basis[out], cost[out] = pattern, cost_of(pattern)
     return [({int(lengths[j]): k for j, k in p.items()}, float(u)) for p, u in zip(basis, use, strict=True) if u > 1e-9]
