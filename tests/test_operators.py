@@ -296,3 +296,32 @@ def test_entry(spark):
 
     assert entry.entry(spark).columns == ["sample_id", "content", "family", "design_group", "label", "split"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_output_checks(spark):
+    from facetlake.operators import validate
+    from facetlake.plans.catalogue import box_mesh
+
+    mesh = box_mesh(spark).where("sample_id = 'box-2'")
+    faces = spark.createDataFrame([("box-2", i, 4.0) for i in range(6)], "sample_id string, face_idx int, area_mm2 double")
+    corner = lambda x: F.struct(F.lit(x).alias("x"), F.lit(x).alias("y"), F.lit(x).alias("z"))
+    boxed = faces.withColumns({"bbox_min_mm": corner(0.0), "bbox_max_mm": corner(2.0)})
+    pixels = spark.createDataFrame([("box-2", 0, 1, 1, 0), ("box-2", 0, 1, 2, 5)], "sample_id string, view int, row int, col int, face_idx int").withColumn("p", corner(1.0))
+    features = spark.createDataFrame([("box-2", [0, 1, 2]), ("box-2", [3, 4, 5])], "sample_id string, face_indices array<int>")
+    good = [validate.mesh_checks(mesh, faces), validate.view_checks(pixels, boxed), validate.feature_coverage(features, faces)]
+    assert tuple(validate.verdict(*good).first()) == ("box-2", [], None)
+    bad = [validate.mesh_checks(mesh.where("face_idx < 5"), faces), validate.view_checks(pixels.withColumn("p", corner(9.0)), boxed), validate.feature_coverage(features.limit(1), faces)]
+    row = validate.verdict(*bad).first()
+    assert row.code == "OUTPUT_INVARIANT_VIOLATION" and set(row.failed) == {"every_face_triangulated", "mesh_area_close", "pixels_near_face", "every_face_assigned"}
+
+
+def test_shape_decisions_and_fixtures(spark):
+    from facetlake.operators import validate
+
+    rows = [(2, True, True, None, None, None), (0, True, True, None, None, None), (1, False, False, None, None, None), (1, True, True, None, None, None), (1, True, False, False, None, None), (1, True, False, True, 0.2, 0.0), (1, True, False, True, 0.01, 1e-4)]
+    frame = spark.createDataFrame(rows, "solids int, closed boolean, valid boolean, repaired boolean, dev double, dv double")
+    codes = [r[0] for r in frame.select(validate.shape_code(*map(F.col, frame.columns))).collect()]
+    assert codes == ["MULTI_BODY", "NO_SOLID", "NO_SOLID", None, "INVALID_GEOMETRY", "REPAIR_DEVIATION_EXCEEDED", None]
+    found = analytic.failure_fixtures(spark)
+    code = intake.intake_code(F.octet_length("content"), F.col("filename"), F.decode(F.col("content"), "ISO-8859-1"))
+    assert found.where(~code.eqNullSafe(F.col("code"))).count() == 0
