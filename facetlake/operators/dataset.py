@@ -14,12 +14,12 @@ def eligibility(samples: DataFrame, ok_status: Column, same_version: Column, has
     """Adds ``reason``: the first of status, version, duplicate of an eligible sample, no ground truth, missing artifacts; "ok" if none.
 
     Of equal contents the smallest id that passes every other check survives; only larger ids are its duplicates, so the duplicate check
-    stands before that for ground truth. ``samples`` has sample_id and content. The minima are joined back, not windowed: a content that a third
-    of the samples share never meets in one task.
+    stands before that for ground truth. ``samples`` has sample_id and content. The minima are written out and joined back, not windowed: a content that a third
+    of the samples share is split by AQE and never meets in one task.
     """
     own = samples.withColumns({"_status": ok_status, "_version": same_version, "_truth": F.coalesce(has_truth, F.lit(False)), "_complete": complete})
     passes = F.col("_status") & F.col("_version") & F.col("_truth") & F.col("_complete")
-    first = own.where(passes).groupBy("content").agg(F.min("sample_id").alias("_first"))
+    first = materialize(own.where(passes).groupBy("content").agg(F.min("sample_id").alias("_first")), "firsts")
     joined = own.join(first, "content", "left")
     reason = F.when(~F.col("_status"), "status").when(~F.col("_version"), "version_mismatch").when(F.col("sample_id") > F.col("_first"), F.concat(F.lit("exact_duplicate_of:"), F.col("_first").cast("string"))).when(~F.col("_truth"), "no_ground_truth").when(~F.col("_complete"), "missing_artifacts").otherwise("ok")
     return joined.withColumn("reason", reason).drop("_status", "_version", "_truth", "_complete", "_first")
