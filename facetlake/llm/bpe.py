@@ -33,7 +33,7 @@ _WORDS = regex.compile(PATTERN)
 _CUT = regex.compile(r" (?=\S)")
 _UNSAFE = regex.compile(r" (?!\S)")
 _SIGNS = frozenset(".,;:!?")
-MOST_PIECES, PAIR_BITS = 500_000, 20
+MOST_PIECES, PAIR_BITS = 800_000, 20
 
 
 def _byte_letters() -> dict[str, int]:
