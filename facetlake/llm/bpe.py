@@ -17,6 +17,7 @@ import hashlib
 import heapq
 import json
 import struct
+from collections.abc import Callable
 from functools import cache
 from itertools import chain
 
@@ -31,7 +32,6 @@ from facetlake.llm.text import id_text, map_texts
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORDS = regex.compile(PATTERN)
 _CUT = regex.compile(r" (?=\S)")
-_UNSAFE = regex.compile(r" (?!\S)")
 _SIGNS = frozenset(".,;:!?")
 MOST_PIECES, PAIR_BITS = 800_000, 20
 
@@ -231,14 +231,17 @@ class Encoder:
         """Pieces that are encoded independently: the first as bytes, the others as text without the space before them."""
         if not text:
             return []
-        if _UNSAFE.search(text):
-            at = [0, *(m.start() for m in _CUT.finditer(text)), len(text)]
-            head, *rest = (text[a:b] for a, b in zip(at, at[1:], strict=False))
-            rest = [x[1:] for x in rest]
-        else:
-            head, *rest = text.split(" ")
+        head, *rest = text.split(" ")
         return [head.encode(), *rest] if head else rest
 
+    def cut_carefully(self, text: str) -> list[str | bytes]:
+        """The same for texts where white space follows a space: there is no cut before it."""
+        if not text:
+            return []
+        at = [0, *(m.start() for m in _CUT.finditer(text)), len(text)]
+        head, *rest = (text[a:b] for a, b in zip(at, at[1:], strict=False))
+        return [*([head.encode()] if head else []), *(x[1:] for x in rest)]
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
@@ -246,22 +249,27 @@ class Encoder:
             out += self._encode_some(texts[at : at + 200])
         return out
 
+    def _parts(self, text: str, cut: Callable[[str], list]) -> list[str | bytes | int]:
+        """Pieces of a text, special tokens as their ids."""
+        own, at = [], 0
+        while self.cut_special and (found := self.cut_special.search(text, at)):
+            own += cut(text[at : found.start()])
+            own.append(self.special[found.group()])
+            at = found.end()
+        return own + cut(text[at:]) if at else cut(text)
+
     def _encode_some(self, texts: list[str]) -> list[bytes]:
-        parts, known, any_special = [], self.pieces, False
-        for text in texts:
-            own, at = [], 0
-            while self.cut_special and (found := self.cut_special.search(text, at)):
-                own += self.cut(text[at : found.start()])
-                own.append(self.special[found.group()])
-                at, any_special = found.end(), True
-            parts.append(own + self.cut(text[at:]) if at else self.cut(text))
-        need = set(chain.from_iterable(parts))
-        if any_special:
-            need = {p for p in need if not isinstance(p, int)}
-        new = [p for p in need if p not in known]
+        known = self.pieces
+        parts = [self._parts(text, self.cut) for text in texts]
+        new = {p for p in chain.from_iterable(parts) if p not in known}
+        # The table never holds a piece that is empty or starts with white space, so texts with such a piece show here, and are cut anew.
+        if odd := {p for p in new if type(p) is str and (not p or p[0].isspace())}:
+            parts = [own if odd.isdisjoint(own) else self._parts(text, self.cut_carefully) for own, text in zip(parts, texts, strict=True)]
+            new = {p for p in chain.from_iterable(parts) if p not in known}
         if len(known) + len(new) > MOST_PIECES:
             known.clear()
-            new = list(need)
+            new = set(chain.from_iterable(parts))
+        new = [p for p in new if type(p) is not int]
         if new:
             self.learn(new)
         return [b"".join(map(known.__getitem__, own)) for own in parts]
