@@ -5,10 +5,11 @@ d bytes (d = 0 to ``DEPTH``) and the bits so far. Each node has a Krichevsky-Tro
 half-and-half mixture of that estimate and the product over the contexts one byte longer, so a prediction mixes the estimates of all
 depths by their posterior weights.
 
-The corpus is counted whole: tasks count the (byte, context) strings of their texts, buckets by context add them up. The tree that
-is handed to the scoring tasks has at most ``NODES`` nodes (its proven bound): the smallest power of two is found such that the nodes seen at least so
-often fit, and the contexts below it join into one "other" branch of their parent, which keeps its counts and weights. Word counts for the base
-score go the same way: the ``WORDS`` most frequent are handed out, and the others are looked up by a shuffle, so every count is exact.
+The corpus is counted whole and every context keeps its own node, whatever the size: tasks count the (byte, context) strings of their texts, buckets by
+the three nearest bytes add them up and hold whole subtrees below depth 2. A bucket weighs its subtrees; their sums weigh the top (depths 0 to 2, at most
+2^24 nodes as there are bytes, however long the corpus), and a prediction is that of the top mixed with that of the subtree. Tasks are handed the
+probabilities of the most frequent strings, at most ``NODES // 2`` of them, as a cache; all other strings are asked for by a shuffle in their bucket,
+so scores do not depend on the cache's size. Word counts for the base score go the same way: the ``WORDS`` most frequent are handed out, and the others are looked up.
 
 Defined cases: null text is empty (one end token); a null id hashes as the empty text; repeated rows count repeatedly; with no training text every bit
 costs one bit; an empty table gives an empty result; other columns are not read.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -91,13 +93,18 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 _COUNTED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-_STRINGS, _TOKENS = 0, 1
+_STRINGS, _TOKENS, _DOCS = 0, 1, 2
 
 
 def word_bucket(word: bytes, buckets: int) -> int:
     return xxhash.xxh64_intdigest(word) % buckets
 
 
+def deep_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of strings by the three nearest bytes of their contexts."""
+    return ((((keys >> np.uint64(8 * (DEPTH - 3))) & np.uint64(0xFFFFFF)) * _MIX) >> np.uint64(32)) % np.uint64(buckets)
+
+
 def _split(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(part, kind="stable")
     cut = np.flatnonzero(np.diff(part[order])) + 1
@@ -106,18 +113,29 @@ def _split(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _count_texts(buckets: int):
-    def packed(keys: np.ndarray, n: np.ndarray, words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-        deep = ((((keys >> np.uint64(8 * (DEPTH - 3))) & np.uint64(0xFFFFFF)) * _MIX) >> np.uint64(32)) % np.uint64(buckets)
-        out = [(_STRINGS, b, keys[g].tobytes(), n[g].tobytes()) for b, g in _split(deep.astype(np.int64))]
+    def messages(held: list, words: dict[bytes, int]) -> Iterator[tuple]:
+        """Empties ``held``; slices are copied one by one, so that a task holds little more than its distinct strings."""
+        keys, n = map(np.concatenate, zip(*held, strict=True))
+        held.clear()
+        keys, n = _count(keys, n)
+        for b, g in _split(deep_bucket(keys, buckets).astype(np.int32)):
+            yield _STRINGS, b, keys[g].tobytes(), n[g].tobytes()
         short, m = _count(keys >> np.uint64(8 * (DEPTH - 2)), n)
+        del keys, n
         near = buckets + (((short & np.uint64(0xFFFF)) * _MIX) >> np.uint64(32)) % np.uint64(SHALLOW)
-        out += [(_STRINGS, b, short[g].tobytes(), m[g].tobytes()) for b, g in _split(near.astype(np.int64))]
+        for b, g in _split(near.astype(np.int32)):
+            yield _STRINGS, b, short[g].tobytes(), m[g].tobytes()
         by: dict[int, list] = defaultdict(list)
         for w, c in words.items():
             by[word_bucket(w, buckets)].append((w, c))
-        out += [(_TOKENS, b, b" ".join(w for w, _ in x), np.array([c for _, c in x], np.int64).tobytes()) for b, x in by.items()]
-        for at in range(0, len(out), 64):
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out[at : at + 64], strict=True), _COUNTED, strict=True)], schema=_COUNTED)
+        for b, x in by.items():
+            yield _TOKENS, b, b" ".join(w for w, _ in x), np.array([c for _, c in x], np.int64).tobytes()
+
+    def packed(held: list, words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        out = messages(held, words)
+        while some := list(islice(out, 64)):
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*some, strict=True), _COUNTED, strict=True)], schema=_COUNTED)
+        give_back()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -129,11 +147,11 @@ def _count_texts(buckets: int):
                 words.update(t.lower().split())
             size += len(held[-1][0])
             if size >= HELD or len(words) >= HELD // 8:
-                yield from packed(*_count(*map(np.concatenate, zip(*held, strict=True))), words)
-                held, size = [], 0
+                yield from packed(held, words)
+                size = 0
                 words = Counter()
         if held:
-            yield from packed(*_count(*map(np.concatenate, zip(*held, strict=True))), words)
+            yield from packed(held, words)
         give_back()
 
     return run
@@ -159,12 +177,9 @@ def _add_up(buckets: int):
             keys, bins = b" ".join(total), _bins(n)
         else:
             numbers, n = _count(np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]), counts)
-            bins = np.zeros(48, np.int64)
-            for depth, k, m in _depths(numbers, n, bucket >= buckets):
-                if depth >= 2:
-                    _, zero, one = nodes_of(k, m, depth)
-                    bins += _bins(zero + one)
+            bins = _bins(n if bucket < buckets else n[:0])
             keys = numbers.tobytes()
+        give_back()
         return pa.table({"kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()), "keys": pa.array([keys], pa.binary()), "counts": pa.array([n.tobytes()], pa.binary()), "bins": pa.array([bins.tolist()], pa.list_(pa.int64()))})
 
     return run
@@ -177,20 +192,13 @@ def _depths(keys: np.ndarray, counts: np.ndarray, shallow: bool) -> Iterator[tup
         yield (depth, *_count(keys >> np.uint64(8 * (own - depth)), counts))
 
 
-def _frequent_nodes(buckets: int, least: int):
+def _near_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All nodes of depths 0 to 2, from the buckets of short strings."""
     schema = pa.schema([("depth", pa.int32()), ("nodes", pa.binary()), ("zeros", pa.binary()), ("ones", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bucket, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out = []
-                for depth, k, m in _depths(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64), bucket >= buckets):
-                    node, zero, one = nodes_of(k, m, depth)
-                    keep = (zero + one >= least) | (depth < 2)
-                    out.append((depth, node[keep].tobytes(), zero[keep].tobytes(), one[keep].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
-
-    return run
+    for batch in batches:
+        for keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out = [(depth, *(x.tobytes() for x in nodes_of(k, m, depth))) for depth, k, m in _depths(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64), True)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -326,6 +334,121 @@ class Tree:
         return np.bincount(owner[order], values, len(texts))
 
 
+def _places(nodes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the wanted nodes stand, and which are there at all."""
+    if not len(nodes):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(nodes, wanted), len(nodes) - 1)
+    return at, nodes[at] == wanted
+
+
+def _node(keys: np.ndarray, length: int, depth: int, j: int) -> np.ndarray:
+    """The node that decides bit j of strings with contexts of ``length`` bytes, at a depth."""
+    context = (keys >> np.uint64(8 * (length - depth))) & np.uint64((1 << 8 * depth) - 1)
+    return context << np.uint64(8) | np.uint64(1 << j) | keys >> np.uint64(8 * length + 8 - j)
+
+
+def _weigh(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], below: np.ndarray | None) -> tuple[list, list, list, list]:
+    """By level, of nodes whose contexts are all there: weighted log-probability, what the levels so far give to bit 1, the weight that is left below, and the prediction where the path ends."""
+    parent = [np.zeros(0, np.int64)] + [np.searchsorted(levels[d - 1][0], (levels[d][0] >> np.uint64(16)) << np.uint64(8) | levels[d][0] & np.uint64(255)) for d in range(1, len(levels))]
+    weighted, share = [None] * len(levels), [None] * len(levels)
+    for d in range(len(levels) - 1, -1, -1):
+        own = log_kt(levels[d][1].astype(np.float64), levels[d][2].astype(np.float64))
+        if d < len(levels) - 1:
+            below = np.bincount(parent[d + 1], weighted[d + 1], len(own))
+        if below is None:
+            weighted[d], share[d] = own, np.ones_like(own)
+        else:
+            weighted[d] = np.logaddexp(own, below) + np.log(0.5)
+            share[d] = np.exp(np.log(0.5) + own - weighted[d])
+    mixed, left, ends = [], [], []
+    for d, (_, zero, one) in enumerate(levels):
+        before, rest = (mixed[-1][parent[d]], left[-1][parent[d]]) if d else (np.zeros(len(zero)), np.ones(len(zero)))
+        mixed.append(before + rest * share[d] * (one + 0.5) / (zero + one + 1))
+        left.append(rest * (1 - share[d]))
+        ends.append(mixed[d] + left[d] * 0.5)
+    return weighted, mixed, left, ends
+
+
+class Top:
+    """Depths 0 to 2, weighted with what the buckets' subtrees sum up to below each node of depth 2."""
+
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], nodes: np.ndarray, sums: np.ndarray):
+        below = np.zeros(len(levels[2][0]))
+        below[np.searchsorted(levels[2][0], nodes)] = sums
+        _, mixed, left, self.ends = _weigh(levels, below)
+        self.nodes, self.mixed, self.left = [k for k, *_ in levels], mixed[2], left[2]
+
+    def log10_of(self, keys: np.ndarray, subtree: np.ndarray) -> np.ndarray:
+        """log10 probability of distinct, ordered strings; ``subtree`` has their subtrees' predictions of each bit."""
+        short = keys >> np.uint64(8 * (DEPTH - 2))
+        new = np.concatenate([[True], short[1:] != short[:-1]])
+        short, back, total = short[new], np.cumsum(new) - 1, np.zeros(len(keys))
+        for j in range(8):
+            given, left = np.full(len(short), 0.5), np.zeros(len(short))
+            for d in range(3):
+                at, ok = _places(self.nodes[d], _node(short, 2, d, j))
+                given[ok] = (self.mixed if d == 2 else self.ends[d])[at[ok]]
+                if d == 2:
+                    left[ok] = self.left[at[ok]]
+            p = np.clip(given[back] + left[back] * subtree[j], 1e-12, 1 - 1e-12)
+            total += np.log10(np.where(keys >> np.uint64(8 * DEPTH + 7 - j) & np.uint64(1), p, 1 - p))
+        return total
+
+
+class Subtrees:
+    """All nodes of depths 3 to DEPTH of a bucket."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        levels = [nodes_of(k, m, depth) for depth, k, m in _depths(keys, counts, False)][::-1]
+        self.nodes = [k for k, *_ in levels]
+        weighted, _, _, self.ends = _weigh(levels, None)
+        self.weighted = weighted[0]
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """(node of depth 2, sum of the weighted log-probabilities of its contexts here)."""
+        return _count((self.nodes[0] >> np.uint64(16)) << np.uint64(8) | self.nodes[0] & np.uint64(255), self.weighted)
+
+    def predict(self, keys: np.ndarray) -> np.ndarray:
+        """Predictions of each bit of distinct strings, by the deepest node that is there."""
+        out = np.full((8, len(keys)), 0.5)
+        for j in range(8):
+            left = np.arange(len(keys))
+            for d in range(DEPTH, 2, -1):
+                at, ok = _places(self.nodes[d - 3], _node(keys[left], DEPTH, d, j))
+                out[j, left[ok]] = self.ends[d - 3][at[ok]]
+                left = left[~ok]
+                if not len(left):
+                    break
+        return out
+
+
+_WEIGHED = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary())])
+
+
+def _weigh_buckets(least: int):
+    """Sums below the nodes of depth 2, in SHALLOW parts, and as part -1 the strings seen ``least`` times with their subtrees' predictions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys, counts = np.frombuffer(raw, np.uint64), np.frombuffer(n, np.int64)
+                subtrees = Subtrees(keys, counts)
+                nodes, sums = subtrees.sums()
+                out = [(b, nodes[g].tobytes(), sums[g].tobytes()) for b, g in _split((((nodes >> np.uint64(8)) * _MIX >> np.uint64(32)) % np.uint64(SHALLOW)).astype(np.int64))]
+                often = keys[counts >= least]
+                out.append((-1, often.tobytes(), subtrees.predict(often).astype(np.float32).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), _WEIGHED, strict=True)], schema=_WEIGHED)
+        give_back()
+
+    return run
+
+
+def _add_sums(table: pa.Table) -> pa.Table:
+    keys, sums = _count(np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]), np.concatenate([np.frombuffer(x, np.float64) for x in table["numbers"].to_pylist()]))
+    return pa.table({"part": table["part"][:1], "keys": pa.array([keys.tobytes()], pa.binary()), "numbers": pa.array([sums.tobytes()], pa.binary())})
+
+
 class Words:
     """Base model: the counts of frequent words, all others to be looked up."""
 
@@ -336,18 +459,48 @@ class Words:
         return np.log10((np.asarray(count) + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
 
-_SCORED = pa.schema([("bucket", pa.int32()), ("row_no", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("words", pa.binary()), ("docs", pa.binary()), ("times", pa.binary())])
+_ASKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("flush", pa.int64()), ("rows", pa.binary()), ("keys", pa.binary()), ("times", pa.binary()), ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary())])
+_ANSWERS = pa.schema([("flush", pa.int64()), ("rows", pa.binary()), ("tokens", pa.binary()), ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary())])
+
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ordered numbers as differences, byte by byte, which compress well."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _score_texts(cache, words, buckets: int):
+    """Per flush of texts what the cache and the frequent words give, and the strings and words to ask for, with the rows (counted from the flush's least) that hold them."""
 
-def _score_texts(tree, words, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, base = tree.value, words.value
+        (cached, values), base = cache.value, words.value
         get, end = base.known.get, float(base.term(base.end))
         for rows in _flushes(batches):
             raw = [t.encode() for _, t in rows]
-            score = model.score(raw)
+            row = np.array([r for r, _ in rows], np.int64)
+            first = int(row.min())
+            row = row - first
+            small = np.uint16 if row.max() < 1 << 16 else np.int64
+            keys, owner = strings(raw)
+            order = np.argsort(keys)
+            keys, owner = keys[order], owner[order]
+            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            times, keys = np.diff(np.concatenate([at, [len(keys)]])), keys[at]
+            place, ok = _places(cached, keys)
+            here = np.repeat(ok, times)
+            score = np.bincount(owner[here], np.repeat(values[place[ok]], times[ok]), len(rows))
+            keys, times, owner = keys[~ok], times[~ok], row[owner[~here]].astype(small)
+            bucket = deep_bucket(keys, buckets).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+            owner, out, done = owner[np.argsort(np.repeat(bucket, times), kind="stable")], [], 0
+            for b, g in _split(bucket):
+                n = int(times[g].sum())
+                out.append((_STRINGS, b, first, owner[done : done + n].tobytes(), packed_keys(keys[g]), times[g].astype(np.uint32).tobytes(), None, None, None))
+                done += n
             n_tokens, n_known, sums, rare = [], [], [], defaultdict(list)
-            for (row_no, _), t in zip(rows, raw, strict=True):
+            for r, t in zip(row.tolist(), raw, strict=True):
                 own = t.lower().split()
                 counts = np.fromiter((get(w, 0) for w in own), np.int64, len(own))
                 missing = np.flatnonzero(counts == 0)
@@ -358,36 +511,75 @@ def _score_texts(tree, words, buckets: int):
                     sums[-1] += len(missing) * float(base.term(0))
                 else:
                     for w, k in Counter(own[i] for i in missing.tolist()).items():
-                        rare[word_bucket(w, buckets)].append((w, row_no, k))
-            n = len(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, -1), pa.int32()), pa.array([r for r, _ in rows], pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(sums, pa.float64()), pa.array(score, pa.float64()), *(pa.nulls(n, pa.binary()) for _ in range(3))], schema=_SCORED)
-            packed = [(b, None, None, None, None, None, b" ".join(w for w, *_ in x), np.array([r for _, r, _ in x], np.int64).tobytes(), np.array([k for *_, k in x], np.int64).tobytes()) for b, x in rare.items()]
-            for at in range(0, len(packed), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*packed[at : at + 64], strict=True), _SCORED, strict=True)], schema=_SCORED)
+                        rare[word_bucket(w, buckets)].append((w, r, k))
+            out += [(_TOKENS, b, first, np.array([r for _, r, _ in x], small).tobytes(), b" ".join(w for w, *_ in x), np.array([k for *_, k in x], np.uint32).tobytes(), None, None, None) for b, x in rare.items()]
+            out.append((_DOCS, first % buckets, first, row.tobytes(), None, np.array(n_tokens, np.int64).tobytes(), np.array(n_known, np.int64).tobytes(), np.array(sums, np.float64).tobytes(), score.tobytes()))
+            for at in range(0, len(out), 64):
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out[at : at + 64], strict=True), _ASKED, strict=True)], schema=_ASKED)
         give_back()
 
     return run
 
 
-def _look_up(total: int, distinct: int):
+def _rows_of(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.int64).astype(np.int64)
+
+
+def _look_up(top, total: int, distinct: int):
     base = Words({}, total, distinct, False)
 
-    def run(asked: pa.Table, counted: pa.Table) -> pa.Table:
+    def words(asked: pa.Table, counted: pa.Table) -> Iterator[tuple]:
         known: dict[bytes, int] = {}
         for packed, counts in zip(counted["keys"].to_pylist(), counted["counts"].to_pylist(), strict=True):
             known.update(zip(packed.split(b" "), np.frombuffer(counts, np.int64).tolist(), strict=True))
-        docs, count, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for packed, own, k in zip(asked["words"].to_pylist(), asked["docs"].to_pylist(), asked["times"].to_pylist(), strict=True):
-            docs.append(np.frombuffer(own, np.int64))
-            times.append(np.frombuffer(k, np.int64))
-            count.append(np.array([known.get(w, 0) for w in packed.split(b" ")], np.int64))
-        doc, c, k = np.concatenate(docs), np.concatenate(count), np.concatenate(times)
-        row, back = np.unique(doc, return_inverse=True)
-        return pa.table({"row_no": pa.array(row, pa.int64()), "known": pa.array(np.bincount(back, k * (c > 0), len(row)).astype(np.int64), pa.int64()), "part": pa.array(np.bincount(back, k * base.term(c), len(row)), pa.float64())})
+        for flush, rows, packed, times in zip(*(asked[c].to_pylist() for c in ("flush", "rows", "keys", "times")), strict=True):
+            c, k = np.array([known.get(w, 0) for w in packed.split(b" ")], np.int64), np.frombuffer(times, np.uint32).astype(np.int64)
+            row, back = np.unique(_rows_of(rows, len(k)), return_inverse=True)
+            yield flush, row.astype(np.int32).tobytes(), None, np.bincount(back, k * (c > 0), len(row)).astype(np.int64).tobytes(), np.bincount(back, k * base.term(c), len(row)).tobytes(), None
+
+    def bytes_(asked: pa.Table, counted: pa.Table) -> Iterator[tuple]:
+        empty = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        subtrees = Subtrees(*(np.concatenate([e, *(np.frombuffer(x, e.dtype) for x in counted[c].to_pylist())]) for c, e in zip(("keys", "counts"), empty, strict=True)))
+        every = np.zeros(0, np.uint64)
+        for at in range(0, asked.num_rows, 64):
+            every = np.unique(np.concatenate([every, *map(unpacked_keys, asked["keys"][at : at + 64].to_pylist())]))
+        values = np.concatenate([top.value.log10_of(k, subtrees.predict(k)) for k in np.split(every, range(1 << 17, len(every), 1 << 17))])
+        for at in range(asked.num_rows):
+            flush, rows, packed, times = (asked[c][at].as_py() for c in ("flush", "rows", "keys", "times"))
+            times = np.frombuffer(times, np.uint32).astype(np.int64)
+            rows = _rows_of(rows, int(times.sum()))
+            sums = np.bincount(rows, np.repeat(values[np.searchsorted(every, unpacked_keys(packed))], times))
+            row = np.flatnonzero(sums)  # a string's logarithm is below 0
+            yield flush, row.astype(np.int32).tobytes(), None, None, None, sums[row].astype(np.float32).tobytes()
+
+    def run(asked: pa.Table, counted: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return _ANSWERS.empty_table()
+        kind = asked["kind"][0].as_py()
+        if kind == _DOCS:
+            whole = [pa.array([np.frombuffer(x, np.int64).astype(np.int32).tobytes() for x in asked["rows"].to_pylist()], pa.binary())]
+            return pa.table([asked["flush"], *whole, *(asked[c] for c in ("times", "known", "base", "score"))], schema=_ANSWERS)
+        out = list((words if kind == _TOKENS else bytes_)(asked, counted))
+        give_back()
+        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), _ANSWERS, strict=True)], schema=_ANSWERS)
 
     return run
 
 
+def _add_answers(table: pa.Table) -> pa.Table:
+    """The rows of a flush, with all that was answered added up."""
+    n = 1 + max(int(np.frombuffer(r, np.int32).max()) for r, t in zip(table["rows"].to_pylist(), table["tokens"].to_pylist(), strict=True) if t is not None)
+    there, sums = np.zeros(n, bool), {c: np.zeros(n, kind) for c, kind in (("tokens", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64))}
+    for rows, *own in zip(*(table[c].to_pylist() for c in ("rows", *sums)), strict=True):
+        row = np.frombuffer(rows, np.int32)
+        there[row] = True
+        for total, x in zip(sums.values(), own, strict=True):
+            if x is not None:
+                total[row] += np.frombuffer(x, total.dtype if len(x) == 8 * len(row) else np.float32)
+    row = np.flatnonzero(there)
+    return pa.table({"row_no": pa.array(row + table["flush"][0].as_py(), pa.int64()), "n_tokens": pa.array(sums["tokens"][row]), "n_known": pa.array(sums["known"][row]), "base_score": pa.array(sums["base"][row]), "score": pa.array(sums["score"][row])})
+
+
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nodes: int = NODES, words: int = WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and bits_per_byte (of the text's bytes and end mark)."""
     spark = docs.sparkSession
@@ -400,10 +592,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = {int(r.kind): r for r in added.groupBy("kind").agg(*(F.sum(F.col("bins")[k]).alias(f"b{k}") for k in range(48))).collect()}
     fit = lambda kind, most: next((1 << k for k in range(48) if sizes[kind][f"b{k}"] <= most), 1 << 48) if kind in sizes else 1
 
-    # The tree: at most ``nodes`` nodes of depth 2 and more, and the few of depths 0 and 1, which come in parts.
-    levels: list[tuple[list, list, list]] = [([], [], []) for _ in range(DEPTH + 1)]
-    picked = added.where(F.col("kind") == _STRINGS).select("bucket", "keys", "counts").mapInArrow(_frequent_nodes(buckets, fit(_STRINGS, nodes)), "depth int, nodes binary, zeros binary, ones binary")
-    for r in picked.toLocalIterator():
+    # The top comes in parts; so do the frequent strings' predictions, which are mixed with it here.
+    levels: list[tuple[list, list, list]] = [([], [], []) for _ in range(3)]
+    lines = added.where(F.col("kind") == _STRINGS)
+    deep = lines.where(F.col("bucket") < buckets)
+    for r in lines.where(F.col("bucket") >= buckets).select("keys", "counts").mapInArrow(_near_nodes, "depth int, nodes binary, zeros binary, ones binary").toLocalIterator():
         for own, x in zip(levels[r.depth], (np.frombuffer(bytes(r.nodes), np.uint64), np.frombuffer(bytes(r.zeros), np.int64), np.frombuffer(bytes(r.ones), np.int64)), strict=True):
             own.append(x)
     joined = []
@@ -411,7 +604,17 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         key = np.concatenate([np.zeros(0, np.uint64), *k])
         node, zero = _count(key, np.concatenate([np.zeros(0, np.int64), *z]))
         joined.append((node, zero, _count(key, np.concatenate([np.zeros(0, np.int64), *o]))[1]))
-    tree = spark.sparkContext.broadcast(Tree(joined))
+    weighed = materialize(deep.select("keys", "counts").mapInArrow(_weigh_buckets(fit(_STRINGS, nodes // 2)), "part int, keys binary, numbers binary"), "weighed")
+    below = [(np.frombuffer(bytes(r["keys"]), np.uint64), np.frombuffer(bytes(r["numbers"]), np.float64)) for r in weighed.where("part >= 0").groupBy("part").applyInArrow(_add_sums, "part int, keys binary, numbers binary").toLocalIterator()]
+    top = Top(joined, np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in below)]), np.concatenate([np.zeros(0), *(x for _, x in below)]))
+    often, values = [np.zeros(0, np.uint64)], [np.zeros(0, np.float32)]
+    for r in weighed.where("part < 0").select("keys", "numbers").toLocalIterator():
+        if r["keys"]:
+            often.append(np.frombuffer(bytes(r["keys"]), np.uint64))
+            values.append(top.log10_of(often[-1], np.frombuffer(bytes(r["numbers"]), np.float32).reshape(8, -1)).astype(np.float32))
+    keys, value = np.concatenate(often), np.concatenate(values)
+    order = np.argsort(keys)
+    cache, shared_top = spark.sparkContext.broadcast((keys[order], value[order])), spark.sparkContext.broadcast(top)
 
     tokens = added.where(F.col("kind") == _TOKENS)
     least = fit(_TOKENS, words)
@@ -432,11 +635,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base.end = trained
     shared = spark.sparkContext.broadcast(base)
 
-    scored = materialize(rows.select("row_no", "text").mapInArrow(_score_texts(tree, shared, buckets), "bucket int, row_no long, n_tokens long, n_known long, base_score double, score double, words binary, docs binary, times binary"), "scored")
-    out = scored.where("bucket < 0").drop("bucket", "words", "docs", "times").join(ids.hint("merge"), "row_no")
-    if not base.complete:
-        asked = scored.where("bucket >= 0").select("bucket", "words", "docs", "times")
-        parts = asked.groupBy("bucket").cogroup(tokens.select("bucket", "keys", "counts").groupBy("bucket")).applyInArrow(_look_up(total, distinct), "row_no long, known long, part double")
-        parts = parts.groupBy("row_no").agg(F.sum("known").alias("known"), F.sum("part").alias("part"))
-        out = out.join(parts.hint("merge"), "row_no", "left").withColumn("n_known", F.col("n_known") + F.coalesce("known", F.lit(0))).withColumn("base_score", F.col("base_score") + F.coalesce("part", F.lit(0.0)))
+    asked = rows.select("row_no", "text").mapInArrow(_score_texts(cache, shared, buckets), "kind int, bucket int, flush long, rows binary, keys binary, times binary, known binary, base binary, score binary")
+    counted = added.where((F.col("kind") == _TOKENS) | (F.col("bucket") < buckets)).select("kind", "bucket", "keys", "counts")
+    answers = asked.groupBy("kind", "bucket").cogroup(counted.groupBy("kind", "bucket")).applyInArrow(_look_up(shared_top, total, distinct), "flush long, rows binary, tokens binary, known binary, base binary, score binary")
+    scored = answers.groupBy("flush").applyInArrow(_add_answers, "row_no long, n_tokens long, n_known long, base_score double, score double")
+    out = scored.join(ids.hint("merge"), "row_no")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / F.lit(float(np.log10(2))) / (F.col("bytes") + 1)).alias("bits_per_byte"))

@@ -116,6 +116,22 @@ def test_ctw_tree_is_the_weighted_mixture():
     assert np.allclose(tree.score(probe), [score(t) for t in probe], atol=1e-4)
 
 
+def test_ctw_scores_do_not_depend_on_the_cache(spark, docs, rows):
+    """Every training context counts, also what the tasks are not handed."""
+    training = [t.encode() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
+    keys, n = ctw._count(ctw.strings(training)[0])
+    tree = ctw.Tree([ctw.nodes_of(*ctw._count(keys >> np.uint64(8 * (ctw.DEPTH - d)), n), d) for d in range(ctw.DEPTH + 1)])
+    want = defaultdict(list)
+    for (i, _), x in zip(rows, tree.score([t.encode() for _, t in rows]), strict=True):
+        want[i].append(x)
+    got = defaultdict(list)
+    for r in ctw.score_texts(docs, nodes=500).collect():
+        got[r.doc_id].append(r.score)
+    assert got.keys() == want.keys() and all(np.allclose(sorted(got[i]), sorted(want[i]), rtol=1e-4, atol=1e-2) for i in want)
+    none = ctw.score_texts(spark.createDataFrame([(i, "abc") for i in range(200)], "doc_id long, text string").where(F.crc32(F.col("doc_id").cast("string")) % 5 == 1)).collect()
+    assert none and all(abs(r.bits_per_byte - 8) < 1e-6 for r in none)
+
+
 # ---- 2
 
 
