@@ -15,7 +15,7 @@ def op1_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_spans.span_dedup(documents(spark, sf_dir))
+    return sentence_spans.span_dedup(documents(spark, sf_dir), run_words=sentence_spans.RUN)
 
 
 def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,12 @@ of ``size`` consecutive sentences with at least ``min_words`` words is hashed to
 documents the first place of each hash (smallest doc_id, then position) stays; every sentence that another place of
 it covers is removed, all judged on the input.
 
+With ``run_words``, runs of words are hashed beside them, for passages of short or long sentences or that start and end inside sentences. A word is a
+cut if its hash is the least of some ``WINDOW`` successive words, so cuts are at most ``WINDOW`` words apart and depend on the words around them only;
+a run reaches from a cut to the first cut at least ``run_words`` words on. Of a passage's L words those from WINDOW to L - WINDOW have the same cuts wherever it
+stands, so with L >= run_words + 4 WINDOW - 3 (51 for ``RUN``) it holds a run that is hashed in each of its places. The words of
+another place are removed with the white space behind each; a sentence that loses words counts as removed.
+
 Spans are grouped after map-side counting; the repeated ones, written out, meet the spans in a join of plain exchanges, so that AQE
 splits a span that a large share of the documents holds.
 
@@ -14,6 +20,7 @@ Defined cases: null text is empty; a text with fewer sentences than ``size`` kee
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +35,8 @@ from facetlake.llm.exact_dedup import flag_ids
 from facetlake.llm.text import give_back, id_text, map_texts
 
 SIZE, MIN_WORDS, NO_ID = 3, 12, -(1 << 63)
+RUN, WINDOW = 18, 9
+_WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 _ENDS = regex.compile(r"(?:(?<=[.!?])[\x20\x09-\x0D]|\n|(?<=[。！？]))[\x20\x09-\x0D]*")
 
 
@@ -51,8 +60,53 @@ def span_hashes(text: str, size: int, min_words: int) -> list[tuple[int, bytes]]
     return [(i, digest(b"\n".join(joined[i : i + size]))) for i in range(len(words) - size + 1) if counts[i + size] - counts[i] >= min_words]
 
 
-def spans(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_key, at, h1, h2, again) of every span of every document; ``again`` marks what the document itself holds further up."""
+def word_runs(words: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the runs of at least so many words from cut to cut, and the words behind their last."""
+    if len(words) < least + WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) * np.uint32(0x9E3779B1)
+    low = h[: len(h) - WINDOW + 1].copy()
+    for k in range(1, WINDOW):
+        np.minimum(low, h[k : len(h) - WINDOW + 1 + k], out=low)
+    cut = np.zeros(len(h), bool)
+    for k in range(WINDOW):
+        cut[k : len(low) + k] |= h[k : len(low) + k] == low
+    at = np.flatnonzero(cut)
+    end = np.searchsorted(at, at + least)
+    some = end < len(at)
+    return at[some], at[end[some]]
+
+
+def run_hashes(text: str, least: int) -> list[tuple[int, bytes]]:
+    """(-1 - position of the first word, 128-bit hash) of every run of words."""
+    words = text.encode().split()
+    first, end = word_runs(words, least)
+    joined, digest = b" ".join(words), xxhash.xxh3_128_digest
+    begins = np.concatenate([[0], np.flatnonzero(np.frombuffer(joined, np.uint8) == 32) + 1, [len(joined) + 1]])
+    return [(x, digest(joined[a:b])) for x, a, b in zip((-1 - first).tolist(), begins[first].tolist(), (begins[end] - 1).tolist(), strict=True)]
+
+
+def without(text: str, parts: list[str], starts: list[int], size: int, run_words: int) -> tuple[str, int]:
+    """The text without the spans and runs that start at ``starts``, and how many sentences that takes from."""
+    gone = {k for a in starts if a >= 0 for k in range(a, a + size)}
+    own = {-1 - a for a in starts if a < 0}
+    if not own:
+        return ("".join(x for k, x in enumerate(parts) if k not in gone) if gone else text), len(gone)
+    lengths = np.array([len(x) for x in parts])
+    behind = np.cumsum(lengths)
+    drop = np.zeros(len(text), bool)
+    drop[: behind[-1]] = np.repeat(np.isin(np.arange(len(parts)), list(gone)), lengths)
+    begins = [m.start() for m in _WORD.finditer(text)] + [len(text)]
+    for a, b in zip(*(x.tolist() for x in word_runs(text.encode().split(), run_words)), strict=True):
+        if a in own:
+            drop[begins[a] : begins[b]] = True
+    hit = np.unique(np.searchsorted(behind, np.flatnonzero(drop), side="right"))
+    edges = np.flatnonzero(np.diff(drop, prepend=True, append=True)).tolist()
+    return "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), len(hit)
+
+
+def spans(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", run_words: int = 0) -> DataFrame:
+    """(doc_key, at, h1, h2, again) of every span of every document, runs of words with ``at`` below 0; ``again`` marks what the document itself holds further up."""
     schema = pa.schema([("doc_key", pa.int64()), ("at", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,11 +115,15 @@ def spans(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col:
                 part = batch.slice(start, 200)
                 keys, at, hashes, again = [], [], [], []
                 for key, t in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    found, seen = span_hashes(t, size, min_words), set()
+                    found, seen = span_hashes(t, size, min_words) + (run_hashes(t, run_words) if run_words else []), set()
+                    own = [x for _, x in found]
                     keys += [key] * len(found)
                     at += [x for x, _ in found]
-                    hashes += [x for _, x in found]
-                    for _, x in found:
+                    hashes += own
+                    if len(set(own)) == len(own):
+                        again += [False] * len(own)
+                        continue
+                    for x in own:
                         again.append(x in seen)
                         seen.add(x)
                 h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
@@ -76,9 +134,9 @@ def spans(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col:
     return rows.mapInArrow(run, "doc_key long, at int, h1 long, h2 long, again boolean")
 
 
-def repeated_sentences(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_sentences(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", run_words: int = 0) -> DataFrame:
     """(found_key, starts, from_ids): where non-first repeated spans start in a document, and the documents that hold them first."""
-    every = materialize(spans(docs, size, min_words, id_col, text_col), "spans")
+    every = materialize(spans(docs, size, min_words, id_col, text_col, run_words), "spans")
     once = every.where("not again")
     first = materialize(once.groupBy("h1", "h2").agg(F.min("doc_key").alias("first_key"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
     others = once.join(first.hint("merge"), ["h1", "h2"]).where("doc_key > first_key").select("doc_key", "at", "first_key")
@@ -86,9 +144,9 @@ def repeated_sentences(docs: DataFrame, size: int = SIZE, min_words: int = MIN_W
     return found.groupBy(F.col("doc_key").alias("found_key")).agg(F.sort_array(F.collect_set("at")).alias("starts"), F.sort_array(F.collect_set("first_key")).alias("from_ids"))
 
 
-def span_dedup(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def span_dedup(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", run_words: int = 0) -> DataFrame:
     """doc_id, n_sentences, n_removed, removed_chars, n_spans, from_ids, kept_sha256 and the remaining text."""
-    found = materialize(repeated_sentences(docs, size, min_words, id_col, text_col), "found")
+    found = materialize(repeated_sentences(docs, size, min_words, id_col, text_col, run_words), "found")
     rows = id_text(docs, id_col, text_col).withColumn("sha", F.coalesce("doc_id", F.lit(NO_ID)))
     # Only documents that lose something are joined; the texts of the others do not move.
     flagged = flag_ids(rows, found.select("found_key"))
@@ -100,9 +158,8 @@ def span_dedup(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id
         out: dict[str, list] = {k: [] for k in ("doc_id", "n_sentences", "n_removed", "removed_chars", "n_spans", "from_ids", "kept_sha256", "text")}
         for i, t, at, ids_from in zip(ids, texts, starts, sources, strict=True):
             parts = sentences(t)
-            gone = {k for a in at or () for k in range(a, a + size)}
-            kept = "".join(x for k, x in enumerate(parts) if k not in gone) if gone else t
-            for k, v in {"doc_id": i, "n_sentences": len(parts), "n_removed": len(gone), "removed_chars": len(t) - len(kept), "n_spans": len(at or ()), "from_ids": ids_from or [], "kept_sha256": hashlib.sha256(kept.encode()).hexdigest(), "text": kept}.items():
+            kept, n = without(t, parts, at or [], size, run_words)
+            for k, v in {"doc_id": i, "n_sentences": len(parts), "n_removed": n, "removed_chars": len(t) - len(kept), "n_spans": len(at or ()), "from_ids": ids_from or [], "kept_sha256": hashlib.sha256(kept.encode()).hexdigest(), "text": kept}.items():
                 out[k].append(v)
         return out
 

@@ -169,6 +169,31 @@ def test_passage_of_three_sentences_is_found(spark):
     assert out[0].n_removed == 0 and all(out[i].n_removed == 3 and "w2x1 " not in out[i].text and out[i].from_ids == [0] for i in range(1, 6))
 
 
+def test_every_passage_of_over_fifty_words_is_found(spark, tmp_path):
+    """As the query runs it: short lines, one long sentence, and cuts inside sentences on both sides."""
+    from facetlake.llm.queries import queries
+
+    r = random.Random(5)
+    words = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    shapes = {"lines": lambda w: "\n" + "".join(f"{a} {b}\n" for a, b in zip(w[::2], w[1::2], strict=True)), "one": lambda w: " " + " ".join(w) + " ", "two": lambda w: " " + " ".join(w[:25]) + ". " + " ".join(w[25:]) + " "}
+    rows, passages = [], {}
+    for k in range(60):
+        passages[k] = w = words(52)
+        text = shapes[list(shapes)[k % 3]](w)
+        rows += [(2 * k + i, " ".join(words(30)) + text + " ".join(words(30)) + ".") for i in range(2)]
+    rows += [(1000 + i, " ".join(words(200))) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {x.doc_id: x for x in queries()["op2_sentence_spans"](spark, str(tmp_path)).collect()}
+    texts = dict(rows)
+    for k, w in passages.items():
+        first, other = out[2 * k], out[2 * k + 1]
+        assert first.n_removed == 0 and first.text == texts[2 * k]
+        lost = {x.rstrip(".") for x in texts[2 * k + 1].split()} - {x.rstrip(".") for x in other.text.split()}
+        assert other.n_removed > 0 and other.from_ids == [2 * k] and len(lost) >= sentence_spans.RUN and lost <= set(w)
+        assert len(texts[2 * k + 1]) - len(other.text) == other.removed_chars
+    assert all(out[1000 + i].n_removed == 0 for i in range(20))
+
+
 # ---- 3
 
 
