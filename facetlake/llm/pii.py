@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -277,29 +278,23 @@ def trained(sentences: int = 400, epochs: int = 4, seed: int = 11) -> Field:
 def added_spans(text: str, field: Field, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """What the field finds that overlaps no span of ``base``."""
     out, taken, last = [], sorted((a, b) for _, a, b in base), -1
-    lines = text.split("\n") if len(text) > 2000 else None
-    at = 0
-    for line in lines or [text]:
-        start, at = at, at + len(line) + 1
-        if not _TRIGGER.search(line):
-            continue
-        chunks = [m.span() for m in _CHUNK.finditer(line)]
-        hot = [k for k, (a, b) in enumerate(chunks) if _TRIGGER.search(line, a, b)]
-        # Runs of chunks that a candidate can reach; between them every chunk is "other".
-        k = 0
-        while k < len(hot):
-            m = k
-            while m + 1 < len(hot) and hot[m + 1] - hot[m] < 2 * LONGEST and hot[m + 1] - hot[k] < 400:
-                m += 1
-            low, high = max(0, hot[k] - LONGEST), min(len(chunks), hot[m] + LONGEST + 1)
-            part = chunks[low:high]
-            for i, j, y in field.decode(Lattice(line, part)):
-                a, b = trim(line, part[i][0], part[j - 1][1])
-                a, b = a + start, b + start
-                if a < b and a >= last and not any(x < b and a < z for x, z in taken):
-                    out.append((KINDS[y - 1], a, b))
-                    last = b
-            k = m + 1
+    chunks = [m.span() for m in _CHUNK.finditer(text)]
+    begins = [a for a, _ in chunks]
+    hot = sorted({bisect_right(begins, m.start()) - 1 for m in _TRIGGER.finditer(text)})
+    # Runs of chunks that a candidate can reach, across line ends; between them every chunk is "other".
+    k = 0
+    while k < len(hot):
+        m = k
+        while m + 1 < len(hot) and hot[m + 1] - hot[m] < 2 * LONGEST and hot[m + 1] - hot[k] < 400:
+            m += 1
+        low, high = max(0, hot[k] - LONGEST), min(len(chunks), hot[m] + LONGEST + 1)
+        part = chunks[low:high]
+        for i, j, y in field.decode(Lattice(text, part)):
+            a, b = trim(text, part[i][0], part[j - 1][1])
+            if a < b and a >= last and not any(x < b and a < z for x, z in taken):
+                out.append((KINDS[y - 1], a, b))
+                last = b
+        k = m + 1
     return out
 
 

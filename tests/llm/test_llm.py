@@ -396,6 +396,16 @@ def test_pii_field_on_unseen_sentences_and_clean_text():
     assert pii.mask(text, every) == "call <phone> or <phone> <card>, <secret>"
 
 
+def test_pii_across_line_ends_in_texts_of_any_length():
+    field = pii.trained()
+    for wrapped in ("please call\n(415)\n555-0132 today", "so api_key:\n9f86d081884c7d659a2feaa0c55ad015a3bf4f1b it was", "the iban\nDE44 5001\n0517 5407 3249 31 is hers"):
+        found = pii.all_spans(wrapped, field)[1]
+        assert found
+        for around in ("calm words stand here\n" * 20, "calm words stand here\n" * 300):
+            shifted = [(k, a + len(around), b + len(around)) for k, a, b in found]
+            assert pii.all_spans(around + wrapped + "\n" + around, field)[1] == shifted
+
+
 def test_field_gradient_is_that_of_the_likelihood():
     text, gold = pii._sentences(1, 5)[0]
     x = pii.Lattice(text, [m.span() for m in pii._CHUNK.finditer(text)])
