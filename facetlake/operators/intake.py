@@ -58,7 +58,8 @@ def _ascii(name: Column) -> Column:
 
 def sanitize_filename(name: Column, longest: int = 128) -> Column:
     """A safe base name that keeps an extension of at most eight characters."""
-    base = F.element_at(F.split(F.regexp_replace(name, r"\\", "/"), "/"), -1)
+    # As in a path, slashes and "." at the end do not count: "a/b/" is named "b".
+    base = F.element_at(F.split(F.regexp_replace(F.regexp_replace(name, r"\\", "/"), r"(/\.?)+$", ""), "/"), -1)
     # Plain names stay in the JVM's own functions; the others take the Unicode path.
     folded = F.when(base.rlike(r"^[\x00-\x7f]*$"), base).otherwise(_ascii(base))
     safe = F.regexp_replace(F.regexp_replace(folded, r"[^A-Za-z0-9._-]+", "_"), r"^[._]+|[._]+$", "")

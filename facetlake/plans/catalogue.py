@@ -417,6 +417,12 @@ def safe_names(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("page_id", intake.sanitize_filename(F.col("url")).alias("name"))
 
 
+@query()
+def safe_names_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every page, also those that the SQL of ``safe_names`` leaves out: other alphabets, a slash at the end, nothing that stays."""
+    return read(spark, d, "pages").select("page_id", intake.sanitize_filename(F.col("url")).alias("name"))
+
+
 # ---- jobs
 
 

@@ -124,6 +124,27 @@ def test_names_and_keys(spark):
     assert ok == [False] * 9 + [True]
 
 
+def test_safe_names_of_every_page(spark):
+    """Against plain Python, over the whole table."""
+    import re
+    import unicodedata
+    from pathlib import PurePosixPath
+
+    from facetlake.plans import catalogue
+
+    def named(url):
+        base = unicodedata.normalize("NFKD", PurePosixPath(url.replace("\\", "/")).name).encode("ascii", "ignore").decode()
+        return re.sub(r"[^A-Za-z0-9._-]+", "_", base).strip("._") or "unnamed"
+
+    pages = {r.page_id: r.url for r in catalogue.read(spark, "/root/testdata/sf0.001", "pages").select("page_id", "url").collect()}
+    assert max(map(len, pages.values())) <= 128
+    got = {r.page_id: r.name for r in catalogue.QUERIES["safe_names_all"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == {i: named(u) for i, u in pages.items()}
+    odd = ["http://a.b/c/", "http://a.b/c/./", "a/.", "a/..", "/", ".", "x/Größe/", "日本"]
+    out = [r[0] for r in spark.createDataFrame([(u,) for u in odd], "n string").select(intake.sanitize_filename(F.col("n"))).collect()]
+    assert out == [named(u) for u in odd] == ["c", "c", "a", "unnamed", "unnamed", "unnamed", "Groe", "unnamed"]
+
+
 def test_ids(spark):
     row = spark.range(1).select(sample_id(F.lit("a")), entity_id("F", F.lit(7)), entity_id("E", F.lit(1000)), quantize(F.lit(2.5), 1.0), quantize(F.lit(3.5), 1.0)).first()
     assert row[0].startswith("s_") and len(row[0]) == 26 and tuple(row)[1:] == ("F007", "E1000", 2, 4)
