@@ -12,20 +12,24 @@ stands, so with L >= run_words + 4 WINDOW - 3 (51 for ``RUN``) it holds a run th
 another place are removed with the white space behind each; a sentence that loses words counts as removed.
 
 Spans are grouped after map-side counting; the repeated ones, written out, meet the spans in a join of plain exchanges, so that AQE
-splits a span that a large share of the documents holds.
+splits a span that a large share of the documents holds. A Bloom filter of the repeated spans, bounded in size, lets the other spans of the
+table pass by that join; where it is full, more of them are moved and the result is the same.
 
-Defined cases: null text is empty; a text with fewer sentences than ``size`` keeps them all; rows that repeat an id keep what they share with each other; null ids sort first; an empty table gives an empty result; other columns are not read.
+A row is known by its id and a hash of its text, so what one row loses leaves other rows with its id alone.
+
+Defined cases: null text is empty; a text with fewer sentences than ``size`` keeps them all; rows that repeat an id keep what they share with each other
+and lose what smaller ids hold or what repeats within them; null ids are one id that sorts first; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +40,11 @@ from facetlake.llm.text import give_back, id_text, map_texts
 
 SIZE, MIN_WORDS, NO_ID = 3, 12, -(1 << 63)
 RUN, WINDOW = 18, 9
-_WORD = regex.compile(r"[^\x20\x09-\x0D]+")
-_ENDS = regex.compile(r"(?:(?<=[.!?])[\x20\x09-\x0D]|\n|(?<=[。！？]))[\x20\x09-\x0D]*")
+#: Bits of the filter of repeated spans at most, a broadcast of a quarter as many bytes.
+MAX_BITS = 1 << 26
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# One leading class, so that the search skips to it; the marks of the first kind need white space behind them.
+_ENDS = re.compile(r"[.!?\n。！？](?:(?<=[.!?])[\x20\x09-\x0D]+|(?<![.!?])[\x20\x09-\x0D]*)")
 
 
 def sentences(text: str) -> list[str]:
@@ -106,18 +113,18 @@ def without(text: str, parts: list[str], starts: list[int], size: int, run_words
 
 
 def spans(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", run_words: int = 0) -> DataFrame:
-    """(doc_key, at, h1, h2, again) of every span of every document, runs of words with ``at`` below 0; ``again`` marks what the document itself holds further up."""
-    schema = pa.schema([("doc_key", pa.int64()), ("at", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("again", pa.bool_())])
+    """(doc_key, text_key, at, h1, h2, again) of every span of every row, runs of words with ``at`` below 0; ``again`` marks what the row itself holds further up."""
+    schema = pa.schema([("doc_key", pa.int64()), ("text_key", pa.int64()), ("at", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
-                keys, at, hashes, again = [], [], [], []
-                for key, t in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                counts, at, hashes, again = [], [], [], []
+                for t in part.column("text").to_pylist():
                     found, seen = span_hashes(t, size, min_words) + (run_hashes(t, run_words) if run_words else []), set()
                     own = [x for _, x in found]
-                    keys += [key] * len(found)
+                    counts.append(len(found))
                     at += [x for x, _ in found]
                     hashes += own
                     if len(set(own)) == len(own):
@@ -127,30 +134,35 @@ def spans(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col:
                         again.append(x in seen)
                         seen.add(x)
                 h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(at, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(again, pa.bool_())], schema=schema)
+                keys = [pa.array(np.repeat(part.column(c).to_numpy(), counts)) for c in ("doc_key", "text_key")]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(at, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(again, pa.bool_())], schema=schema)
         give_back()
 
-    rows = id_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_key"), "text")
-    return rows.mapInArrow(run, "doc_key long, at int, h1 long, h2 long, again boolean")
+    return _keyed(docs, id_col, text_col).select("doc_key", "text_key", "text").mapInArrow(run, "doc_key long, text_key long, at int, h1 long, h2 long, again boolean")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return id_text(docs, id_col, text_col).select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_key"), F.xxhash64("text").alias("text_key"))
 
 
-def repeated_sentences(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", run_words: int = 0) -> DataFrame:
-    """(found_key, starts, from_ids): where non-first repeated spans start in a document, and the documents that hold them first."""
+def repeated_sentences(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", run_words: int = 0, max_bits: int = MAX_BITS) -> DataFrame:
+    """(found_key, found_text, starts, from_ids): where non-first repeated spans start in a row, and the documents that hold them first."""
     every = materialize(spans(docs, size, min_words, id_col, text_col, run_words), "spans")
     once = every.where("not again")
-    first = materialize(once.groupBy("h1", "h2").agg(F.min("doc_key").alias("first_key"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
-    others = once.join(first.hint("merge"), ["h1", "h2"]).where("doc_key > first_key").select("doc_key", "at", "first_key")
-    found = others.unionAll(every.where("again").select("doc_key", "at", F.col("doc_key").alias("first_key")))
-    return found.groupBy(F.col("doc_key").alias("found_key")).agg(F.sort_array(F.collect_set("at")).alias("starts"), F.sort_array(F.collect_set("first_key")).alias("from_ids"))
+    first = materialize(once.groupBy("h1", "h2").agg(F.min("doc_key").alias("first_key"), F.max("doc_key").alias("last_key")).where("last_key > first_key").drop("last_key"), "repeated")
+    some = flag_ids(once.withColumn("sha", F.col("h1")), first.select("h1"), max_bits).where("candidate")
+    others = some.join(first.hint("merge"), ["h1", "h2"]).where("doc_key > first_key").select("doc_key", "text_key", "at", "first_key")
+    found = others.unionAll(every.where("again").select("doc_key", "text_key", "at", F.col("doc_key").alias("first_key")))
+    return found.groupBy(F.col("doc_key").alias("found_key"), F.col("text_key").alias("found_text")).agg(F.sort_array(F.collect_set("at")).alias("starts"), F.sort_array(F.collect_set("first_key")).alias("from_ids"))
 
 
 def span_dedup(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", run_words: int = 0) -> DataFrame:
     """doc_id, n_sentences, n_removed, removed_chars, n_spans, from_ids, kept_sha256 and the remaining text."""
     found = materialize(repeated_sentences(docs, size, min_words, id_col, text_col, run_words), "found")
-    rows = id_text(docs, id_col, text_col).withColumn("sha", F.coalesce("doc_id", F.lit(NO_ID)))
+    rows = _keyed(docs, id_col, text_col).withColumn("sha", F.xxhash64("doc_key", "text_key"))
     # Only documents that lose something are joined; the texts of the others do not move.
-    flagged = flag_ids(rows, found.select("found_key"))
-    some = flagged.where("candidate").join(found.hint("merge"), F.col("sha") == F.col("found_key"), "left").select("doc_id", "text", "starts", "from_ids")
+    flagged = flag_ids(rows, found.select(F.xxhash64("found_key", "found_text").alias("row_key")))
+    some = flagged.where("candidate").join(found.hint("merge"), (F.col("doc_key") == F.col("found_key")) & (F.col("text_key") == F.col("found_text")), "left").select("doc_id", "text", "starts", "from_ids")
     none = F.lit(None)
     rows = flagged.where("not candidate").select("doc_id", "text", none.cast("array<int>").alias("starts"), none.cast("array<long>").alias("from_ids")).unionAll(some)
 

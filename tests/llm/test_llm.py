@@ -161,6 +161,20 @@ def test_sentence_spans(docs, rows):
     assert any(n for _, _, n, _ in got)
 
 
+def test_rows_of_one_id_lose_only_their_own_spans(spark):
+    """One id over several texts, null ids too: a row loses what its own text shares, and nothing else."""
+    text = lambda k: " ".join(f"{w} {w}a {w}b {w}c {w}d." for w in (f"w{k}x{i}" for i in range(6)))
+    rows = [(1, text(1)), (5, text(1)), (5, text(2)), (5, text(1) + "\n" + text(3)), (None, text(4)), (None, text(5)), (7, text(5)), (8, text(2)), (5, text(2))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for bits in (1 << 27, 64):  # also with a full filter
+        found = sentence_spans.repeated_sentences(frame, max_bits=bits).collect()
+        assert sorted((key(r.found_key), tuple(r.starts)) for r in found) == [(5, (0, 1, 2, 3)), (5, (0, 1, 2, 3)), (7, (0, 1, 2, 3)), (8, (0, 1, 2, 3))]
+    for run_words in (0, sentence_spans.RUN):
+        got = Counter((r.doc_id, r.text) for r in sentence_spans.span_dedup(frame, run_words=run_words).collect())
+        assert all(got[r] for r in [(1, text(1)), (5, text(2)), (None, text(4)), (None, text(5))]) and got[5, text(2)] == 2
+        assert got[5, ""] == 1 and got[7, ""] == 1 and got[8, ""] == 1 and got[5, text(3)] == 1
+
+
 def test_passage_of_three_sentences_is_found(spark):
     words = lambda n, k: " ".join(f"w{k}x{i}" for i in range(n))
     passage = f"{words(20, 1)}. {words(20, 2)}. {words(15, 3)}. "
