@@ -6,6 +6,9 @@ proposes tokens, and all adjacent pairs of all new words are checked at once: a
 and only if every adjacent pair, merged alone, gives those two tokens again (and each token gives itself). Words with a pair that
 fails are merged exactly. Pair verdicts and pieces are kept in bounded tables, emptied when full.
 
+Arrow cuts a batch and numbers its distinct pieces; only those are looked up one by one. The ids of known pieces lie in one array,
+from which a batch's are gathered at once; decoding gathers the bytes of ids likewise.
+
 Defined cases: null text is empty and has no ids; special tokens in a text become their ids, as the
 tokenizers library does by default; texts of any length are encoded whole; null ids, repeated rows and empty
 tables pass through; other columns are not read.
@@ -17,11 +20,12 @@ import hashlib
 import heapq
 import json
 import struct
-from collections.abc import Callable
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
@@ -33,7 +37,10 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _WORDS = regex.compile(PATTERN)
 _CUT = regex.compile(r" (?=\S)")
 _SIGNS = frozenset(".,;:!?")
-MOST_PIECES, PAIR_BITS = 800_000, 20
+_WHITE = frozenset(chr(c) for c in range(0x3001) if regex.match(r"\s", chr(c)))  # the pattern's own white space; str.isspace() knows other characters
+MOST_PIECES, PAIR_BITS = 1_000_000, 20
+#: Texts that are encoded together, and what stands for a piece that no cut precedes, or for an unknown one.
+TOGETHER, ODD, UNKNOWN = 1000, -1, -2
 
 
 def _byte_letters() -> dict[str, int]:
@@ -67,7 +74,9 @@ class Encoder:
         own = {v: self.exact(k) == [v] for k, v in self.ids.items()}
         self.sound = np.zeros(self.size, bool)
         self.sound[[v for v, ok in own.items() if ok]] = True
-        self.pieces = Pieces()
+        self.forget()
+        spelled = [self.bytes.get(i, b"") for i in range(self.size)]
+        self.letters, (self.letter_at, self.letter_n) = np.frombuffer(b"".join(spelled), np.uint8), _places(spelled)
         self.pairs = np.full(1 << PAIR_BITS, -1)
         self._build_trie()
         self.words: dict[str, bytes] = {}
@@ -209,81 +218,127 @@ class Encoder:
             out[i] = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
+    def forget(self) -> None:
+        """Empty the table of pieces: piece -> number, and by number where its ids lie in ``flat`` and how many they are. Number 0 has no ids; then come the special tokens."""
+        self.index: dict[str | bytes | int, int] = {b"": 0} | {v: k for k, v in enumerate(self.special.values(), 1)}
+        self.flat, self.piece_at, self.piece_n = np.array([*self.special.values()], np.uint32), np.arange(-1, len(self.special)), np.ones(len(self.index), np.int64)
+        self.piece_at[0] = self.piece_n[0] = 0
+
     def learn(self, pieces: list[str | bytes]) -> None:
         """Encode pieces that are not known yet, all their new words together."""
-        if len(self.words) > MOST_PIECES // 4:
+        if len(self.words) > MOST_PIECES // 8:
             self.words.clear()
         plain, ended, other = [], [], []
         for p in pieces:  # letters alone are one word; most of the rest are letters and one sign
             (plain if isinstance(p, str) and p.isalpha() else ended if isinstance(p, str) and p[-1:] in _SIGNS and p[:-1].isalpha() else other).append(p)
-        known, words = self.pieces, self.words
+        known, words = self.index, self.words
         stems = {p[:-1] for p in ended}
         plain += [p for p in stems.difference(plain) if p not in known]
         split = [_WORDS.findall(_text(p)) for p in other]
         new = list({w for x in split for w in x if w not in words}.union(x for x in _SIGNS if x not in words))
         coded = self.encode_words([*(b" " + p.encode() for p in plain), *(w.encode() for w in new)])
-        known.update(zip(plain, coded, strict=False))
+        own = dict(zip(plain, coded, strict=False))
         words.update(zip(new, coded[len(plain) :], strict=True))
-        known.update([(p, known[p[:-1]] + words[p[-1]]) for p in ended])
-        known.update((p, b"".join(map(words.__getitem__, x))) for p, x in zip(other, split, strict=True))
+        coded = [*own.values(), *((own[p[:-1]] if p[:-1] in own else self.ids_of(p[:-1])) + words[p[-1]] for p in ended), *(b"".join(map(words.__getitem__, x)) for x in split)]
+        at, n = _places(coded)
+        known.update(zip(chain(own, ended, other), range(len(known), len(known) + len(coded)), strict=True))
+        self.piece_at, self.piece_n = np.concatenate([self.piece_at, len(self.flat) + at // 4]), np.concatenate([self.piece_n, n // 4])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(coded), "<u4")])
 
-    def cut(self, text: str) -> list[str | bytes]:
-        """Pieces that are encoded independently: the first as bytes, the others as text without the space before them."""
-        if not text:
-            return []
-        head, *rest = text.split(" ")
-        return [head.encode(), *rest] if head else rest
+    def ids_of(self, piece: str | bytes | int) -> bytes:
+        k = self.index[piece]
+        return self.flat[self.piece_at[k] : self.piece_at[k] + self.piece_n[k]].astype("<u4").tobytes()
 
-    def cut_carefully(self, text: str) -> list[str | bytes]:
-        """The same for texts where white space follows a space: there is no cut before it."""
+    def cut(self, text: str) -> list[str | bytes]:
+        """Pieces that are encoded independently: the first as bytes, the others as text without the space before them. Where white space follows a space there is no cut."""
         if not text:
             return []
         at = [0, *(m.start() for m in _CUT.finditer(text)), len(text)]
         head, *rest = (text[a:b] for a, b in zip(at, at[1:], strict=False))
         return [*([head.encode()] if head else []), *(x[1:] for x in rest)]
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
+    def encode_batch(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
-        for at in range(0, len(texts), 200):  # few enough that what they need fits the table at once
-            out += self._encode_some(texts[at : at + 200])
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        for at in range(0, len(texts), TOGETHER):
+            ids, ends = self._encode_some(texts.slice(at, TOGETHER))
+            coded, ends = memoryview(ids.astype("<u4", copy=False)).cast("B"), (4 * ends).tolist()
+            out += [bytes(coded[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
         return out
 
-    def _parts(self, text: str, cut: Callable[[str], list]) -> list[str | bytes | int]:
+    def _parts(self, text: str) -> list[str | bytes | int]:
         """Pieces of a text, special tokens as their ids."""
         own, at = [], 0
         while self.cut_special and (found := self.cut_special.search(text, at)):
-            own += cut(text[at : found.start()])
+            own += self.cut(text[at : found.start()])
             own.append(self.special[found.group()])
             at = found.end()
-        return own + cut(text[at:]) if at else cut(text)
-
-    def _encode_some(self, texts: list[str]) -> list[bytes]:
-        known = self.pieces
-        parts = [self._parts(text, self.cut) for text in texts]
-        new = {p for p in chain.from_iterable(parts) if p not in known}
-        # The table never holds a piece that is empty or starts with white space, so texts with such a piece show here, and are cut anew.
-        if odd := {p for p in new if type(p) is str and (not p or p[0].isspace())}:
-            parts = [own if odd.isdisjoint(own) else self._parts(text, self.cut_carefully) for own, text in zip(parts, texts, strict=True)]
-            new = {p for p in chain.from_iterable(parts) if p not in known}
-        if len(known) + len(new) > MOST_PIECES:
-            known.clear()
-            new = set(chain.from_iterable(parts))
-        new = [p for p in new if type(p) is not int]
+        return own + self.cut(text[at:])
+
+    def _encode_some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and where each text's end."""
+        cut = pc.split_pattern(texts, " ")
+        places, numbered = cut.offsets.to_numpy().astype(np.int64), cut.values.dictionary_encode()
+        names, which = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        numbers = self._known(names)
+        # No cut precedes an empty piece or one that starts with white space, so its text is cut anew; so is one with a special token.
+        own = (numbers == ODD)[which]
+        own[places[:-1]] = False
+        careful = np.zeros(len(texts), bool)
+        careful[np.searchsorted(places, np.flatnonzero(own), side="right") - 1] = True
+        for token in self.special:
+            careful |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        heads = [p.encode() for p in cut.values.take(pa.array(places[:-1])).to_pylist()]
+        anew = {int(k): self._parts(texts[int(k)].as_py()) for k in np.flatnonzero(careful)}
+        others = set(heads).union(*anew.values())
+        new = [names[k] for k in np.flatnonzero(numbers == UNKNOWN).tolist()] + [p for p in others if p not in self.index]
+        if len(self.index) + len(new) > MOST_PIECES:
+            self.forget()
+            numbers = self._known(names)
+            new = [names[k] for k in np.flatnonzero(numbers == UNKNOWN).tolist()] + [p for p in others if p not in self.index]
         if new:
-            self.learn(new)
-        return [b"".join(map(known.__getitem__, own)) for own in parts]
+            self.learn(list(dict.fromkeys(new)))
+            some = np.flatnonzero(numbers == UNKNOWN)
+            numbers[some] = [self.index[names[k]] for k in some.tolist()]
+        index = self.index
+        pieces = numbers[which]
+        pieces[places[:-1]] = np.fromiter(map(index.__getitem__, heads), np.int64, len(heads))
+        if anew:
+            parts = [pieces[a:b] for a, b in zip(places, places[1:], strict=False)]
+            for k, x in anew.items():
+                parts[k] = np.fromiter(map(index.__getitem__, x), np.int64, len(x))
+            pieces, places = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+        ids, ends = gather(self.flat, self.piece_at, self.piece_n, pieces)
+        return ids, np.concatenate([[0], ends])[places[1:]]
+
+    def _known(self, names: list[str]) -> np.ndarray:
+        """The pieces' numbers, ODD or UNKNOWN; the table never holds an odd piece."""
+        numbers = np.fromiter(map(self.index.get, names, repeat(UNKNOWN)), np.int64, len(names))
+        some = np.flatnonzero(numbers == UNKNOWN)
+        numbers[some] = [ODD if not (p := names[k]) or p[0] in _WHITE else UNKNOWN for k in some.tolist()]
+        return numbers
 
     def decode(self, ids: bytes) -> str:
         """The text of ids as little-endian unsigned 32-bit integers; broken UTF-8 becomes the replacement character."""
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return gather(self.letters, self.letter_at, self.letter_n, np.frombuffer(ids, "<u4"))[0].tobytes().decode("utf-8", "replace")
+
 
+def _places(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each part begins in their join, and its length."""
+    n = np.fromiter(map(len, parts), np.int64, len(parts))
+    return np.cumsum(n) - n, n
 
-class Pieces(dict):
-    """Piece -> ids; a special token's id stands for itself."""
 
-    def __missing__(self, piece: int) -> bytes:
-        return struct.pack("<I", piece)
+def gather(flat: np.ndarray, at: np.ndarray, n: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts ``which`` of ``flat``, one behind the other, and where each ends; so many at a time that places never take more than a few megabytes."""
+    out = [flat[:0]]
+    for k in range(0, len(which), 1 << 17):
+        some = which[k : k + (1 << 17)]
+        size = n[some]
+        behind = np.cumsum(size)
+        out.append(flat[np.repeat(at[some] - behind + size, size) + np.arange(behind[-1])])
+    return np.concatenate(out), np.cumsum(n[which])
 
 
 def _text(piece: str | bytes) -> str:
@@ -308,7 +363,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
     Without ``path`` each worker asks the installed tokenizer package for its own copy of the vocabulary.
     """
 
-    def work(ids: list, texts: list) -> dict:
+    def work(ids: list, texts: pa.Array) -> dict:
         e = encoder(path or vocabulary_path())
         coded = e.encode_batch(texts)
         decoded = [e.decode(c) for c in coded]
@@ -316,4 +371,4 @@ def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
         return out | ({"ids": [np.frombuffer(c, "<u4").tolist() for c in coded], "decoded": decoded} if with_ids else {})
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>, decoded string" if with_ids else "")
-    return map_texts(id_text(docs, id_col, text_col), work, schema)
+    return map_texts(id_text(docs, id_col, text_col), work, schema, arrow=True)

@@ -52,8 +52,8 @@ def hash_mod(id_col: str | Column, n: int) -> Column:
     return (F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % n).cast("int")
 
 
-def map_texts(docs: DataFrame, work: Callable[[list, list], dict], schema: str | StructType, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Run ``work(ids, texts, *extra columns) -> {column: values}`` over Arrow batches of (doc_id, text).
+def map_texts(docs: DataFrame, work: Callable[..., dict], schema: str | StructType, extra: tuple[str, ...] = (), arrow: bool = False) -> DataFrame:
+    """Run ``work(ids, texts, *extra columns) -> {column: values}`` over Arrow batches of (doc_id, text); with ``arrow`` the texts are not made a list.
 
     Batches hold at most a few thousand rows, so memory follows the batch and not the partition.
     """
@@ -61,14 +61,14 @@ def map_texts(docs: DataFrame, work: Callable[[list, list], dict], schema: str |
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(fields)
+    kinds = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                out = work(*(c.to_pylist() for c in part.columns))
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                out = work(*(c if arrow and k == 1 else c.to_pylist() for k, c in enumerate(part.columns)))
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in kinds], schema=kinds)
         give_back()
 
     return chosen.mapInArrow(run, fields)
