@@ -3,15 +3,15 @@
 Every document is its token ids and id 0. Full runs of the capacity are sequences of their own; what is left of each document is an
 item of 1 to capacity - 1 tokens. A linear program over the histogram of item lengths covers all items with patterns (sums of lengths
 up to the capacity) at the least padded length: a sequence costs the capacity, or its own fill where that is a power of two. A
-knapsack by dynamic programming prices new patterns. Rounded-down patterns without padding are dealt to documents by their rank within a
-length; the items that rounding and padding patterns leave are laid end to end, cut at the capacity, and the last tokens are cut into
-powers of two. The place of a rank follows from the histogram alone.
+knapsack by dynamic programming prices new patterns. Patterns are rounded down, then up where their items are left, and the program is solved again
+over what is left, up to ``ROUNDS`` times; patterns without padding are dealt to documents by their rank within a length. The items that remain are laid
+end to end, cut at the capacity, and the last tokens are cut into powers of two. The place of a rank follows from the histogram alone.
 
-Ranks come from windows over (length, part), where a length with many documents has as many parts as it needs, so no
-window grows with the corpus. Sequence ids are unique, not dense.
+A task ranks the items of each length among its own as it encodes them; counts by (length, task) give the ranks' bases. So no window holds
+documents, and a document's tokens move only where the bases are too many to be broadcast. Sequence ids are unique, not dense.
 
 Defined cases: null text is empty and is the single id 0; null ids and repeated rows are packed like any other; an empty table gives
-an empty result; other columns are not read. Texts may have up to 2**24 tokens.
+an empty result; other columns are not read. Texts of any length are packed; more than 2**22 tasks are refused with an error.
 """
 
 from __future__ import annotations
@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 
 from facetlake.functions.storage import materialize
 from facetlake.llm.bpe import encoder, vocabulary_path
-from facetlake.llm.text import id_text, map_texts
+from facetlake.llm.text import give_back, id_text
 
 CAPACITY, END = 1024, 0
 #: The program stops within this share of the least possible cost (all tokens), or after so many columns.
 GAP, COLUMNS = 1e-3, 1500
-#: Documents of one length that share a window, as a share of all documents.
-PARTS = 2048
+#: Programs solved over what the ones before left.
+ROUNDS = 6
+#: Ids of whole sequences are behind WHOLE: the task, then the place in it. Ids of patterns and the rest are below.
+WHOLE, IN_TASK, TASKS = 1 << 62, 40, 1 << 22
 
 
 def padded(fill: int, capacity: int) -> int:
@@ -159,22 +161,38 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, gap: float = GAP, co
     return [({int(lengths[j]): k for j, k in p.items()}, float(u)) for p, u in zip(basis, use, strict=True) if u > 1e-9]
 
 
+def rounded(left: dict[int, int], capacity: int = CAPACITY, gap: float = GAP, columns: int = COLUMNS) -> list[tuple[dict[int, int], int]]:
+    """Patterns without padding and whole numbers of their uses; takes their items out of ``left``.
+
+    A pattern that pads gives its items to the rest, where cutting saves the padding.
+    """
+    out = []
+    for _ in range(ROUNDS):
+        found = len(out)
+        exact = [(p, u) for p, u in solve(left, capacity, gap, columns) if padded(fill := sum(x * k for x, k in p.items()), capacity) == fill]
+        for up in (0, 1):  # down first, then once more where the items are left
+            for pattern, use in sorted(exact, key=lambda x: x[1] % 1, reverse=True) if up else exact:
+                n = min([up or int(use + 1e-6), *(left[x] // k for x, k in pattern.items())])
+                if n > 0:
+                    out.append((pattern, n))
+                    for x, k in pattern.items():
+                        left[x] -= n * k
+        if len(out) == found:
+            break
+    return out
+
+
 class Plan:
     """Where the items of each length go: (sequence, offset, length) pieces by rank."""
 
     def __init__(self, counts: dict[int, int], capacity: int = CAPACITY, gap: float = GAP, columns: int = COLUMNS):
         self.capacity, left, slots, base = capacity, dict(counts), {}, 0
-        for pattern, use in solve(counts, capacity, gap, columns):
-            n = min([int(use + 1e-6), *(left[x] // k for x, k in pattern.items())])
-            fill = sum(x * k for x, k in pattern.items())
-            if n <= 0 or padded(fill, capacity) > fill:  # a pattern that pads gives its items to the rest, where cutting saves the padding
-                continue
+        for pattern, n in rounded(left, capacity, gap, columns):
             at = 0
             for x in sorted(pattern, reverse=True):
                 for _ in range(pattern[x]):
                     slots.setdefault(x, []).append((n, base, at))
                     at += x
-                left[x] -= n * pattern[x]
             base += n
         # per length: ranks below upto[i] go to sequence first[i] + (rank - the one before), at offset[i]
         self.upto = {x: np.cumsum([n for n, *_ in s]) for x, s in slots.items()}
@@ -210,46 +228,54 @@ class Plan:
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    rows = id_text(docs, id_col, text_col).withColumn("row_no", F.monotonically_increasing_id())
-
-    def tokens(ids: list, texts: list, row_no: list) -> dict:
-        tokenizer, size = encoder(path or vocabulary_path()), 4 * capacity
-        coded = [c + END.to_bytes(4, "little") for c in tokenizer.encode_batch(texts)]
-        tails = [c[len(c) // size * size :] for c in coded]
-        if tokenizer.size <= 1 << 16:  # two bytes hold an id
-            tails = [np.frombuffer(t, "<u4").astype("<u2").tobytes() for t in tails]
-        return {"doc_id": ids, "row_no": row_no, "n": [len(c) // 4 for c in coded], "crcs": [[zlib.crc32(c[a : a + size]) for a in range(0, len(c) - size + 1, size)] for c in coded], "tail": tails}
-
-    coded = materialize(map_texts(rows, tokens, "doc_id long, row_no long, n long, crcs array<long>, tail binary", ("row_no",)), "tokens")
-    sizes = materialize(coded.groupBy("n").agg(F.count(F.lit(1)).alias("docs")), "lengths")
-    total = sizes.agg(F.sum("docs")).first()[0] or 0
-    part = max(200, total // PARTS)
-    many = sizes.where(F.col("docs") > part).select("n", F.ceil(F.col("docs") / part).cast("int").alias("parts"))  # at most PARTS rows
-    dealt = coded.join(F.broadcast(many), "n", "left").withColumn("part", F.pmod(F.xxhash64("row_no"), F.coalesce("parts", F.lit(1))).cast("int"))
-    classes = materialize(dealt.groupBy("n", "part").agg(F.count(F.lit(1)).alias("docs")), "classes").withColumn("item", F.col("n") % capacity)
-    before = lambda by, order: F.coalesce(F.sum("docs").over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = materialize(classes.select("n", "part", before("n", ["part"]).alias("in_length"), before("item", ["n", "part"]).alias("in_item")), "bases")
-    plan = Plan({int(r["item"]): int(r["docs"]) for r in classes.where("item > 0").groupBy("item").agg(F.sum("docs").alias("docs")).collect()}, capacity)  # fewer rows than the capacity
-    ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("n", "part").orderBy("row_no")) - 1).join(bases, ["n", "part"])
-    ranked = ranked.select("doc_id", "n", "crcs", "tail", (F.col("rank") + F.col("in_length")).alias("in_length"), (F.col("rank") + F.col("in_item")).alias("in_item"))
+    # The number of the task: the upper bits of an increasing id.
+    rows = id_text(docs, id_col, text_col).select("doc_id", "text", F.shiftrightunsigned(F.monotonically_increasing_id(), 33).alias("task"))
+    schema = pa.schema([("doc_id", pa.int64()), ("task", pa.int64()), ("n", pa.int64()), ("item", pa.int32()), ("rank", pa.int64()), ("whole", pa.int64()), ("crcs", pa.list_(pa.int64())), ("tail", pa.binary())])
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, size, end = encoder(path or vocabulary_path()), 4 * capacity, END.to_bytes(4, "little")
+        seen, whole = [0] * capacity, 0
+        for batch in batches:
+            out: list[list] = [[] for _ in schema]
+            coded = tokenizer.encode_batch(batch.column("text"))
+            for i, task, c in zip(batch.column("doc_id").to_pylist(), batch.column("task").to_pylist(), coded, strict=True):
+                if task >= TASKS:
+                    raise ValueError(f"more than {TASKS} tasks: sequence ids would meet")
+                c += end
+                full, item = len(c) // size, len(c) % size // 4
+                tail = np.frombuffer(c[full * size :], "<u4")
+                row = (i, task, len(c) // 4, item, seen[item], WHOLE + (task << IN_TASK) + whole, [zlib.crc32(c[a : a + size]) for a in range(0, full * size, size)], tail.astype("<u2" if tokenizer.size <= 1 << 16 else "<u4").tobytes())  # two bytes hold an id
+                seen[item] += 1
+                whole += full
+                for x, v in zip(out, row, strict=True):
+                    x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
+        give_back()
+
+    coded = materialize(rows.mapInArrow(tokens, "doc_id long, task long, n long, item int, rank long, whole long, crcs array<long>, tail binary"), "tokens")
+    classes = materialize(coded.where("item > 0").groupBy("item", "task").agg(F.count(F.lit(1)).alias("docs")), "classes")
+    before = Window.partitionBy("item").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as tasks, not documents
+    bases = materialize(classes.select("item", "task", F.coalesce(F.sum("docs").over(before), F.lit(0)).alias("base")), "bases")
+    plan = Plan({int(r["item"]): int(r["docs"]) for r in classes.groupBy("item").agg(F.sum("docs").alias("docs")).collect()}, capacity)  # fewer rows than the capacity
+    ranked = coded.join(bases, ["item", "task"], "left").select("doc_id", "n", "crcs", "tail", "whole", (F.col("rank") + F.coalesce("base", F.lit(0))).alias("rank"))
     shared = docs.sparkSession.sparkContext.broadcast(plan)
     names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-    schema = pa.schema([(k, pa.int64()) for k in names])
+    pieces_schema = pa.schema([(k, pa.int64()) for k in names])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
         for batch in batches:
             out: list[tuple] = []
-            for i, n, crcs, tail, in_length, in_item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i, n, crcs, tail, whole, rank in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 full = n // capacity
-                own = (n << 38) + in_length * full  # ids of whole sequences; those of patterns and the rest are below 2**38
-                out += [(i, c * capacity, capacity, crc, n, own + c, 0) for c, crc in enumerate(crcs)]
+                out += [(i, c * capacity, capacity, crc, n, whole + c, 0) for c, crc in enumerate(crcs)]
                 if item := n % capacity:
                     at, ids = full * capacity, tail if len(tail) == 4 * item else np.frombuffer(tail, "<u2").astype("<u4").tobytes()
-                    for s, offset, length in plan.place(item, in_item):
+                    for s, offset, length in plan.place(item, rank):
                         low = at - full * capacity
                         out.append((i, at, length, zlib.crc32(ids[4 * low : 4 * (low + length)]), n, s, offset))
                         at += length
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * len(names), schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * len(names), schema=pieces_schema)
+        give_back()
 
     return ranked.mapInArrow(pieces, ", ".join(f"{k} long" for k in names))

@@ -547,6 +547,9 @@ def test_packing(docs, rows, tokenizer):
         assert r.length >= 1 and r.doc_tokens == len(by_id[r.doc_id][0]) and r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
         tokens[r.doc_id] += r.length
     assert tokens == {i: sum(map(len, x)) for i, x in by_id.items()}
+    for i, texts in by_id.items():  # every id lies in exactly one piece (of each of the rows with that doc_id)
+        covered = Counter(k for r in out if r.doc_id == i for k in range(r.start, r.start + r.length))
+        assert set(covered.values()) == {len(texts)} and len(covered) == len(texts[0])
     sequences = defaultdict(list)
     for r in out:
         sequences[r.sequence_id].append((r.offset, r.length))
@@ -561,6 +564,44 @@ def test_packing(docs, rows, tokenizer):
     assert padding == 0
 
 
+def test_packing_with_other_capacities(spark, docs, rows, tokenizer):
+    """Small sequences, so that there are full runs, ranks over several tasks and items of every length."""
+    want = Counter(len(e.ids) + 1 for e in tokenizer.encode_batch([t for _, t in rows], add_special_tokens=False))
+    for capacity in (8, 24):
+        out = packing.pack(docs, capacity=capacity).collect()
+        sequences = defaultdict(list)
+        for r in out:
+            sequences[r.sequence_id].append((r.offset, r.length))
+        for pieces in sequences.values():
+            at = 0
+            for offset, length in sorted(pieces):
+                assert offset == at
+                at += length
+            assert at == capacity or at & (at - 1) == 0
+        assert sum(r.length for r in out) == sum(n * k for n, k in want.items())
+
+
+def test_price_is_the_best_pattern():
+    rng = random.Random(12)
+    for _ in range(30):
+        capacity = rng.randint(6, 14)
+        lengths = sorted(rng.sample(range(1, capacity + 1), rng.randint(1, 5)))
+        duals = np.array([rng.uniform(-1, 4) for _ in lengths])
+        costs = np.array([packing.padded(s, capacity) for s in range(capacity + 1)], np.float64)
+
+        def every(k, room):  # all patterns of the lengths from k on
+            if k == len(lengths):
+                yield {}
+                return
+            for n in range(room // lengths[k] + 1):
+                for rest in every(k + 1, room - n * lengths[k]):
+                    yield {k: n, **rest} if n else rest
+
+        value = lambda p: sum(duals[j] * n for j, n in p.items()) - costs[sum(lengths[j] * n for j, n in p.items())]
+        worth, pattern = packing.price(duals, np.array(lengths), costs)
+        assert abs(worth - max(value(p) for p in every(0, capacity) if p)) < 1e-9 and abs(worth - value(pattern)) < 1e-9
+
+
 def test_program_covers_its_items():
     rng = random.Random(2)
     counts = Counter(rng.randint(1, 500) for _ in range(3000))
