@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -12,11 +13,13 @@ _made: dict[str, SparkSession] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
+    """The folder named by spark.checkpoint.dir; where it is unset, a temporary one on a local master (tests), and an error on a cluster."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = spark.conf.get("spark.facetlake.scratch", None)
         if not root:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="facetlake-")
             spark.conf.set("spark.facetlake.scratch", root)
     return root.rstrip("/")
@@ -42,5 +45,5 @@ def _clear() -> None:
             jvm = spark.sparkContext._jvm
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # the session may be gone already
-            return
+        except Exception:  # the session may be gone already, or this folder; the others are still tried
+            continue

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from facetlake.functions.constants import SURFACE_TYPES
+from facetlake.functions.constants import CURVE_TYPES, SURFACE_TYPES
 from facetlake.functions.identity import quantize, short_hash
 
 
@@ -25,31 +25,49 @@ def face_keys(step: float = 1e-3) -> list[Column]:
     return [type_rank(F.col("surface_type")), *point("centroid_mm"), quantize("area_mm2", step), *point("bbox_min_mm"), *point("bbox_max_mm"), F.col("fingerprint"), F.col("traversal_index")]
 
 
+def edge_keys(step: float = 1e-3) -> list[Column]:
+    """Order of edges: curve, middle, length, the smaller and the larger end, fingerprint, place in the file."""
+    point = lambda c: F.struct(*[quantize(F.col(f"{c}.{k}"), step).alias(k) for k in "xyz"])
+    start, end = point("start_mm"), point("end_mm")
+    return [type_rank(F.col("curve_type"), CURVE_TYPES), point("mid_mm"), quantize("length_mm", step), F.least(start, end), F.greatest(start, end), F.col("fingerprint"), F.col("traversal_index")]
+
+
 def ranges(rows: DataFrame, sample: str, index: str, count: str) -> DataFrame:
     """Adds ``start`` and ``end``: the half-open range of each row's items, laid end to end in order."""
     before = Window.partitionBy(sample).orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("start", F.coalesce(F.sum(count).over(before), F.lit(0)).cast("long")).withColumn("end", (F.col("start") + F.col(count)).cast("long"))
 
 
+def histogram(rows: DataFrame, keys: list[str], kind: str) -> DataFrame:
+    """(keys, type, n): how often each type occurs."""
+    return rows.groupBy(*keys, kind).agg(F.count(F.lit(1)).alias("n"))
+
+
 def histogram_text(rows: DataFrame, keys: list[str], kind: str, name: str = "histogram") -> DataFrame:
     """(keys, "type:count,..."), in order of the type."""
-    counts = rows.groupBy(*keys, kind).agg(F.count(F.lit(1)).alias("n"))
+    counts = histogram(rows, keys, kind)
     entry = F.sort_array(F.collect_list(F.struct(F.col(kind).alias("k"), "n")))
     return counts.groupBy(*keys).agg(F.concat_ws(",", F.transform(entry, lambda e: F.concat_ws(":", e["k"], e["n"].cast("string")))).alias(name))
 
 
 def face_fingerprints(faces: DataFrame, neighbours: DataFrame) -> DataFrame:
-    """Pose-free fingerprint of each face: type, area to 0.01, radii to 3 places, loops, edges, and the types around it.
+    """Pose-free fingerprint of each face: type, area to 0.01, radii and cone angle to 3 places, loops, edges, and the types around it.
 
-    ``neighbours`` has (sample_id, face_idx, neighbour_type), one row per adjacent face.
+    ``faces`` is as in ``facetlake.schemas``, ``neighbours`` has (sample_id, face_idx, neighbour_type), one row per adjacent face.
     """
     around = histogram_text(neighbours, ["sample_id", "face_idx"], "neighbour_type", "around")
     p = "analytic_params"
-    radii = [F.coalesce(F.round(f"{p}.{k}", 3).cast("string"), F.lit("-")) for k in ("radius", "major_radius", "minor_radius", "ref_radius")]
-    own = [F.col("surface_type"), quantize("area_mm2", 0.01).cast("string"), *radii, F.col("loop_count").cast("string"), F.size("boundary_edge_ids").cast("string")]
+    radii = [F.coalesce(F.round(f"{p}.{k}", 3).cast("string"), F.lit("-")) for k in ("radius", "major_radius", "minor_radius", "ref_radius", "semi_angle_rad")]
+    own = [F.col("surface_type"), quantize("area_mm2", 0.01).cast("string"), *radii, F.col("loop_count").cast("string"), F.coalesce(F.size("boundary_edges"), F.lit(0)).cast("string")]
     return faces.join(around, ["sample_id", "face_idx"], "left").withColumn("fingerprint", short_hash(*own, F.coalesce("around", F.lit("")))).drop("around")
 
 
+def neighbour_types(faces: DataFrame) -> DataFrame:
+    """(sample_id, face_idx, neighbour_type) from the faces' own lists of adjacent ones."""
+    around = faces.select("sample_id", "face_idx", F.explode("adjacent").alias("other"))
+    return around.join(faces.select("sample_id", F.col("face_idx").alias("other"), F.col("surface_type").alias("neighbour_type")), ["sample_id", "other"]).drop("other")
+
+
 def edge_fingerprint(curve: Column, length: Column, convexity: Column, face_fingerprints: Column) -> Column:
     return short_hash(curve, quantize(length, 0.01).cast("string"), convexity, F.concat_ws(",", F.array_sort(face_fingerprints)))
 

@@ -76,12 +76,16 @@ def label_faces(points: DataFrame, tools: DataFrame, faces: DataFrame, tolerance
 
 
 def cloud_checks(points: DataFrame, faces: DataFrame, boxes: DataFrame) -> DataFrame:
-    """One row a sample: every face has points, indices in range, unit normals, and the inverse of the normalization within 1e-4 of its scale."""
-    per = points.groupBy("sample_id").agg(F.countDistinct("face_idx").alias("hit"), F.max("face_idx").alias("top"), F.max(F.abs(v.norm(F.col("normal")) - 1)).alias("off"))
+    """One row a sample: every face has points, indices in range, unit normals, points on the surface, and the inverse of the normalization within 1e-4 of its scale.
+
+    ``points`` has ``projection_ratio``, a point's distance from the exact surface over the allowed one, which whoever sampled it knows; without the column the check fails.
+    """
+    ratio = F.max("projection_ratio") if "projection_ratio" in points.columns else F.max(F.lit(None).cast("double"))
+    per = points.groupBy("sample_id").agg(F.countDistinct("face_idx").alias("hit"), F.min("face_idx").alias("low"), F.max("face_idx").alias("top"), F.max(F.abs(v.norm(F.col("normal")) - 1)).alias("off"), ratio.alias("ratio"))
     n = faces.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
     back = points.join(boxes, "sample_id").groupBy("sample_id").agg(F.max(F.greatest(*[F.abs(denormalize(normalize(F.col("p")[c], F.col("centre")[c], F.col("scale")), F.col("centre")[c], F.col("scale")) - F.col("p")[c]) - 1e-4 * F.col("scale") - 1e-4 for c in "xyz"])).alias("worst"))
     rows = n.join(per, "sample_id", "left").join(back, "sample_id", "left")
-    return rows.select("sample_id", (F.col("hit") == F.col("n")).alias("every_face_sampled"), (F.col("top") < F.col("n")).alias("faces_in_range"), (F.col("off") <= 1e-3).alias("unit_normals"), (F.col("worst") <= 0).alias("inverse_close"))
+    return rows.select("sample_id", (F.col("hit") == F.col("n")).alias("every_face_sampled"), ((F.col("low") >= 0) & (F.col("top") < F.col("n"))).alias("faces_in_range"), (F.col("off") <= 1e-3).alias("unit_normals"), (F.col("ratio") <= 1).alias("on_surface"), (F.col("worst") <= 0).alias("inverse_close"))
 
 
 def mesh_scalars(triangles: DataFrame) -> DataFrame:

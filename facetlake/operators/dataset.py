@@ -57,6 +57,11 @@ def class_distribution(rows: DataFrame, split: str, label: str) -> DataFrame:
     return rows.groupBy(split, label).agg(F.count(F.lit(1)).alias("n"))
 
 
+def split_sizes(rows: DataFrame) -> DataFrame:
+    """(split, samples, families, groups): how many samples and design groups each split has, and its families in order."""
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("samples"), F.concat_ws(",", F.sort_array(F.collect_set("family"))).alias("families"), F.countDistinct("design_group").alias("groups"))
+
+
 def content_digest(rows: DataFrame, *columns: str) -> DataFrame:
     """One row: the number of rows, and a SHA-256 over the sums of each row's hash in four parts, which no order of rows changes."""
     text = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]), 256)
@@ -70,7 +75,8 @@ def build(samples: DataFrame, clusters: DataFrame, seed: int = 7, mode: str = "g
     Returns its samples with splits, the excluded ones, and one row with the dataset id, derived from content alone (excluded samples included).
     Raises where a unit, a content or a near-duplicate cluster would cross splits.
     """
-    included = split_units(samples.where(F.col("reason") == "ok"), clusters)
+    samples = materialize(samples, "verdicts")
+    included = materialize(split_units(samples.where(F.col("reason") == "ok"), clusters), "included")
     units = materialize(unit_families(included), "families")
     assigned = splits.split_by_family(units, seed) if mode == "family" else splits.split_by_group(units, seed)
     rows = materialize(included.join(assigned.select(F.col("unit").alias("split_unit"), "split"), "split_unit"), "samples")

@@ -18,13 +18,22 @@ def adjacent_pairs(face_edge: DataFrame) -> DataFrame:
 
 
 def pair_features(pairs: DataFrame, edges: DataFrame, face_edge: DataFrame) -> DataFrame:
-    """Per ordered pair: number and length of shared edges, the share of the source's boundary, and the longest edge (of equals the one with the smallest index) with its class and angle over 180, where 0 or none counts as 180."""
+    """Per ordered pair: number and length of shared edges, the share of the source's boundary, and the longest edge (of equals the one with the smallest index) with its class and angle over 180, where 0 or none counts as 180.
+
+    The class and the curve also stand as indicators (``is_convex`` to ``is_bent``), which with angle, share and number are the ten features of a pair.
+    """
     total = face_edge.select("sample_id", "face_idx", "edge_idx").distinct().join(edges.select("sample_id", "edge_idx", "length_mm"), ["sample_id", "edge_idx"]).groupBy("sample_id", F.col("face_idx").alias("src")).agg(F.sum("length_mm").alias("boundary"))
     longest = F.max_by(F.struct("edge_idx", "convexity", "dihedral_angle_deg", "curve_type"), F.struct("length_mm", -F.col("edge_idx")))
     found = pairs.join(edges, ["sample_id", "edge_idx"]).groupBy("sample_id", "src", "dst").agg(F.count(F.lit(1)).alias("n_shared"), F.sum("length_mm").alias("shared_length"), longest.alias("main"))
     angle = F.when(F.coalesce(F.col("main.dihedral_angle_deg"), F.lit(0.0)) == 0, 180.0).otherwise(F.col("main.dihedral_angle_deg")) / 180
     share = F.when(F.col("boundary") > 0, F.col("shared_length") / F.col("boundary")).otherwise(0.0)
-    return found.join(total, ["sample_id", "src"]).select("sample_id", "src", "dst", "n_shared", "shared_length", F.col("main.edge_idx").alias("main_edge"), F.col("main.convexity").alias("convexity"), F.col("main.curve_type").alias("curve_type"), angle.alias("angle"), share.alias("shared_fraction"))
+    return found.join(total, ["sample_id", "src"]).select("sample_id", "src", "dst", "n_shared", "shared_length", F.col("main.edge_idx").alias("main_edge"), F.col("main.convexity").alias("convexity"), F.col("main.curve_type").alias("curve_type"), angle.alias("angle"), share.alias("shared_fraction"), *[c.cast("float").alias(k) for k, c in _indicators(F.col("main.convexity"), F.col("main.curve_type")).items()])
+
+
+def _indicators(convexity: Column, curve: Column) -> dict[str, Column]:
+    kind, form = F.coalesce(convexity, F.lit("")), F.coalesce(curve, F.lit(""))
+    named = {f"is_{k}": kind == k for k in ("convex", "concave", "smooth")} | {"is_other_class": ~kind.isin("convex", "concave", "smooth")}
+    return named | {"is_line": form == "line", "is_circle": form == "circle", "is_bent": ~form.isin("line", "circle")}
 
 
 def graph_type(surface: Column) -> Column:
@@ -65,7 +74,7 @@ def global_features(faces: DataFrame, edges: DataFrame, samples: DataFrame) -> D
     """The 13 features of every sample; ``samples`` has (sample_id, volume_mm3, surface_area_mm2, dims)."""
     d = F.col("dims")
     half = F.sqrt(d["x"] * d["x"] + d["y"] * d["y"] + d["z"] * d["z"])
-    extents = F.array_sort(F.array(d["x"], d["y"], d["z"]))
+    extents = F.sort_array(F.array(d["x"], d["y"], d["z"]), asc=False)
     shares = [F.avg((graph_type(F.col("surface_type")) == k).cast("double")).alias(f"share_{k}") for k in GRAPH_SURFACES]
     counts = faces.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_faces"), *shares).join(edges.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_edges")), "sample_id", "left")
     named = {"log_volume": F.log1p(F.abs("volume_mm3")), "log_area": F.log1p("surface_area_mm2")}

@@ -29,7 +29,7 @@ def moves(events: DataFrame, job: str, order: list, state: str) -> DataFrame:
 def illegal_moves(events: DataFrame, job: str, order: list, state: str, allowed: DataFrame) -> DataFrame:
     """Events whose move from the state before is not among ``allowed`` (src, dst)."""
     moved = moves(events, job, order, state).where(F.col("previous").isNotNull())
-    return moved.join(F.broadcast(allowed), (F.col("previous") == F.col("src")) & (F.col(state) == F.col("dst")), "left_anti")
+    return moved.join(allowed, (F.col("previous") == F.col("src")) & (F.col(state) == F.col("dst")), "left_anti")
 
 
 def latest_state(events: DataFrame, job: str, order: list[str], state: str) -> DataFrame:

@@ -31,6 +31,11 @@ def classification_report(matrix: DataFrame) -> DataFrame:
     return rows.unionByName(total.select(F.lit("all").alias("label"), F.lit(None).cast("double").alias("precision"), "recall", "f1", "support"))
 
 
+def agreement(rows: DataFrame, keys: list[str], truth: str, other: str) -> DataFrame:
+    """Per key the share of rows whose two labels agree; a missing label agrees with none."""
+    return rows.groupBy(*keys).agg(F.round(F.avg(F.coalesce(F.col(truth) == F.col(other), F.lit(False)).cast("double")), 6).alias("agreement"))
+
+
 def class_weights(rows: DataFrame, label: str, labels: list) -> DataFrame:
     """(label, weight): one over the root of the count, 0 for absent labels, scaled to mean 1 over those present."""
     spark = rows.sparkSession
@@ -49,7 +54,7 @@ def standardizer(rows: DataFrame, vector: str) -> DataFrame:
 
 def standardize(rows: DataFrame, key: str, vector: str, fitted: DataFrame) -> DataFrame:
     """(key, dim, z); ``fitted`` has a row per dimension."""
-    return rows.select(key, F.posexplode(vector).alias("dim", "x")).join(F.broadcast(fitted), "dim").select(key, "dim", ((F.col("x") - F.col("mean")) / F.col("std")).alias("z"))
+    return rows.select(key, F.posexplode(vector).alias("dim", "x")).join(fitted, "dim").select(key, "dim", ((F.col("x") - F.col("mean")) / F.col("std")).alias("z"))
 
 
 def multiset_jaccard(left: DataFrame, right: DataFrame, keys: list[str], item: str) -> DataFrame:
@@ -124,7 +129,7 @@ def train_nearest_mean(rows: DataFrame, key: str, vector: str, label: str, is_tr
     fitted = standardizer(rows.where(is_train), vector)
     z = standardize(rows, key, vector, fitted).join(rows.select(key, label, is_train), key)
     means = z.where(is_train).groupBy(F.col(label).alias("predicted"), "dim").agg(F.avg("z").alias("m"))
-    far = z.join(F.broadcast(means), "dim").groupBy(key, "predicted").agg(F.sum((F.col("z") - F.col("m")) * (F.col("z") - F.col("m"))).alias("d"))
+    far = z.join(means, "dim").groupBy(key, "predicted").agg(F.sum((F.col("z") - F.col("m")) * (F.col("z") - F.col("m"))).alias("d"))
     return far.groupBy(key).agg(F.min_by("predicted", F.struct("d", "predicted")).alias("predicted"))
 
 

@@ -19,9 +19,13 @@ def _families(units: DataFrame, seed: int) -> DataFrame:
 
 def split_by_group(units: DataFrame, seed: int = 7) -> DataFrame:
     """(unit, family, split): of each family's shuffled units the first is held out if there are two, the second if there are four; which of val and test comes first alternates over the shuffled families."""
-    order = Window.partitionBy("family").orderBy(shuffled(seed, "family", "unit"), "unit")
-    ranked = units.select("unit", "family").distinct().withColumn("j", F.row_number().over(order) - 1).join(units.select("unit", "family").distinct().groupBy("family").agg(F.count(F.lit(1)).alias("n")), "family")
-    ranked = ranked.join(_families(units, seed), "family")
+    place = F.struct(shuffled(seed, "family", "unit").alias("key"), "unit")
+    own = units.select("unit", "family").distinct().withColumn("place", place)
+    firsts = own.groupBy("family").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    # Only the first two places of a family matter: two aggregates, so that a family of any size is never ranked in one task.
+    seconds = own.join(firsts, "family").where(F.col("place") > F.col("first")).groupBy("family").agg(F.min("place").alias("second"))
+    heads = firsts.join(seconds, "family", "left").join(_families(units, seed), "family")
+    ranked = own.join(heads, "family").withColumn("j", F.when(F.col("place") == F.col("first"), 0).when(F.col("place") == F.col("second"), 1).otherwise(2))
     one, other = F.when(F.col("k") % 2 == 0, "val").otherwise("test"), F.when(F.col("k") % 2 == 0, "test").otherwise("val")
     split = F.when((F.col("j") == 0) & (F.col("n") >= 2), one).when((F.col("j") == 1) & (F.col("n") >= 4), other).otherwise("train")
     return ranked.select("unit", "family", split.alias("split"))

@@ -52,6 +52,24 @@ def feature_coverage(features: DataFrame, faces: DataFrame) -> DataFrame:
     return faces.join(named, ["sample_id", "face_idx"], "left").groupBy("sample_id").agg(F.bool_and(F.coalesce("named", F.lit(False))).alias("every_face_assigned"))
 
 
+def round_trip(written: DataFrame, read: DataFrame, name: str = "graph_round_trip") -> DataFrame:
+    """One row a sample: whether the rows that were written are those that are read back, repeated ones included."""
+    lost, new = written.exceptAll(read).select("sample_id"), read.exceptAll(written).select("sample_id")
+    return written.select("sample_id").distinct().join(lost.unionAll(new).distinct().withColumn("changed", F.lit(True)), "sample_id", "left").select("sample_id", F.col("changed").isNull().alias(name))
+
+
+def output_checks(faces: DataFrame, face_edge: DataFrame, graph: dict[str, DataFrame], points: DataFrame, triangles: DataFrame, pixels: DataFrame, features: DataFrame, reread: DataFrame) -> DataFrame:
+    """(sample_id, failed, code) over all 19 checks of a sample's outputs: seven of the graph, five of its points, three of the mesh, two of the views, the features' coverage, and the arcs as read back.
+
+    ``graph`` has "pairs" and "nodes"; ``reread`` is the table of pairs as it was stored.
+    """
+    from facetlake.operators import cloud
+    from facetlake.operators import graph as graphs
+
+    own = [graphs.invariants(faces, graph["pairs"], graph["nodes"], face_edge), cloud.cloud_checks(points, faces, cloud.normalization(points.select("sample_id", "p.*")))]
+    return verdict(*own, mesh_checks(triangles, faces), view_checks(pixels, faces), feature_coverage(features, faces), round_trip(graph["pairs"], reread))
+
+
 def verdict(*checks: DataFrame) -> DataFrame:
     """(sample_id, failed, code): the names of failed checks over all tables of checks, and the error code if there are any. A check without a row fails."""
     rows = reduce(lambda a, b: a.join(b, "sample_id", "full_outer"), checks)

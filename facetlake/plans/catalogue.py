@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetlake.functions import identity
+from facetlake.functions.constants import ERROR_CODES, GRAPH_SURFACES
+from facetlake.functions.storage import materialize
 from facetlake.functions import vectors as v
 from facetlake.operators import canonical, cloud, dataset, graph, intake, jobs, lineage, metrics, near_duplicates, raster, recognize, splits
 from facetlake.sources import analytic
@@ -64,13 +66,14 @@ assigned AS (SELECT s.*, split FROM samples s JOIN by_group g ON g.unit = s.desi
 """
 
 
-def units(spark: SparkSession, d: str) -> DataFrame:
-    return samples(spark, d).where("reason = 'ok'").select(F.col("design_group").alias("unit"), "family").distinct()
+def units(spark: SparkSession, d: str, included: DataFrame | None = None) -> DataFrame:
+    rows = samples(spark, d).where("reason = 'ok'") if included is None else included
+    return rows.select(F.col("design_group").alias("unit"), "family").distinct()
 
 
 def assigned(spark: SparkSession, d: str) -> DataFrame:
-    rows = samples(spark, d).where("reason = 'ok'")
-    return rows.join(splits.split_by_group(units(spark, d), SEED).select(F.col("unit").alias("design_group"), "split"), "design_group")
+    rows = materialize(samples(spark, d).where("reason = 'ok'"), "included")  # read twice: for the units and for their samples
+    return rows.join(splits.split_by_group(units(spark, d, rows), SEED).select(F.col("unit").alias("design_group"), "split"), "design_group")
 
 
 @query(f"WITH {S_SQL} SELECT sample_id, content, reason FROM samples")
@@ -154,7 +157,7 @@ def class_distribution(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {S_SQL} SELECT split, count(*) AS samples, string_agg(DISTINCT family, ',' ORDER BY family) AS families, count(DISTINCT design_group) AS groups FROM assigned GROUP BY 1")
 def split_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return assigned(spark, d).groupBy("split").agg(F.count(F.lit(1)).alias("samples"), F.concat_ws(",", F.sort_array(F.collect_set("family"))).alias("families"), F.countDistinct("design_group").alias("groups"))
+    return dataset.split_sizes(assigned(spark, d))
 
 
 @query(f"WITH {S_SQL} SELECT round(avg(CAST(has_truth AS INTEGER)), 6)::DOUBLE AS ground_truth, round(avg(CASE WHEN n_chars >= 200 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS text FROM samples")
@@ -164,7 +167,7 @@ def completeness(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {S_SQL} SELECT split, round(avg(CASE WHEN label = rule_label THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS agreement FROM assigned GROUP BY 1")
 def rule_agreement(spark: SparkSession, d: str) -> DataFrame:
-    return assigned(spark, d).groupBy("split").agg(F.round(F.avg((F.col("label") == F.col("rule_label")).cast("double")), 6).alias("agreement"))
+    return metrics.agreement(assigned(spark, d), ["split"], "label", "rule_label")
 
 
 @query()
@@ -243,7 +246,7 @@ def unambiguous_match(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT l_orderkey, l_returnflag AS surface_type, count(*) AS n FROM lineitem GROUP BY ALL")
 def type_histogram(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "lineitem").groupBy("l_orderkey", F.col("l_returnflag").alias("surface_type")).agg(F.count(F.lit(1)).alias("n"))
+    return canonical.histogram(read(spark, d, "lineitem").withColumnRenamed("l_returnflag", "surface_type"), ["l_orderkey"], "surface_type")
 
 
 # ---- graph: each nation of suppliers is a part, suppliers are faces, orders the edges between them
@@ -273,12 +276,12 @@ def adjacency_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""WITH {T_SQL}, boundary AS (SELECT face_idx AS src, sum(length_mm) AS boundary FROM fe JOIN edges USING (edge_idx) GROUP BY 1),
 g AS (SELECT src, dst, count(*) AS n_shared, sum(length_mm) AS shared_length, arg_max({{'e': edge_idx, 'c': convexity, 'a': angle}}, {{'l': length_mm, 'e': -edge_idx}}) AS main FROM pairs JOIN edges USING (edge_idx) GROUP BY ALL)
-SELECT src, dst, n_shared, shared_length, main.e AS main_edge, main.c AS convexity, round(CASE WHEN main.a = 0 THEN 1.0 ELSE main.a / 180 END, 6)::DOUBLE AS angle, round(shared_length / boundary, 6)::DOUBLE AS shared_fraction FROM g JOIN boundary USING (src)"""
+SELECT src, dst, n_shared, shared_length, main.e AS main_edge, main.c AS convexity, main.c = 'convex' AS is_convex, main.c NOT IN ('convex', 'concave', 'smooth') AS is_other_class, round(CASE WHEN main.a = 0 THEN 1.0 ELSE main.a / 180 END, 6)::DOUBLE AS angle, round(shared_length / boundary, 6)::DOUBLE AS shared_fraction FROM g JOIN boundary USING (src)"""
 )
 def pair_features(spark: SparkSession, d: str) -> DataFrame:
     face_edge, edges = topology(spark, d)
     found = graph.pair_features(graph.adjacent_pairs(face_edge), edges, face_edge)
-    return found.select("src", "dst", "n_shared", "shared_length", "main_edge", "convexity", F.round("angle", 6).alias("angle"), F.round("shared_fraction", 6).alias("shared_fraction"))
+    return found.select("src", "dst", "n_shared", "shared_length", "main_edge", "convexity", (F.col("is_convex") == 1).alias("is_convex"), (F.col("is_other_class") == 1).alias("is_other_class"), F.round("angle", 6).alias("angle"), F.round("shared_fraction", 6).alias("shared_fraction"))
 
 
 @query(f"WITH {T_SQL}, p AS (SELECT DISTINCT src, dst FROM pairs) SELECT count(*) AS one_way FROM p WHERE NOT EXISTS (SELECT 1 FROM p q WHERE q.src = p.dst AND q.dst = p.src)")
@@ -287,28 +290,55 @@ def graph_symmetry_check(spark: SparkSession, d: str) -> DataFrame:
     return arcs.exceptAll(arcs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).agg(F.count(F.lit(1)).alias("one_way"))
 
 
+def supplier_faces(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as the faces of one part; whole numbers of their keys and balances stand for measures."""
+    k, none = F.col("s_suppkey"), F.lit(None).cast("double")
+    kind = F.element_at(F.array(*map(F.lit, (*GRAPH_SURFACES[:5], "bspline", "other"))), (k % 7 + 1).cast("int"))
+    point = lambda x, y, z: v.vec(x.cast("double"), y.cast("double"), z.cast("double"))
+    low, high = point(k % 5, k % 3, F.lit(0)), point(k % 5 + k % 11, k % 3 + k % 4, k % 9)
+    params = F.struct(F.when(k % 7 == 1, (k % 13).cast("double")).alias("radius"), F.when(k % 7 == 4, (k % 4).cast("double")).alias("minor_radius"), F.when(k % 7 == 2, (k % 6).cast("double")).alias("ref_radius"), none.alias("major_radius"))
+    curvature = F.struct(F.when(k % 7 == 0, none).otherwise(((k % 10) / 10 - 0.5)).alias("mean_curvature_mean"), F.when(k % 7 == 3, (k % 8) / 8).alias("gaussian_curvature_mean"))
+    normal = F.when(k % 6 > 0, point(k % 2, 1 - k % 2, F.lit(0)))
+    return read(spark, d, "supplier").select(F.lit("all").alias("sample_id"), k.alias("face_idx"), kind.alias("surface_type"), F.when(k % 2 == 0, "reversed").otherwise("forward").alias("orientation"), F.abs("s_acctbal").alias("area_mm2"), low.alias("bbox_min_mm"), high.alias("bbox_max_mm"), normal.alias("normal_at_centroid"), params.alias("analytic_params"), curvature.alias("curvature"), (k % 3 + 1).cast("int").alias("loop_count"))
+
+
 @query(
     f"""WITH {T_SQL}, j AS (SELECT face_idx, convexity, convexity <> 'seam' AS plain FROM fe JOIN edges USING (edge_idx)),
 c AS (SELECT face_idx, count(*) AS n_edges, CASE WHEN sum(CAST(plain AS INTEGER)) > 0 THEN sum(CAST(plain AS INTEGER)) ELSE count(*) END AS base,
   count(*) FILTER (convexity = 'convex') AS x, count(*) FILTER (convexity = 'concave') AS v, count(*) FILTER (convexity = 'smooth') AS s FROM j GROUP BY 1),
-d AS (SELECT src AS face_idx, count(DISTINCT dst) AS degree FROM pairs GROUP BY 1)
-SELECT face_idx, n_edges, round(x / base, 6)::DOUBLE AS convex_fraction, round(v / base, 6)::DOUBLE AS concave_fraction, round(s / base, 6)::DOUBLE AS smooth_fraction, coalesce(degree, 0) AS degree FROM c LEFT JOIN d USING (face_idx)"""
+d AS (SELECT src AS face_idx, count(DISTINCT dst) AS degree FROM pairs GROUP BY 1),
+f AS (SELECT s_suppkey AS k, abs(s_acctbal) AS area, s_suppkey % 7 AS t, 12.5::DOUBLE AS scale, list_reverse_sort([(s_suppkey % 11)::DOUBLE, s_suppkey % 4, s_suppkey % 9]) AS ext,
+  CASE s_suppkey % 7 WHEN 1 THEN s_suppkey % 13 WHEN 4 THEN s_suppkey % 4 WHEN 2 THEN s_suppkey % 6 ELSE 0 END::DOUBLE AS radius FROM supplier),
+r AS (SELECT k AS face_idx, [{', '.join(f'(t = {i})::INTEGER' for i in range(5))}, (t > 4)::INTEGER, area / 250000.0, ln(1 + area), CASE WHEN k % 6 > 0 THEN k % 2 ELSE 0 END, CASE WHEN k % 6 > 0 THEN 1 - k % 2 ELSE 0 END, 0,
+  CASE WHEN t = 0 THEN 0 ELSE (k % 10) / 10.0::DOUBLE - 0.5 END * scale, CASE WHEN t = 3 THEN (k % 8) / 8.0::DOUBLE ELSE 0 END * scale * scale, radius / scale, ln(1 + radius), 1 - k % 2, k % 3 + 1,
+  coalesce(n_edges, 0), coalesce(x / base, 0), coalesce(v / base, 0), coalesce(s / base, 0), ext[1] / 25, ext[2] / 25, ext[3] / 25, coalesce(degree, 0)]::DOUBLE[] AS x FROM f LEFT JOIN c ON c.face_idx = k LEFT JOIN d ON d.face_idx = k)
+SELECT face_idx, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS feature, round(unnest(x), 3) + 0.0::DOUBLE AS "value" FROM r"""
 )
 def node_features(spark: SparkSession, d: str) -> DataFrame:
+    """All 25 features of every face, one row each."""
     face_edge, edges = topology(spark, d)
-    degree = graph.adjacent_pairs(face_edge).groupBy(F.col("src").alias("face_idx")).agg(F.countDistinct("dst").alias("degree"))
-    own = graph.convexity_fractions(face_edge, edges)
-    return own.join(degree, "face_idx", "left").select("face_idx", "n_edges", *[F.round(f"{k}_fraction", 6).alias(f"{k}_fraction") for k in ("convex", "concave", "smooth")], F.coalesce("degree", F.lit(0)).cast("long").alias("degree"))
+    boxes = spark.createDataFrame([("all", 250000.0)], "sample_id string, surface_area_mm2 double").withColumn("dims", v.vec(15.0, 0.0, 20.0))
+    rows = graph.node_features(supplier_faces(spark, d), face_edge, edges, boxes)
+    values = F.array(*[F.col(c).cast("double") for c in rows.columns if c not in ("sample_id", "face_idx")])
+    return rows.select("face_idx", F.posexplode(values).alias("feature", "value")).select("face_idx", "feature", (F.round("value", 3) + F.lit(0.0)).alias("value"))
 
 
 @query(
-    """WITH g AS (SELECT l_orderkey, count(*) AS n, avg(CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END) AS a, avg(CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END) AS b FROM lineitem GROUP BY 1)
-SELECT o_orderkey, round(ln(1 + o_totalprice), 6) AS log_area, round(ln(1 + n), 6) AS log_faces, round(a, 6)::DOUBLE AS share_a, round(b, 6)::DOUBLE AS share_n FROM orders JOIN g ON l_orderkey = o_orderkey"""
+    """WITH f AS (SELECT l_orderkey AS k, count(*) AS n, count(DISTINCT l_linenumber) AS e, avg(CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END) AS a, avg(CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END) AS b FROM lineitem GROUP BY 1),
+s AS (SELECT o_orderkey, o_totalprice AS volume, [(o_orderkey % 7)::DOUBLE, o_custkey % 5, 1 + o_orderkey % 3] AS dims FROM orders),
+t AS (SELECT *, sqrt(dims[1] * dims[1] + dims[2] * dims[2] + dims[3] * dims[3]) AS half, list_reverse_sort(dims) AS d FROM s JOIN f ON k = o_orderkey),
+r AS (SELECT o_orderkey, [ln(1 + volume), ln(1 + volume / 2), d[1] / half, d[2] / half, d[3] / half, ln(1 + n), ln(1 + e), a, b, 0, 0, 0, 1 - a - b]::DOUBLE[] AS x FROM t)
+SELECT o_orderkey, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS feature, abs(round(unnest(x), 3)) AS "value" FROM r"""
 )
 def global_features(spark: SparkSession, d: str) -> DataFrame:
-    share = lambda k: F.round(F.avg((F.col("l_returnflag") == k).cast("double")), 6)
-    per = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"), share("A").alias("share_a"), share("N").alias("share_n"))
-    return read(spark, d, "orders").join(per, "o_orderkey").select("o_orderkey", F.round(F.log1p("o_totalprice"), 6).alias("log_area"), F.round(F.log1p("n"), 6).alias("log_faces"), "share_a", "share_n")
+    """All 13 features of every order as a part, one row each; its lines are faces, its line numbers edges."""
+    kind = F.when(F.col("l_returnflag") == "A", "plane").when(F.col("l_returnflag") == "N", "cylinder").otherwise("bspline")
+    lines = read(spark, d, "lineitem").withColumnRenamed("l_orderkey", "sample_id")
+    k = F.col("o_orderkey")
+    parts = read(spark, d, "orders").select(k.alias("sample_id"), F.col("o_totalprice").alias("volume_mm3"), (F.col("o_totalprice") / 2).alias("surface_area_mm2"), v.vec(k % 7, F.col("o_custkey") % 5, 1 + k % 3).alias("dims"))
+    rows = graph.global_features(lines.select("sample_id", kind.alias("surface_type")), lines.select("sample_id", "l_linenumber").distinct(), parts)
+    values = F.array(*[F.col(c).cast("double") for c in rows.columns if c != "sample_id"])
+    return rows.select(F.col("sample_id").alias("o_orderkey"), F.posexplode(values).alias("feature", "value")).withColumn("value", F.abs(F.round("value", 3)))
 
 
 # ---- metrics
@@ -380,17 +410,22 @@ def relative_spread(spark: SparkSession, d: str) -> DataFrame:
 HOST, TITLE = r"^https?://([^/:]+)", r"<title>([^<]*)</title>"
 
 
-@query(f"SELECT page_id, regexp_extract(url, '{HOST}', 1) AS host, regexp_extract(html, '{TITLE}', 1) AS title FROM pages")
+@query(
+    f"""WITH p AS (SELECT page_id, replace(regexp_extract(url, '{HOST}', 1), chr(39), '') AS host, replace(regexp_extract(html, '{TITLE}', 1), chr(39), '') AS title FROM pages)
+SELECT page_id, nullif(substr(trim(title, ' ' || chr(9) || chr(10) || chr(13)), 1, 200), '') AS step_schema, nullif(substr(host, 1, 200), '') AS originating_system FROM p"""
+)
 def header_probe(spark: SparkSession, d: str) -> DataFrame:
-    head = F.substring("html", 1, intake.HEAD_BYTES)
-    return read(spark, d, "pages").select("page_id", F.regexp_extract("url", HOST, 1).alias("host"), F.regexp_extract(head, TITLE, 1).alias("title"))
+    """Titles and hosts of pages in the place of a file's schema and system, read back from a header."""
+    plain = lambda c: F.regexp_replace(c, "'", "")
+    head = F.concat(F.lit("HEADER;\nfile_schema ( ( ' "), plain(F.regexp_extract("html", TITLE, 1)), F.lit(" ' ) );\nFILE_NAME ('n','t',('a'),('o'),'pre','"), plain(F.regexp_extract("url", HOST, 1)), F.lit("','');"))
+    return read(spark, d, "pages").select("page_id", *(c.alias(k) for k, c in intake.header_fields(head).items()))
 
 
 WORDS = ((r"the\s", "en"), (r"der\s", "de"), (r"les?\s", "fr"), (r"que\s", "es"))
 
 
 def _first_of(pairs: tuple) -> str:
-    hit = lambda p: f"CASE WHEN regexp_matches(text, '{p}', 's') THEN length(regexp_extract(text, '^((?:.|\\n)*?){p}', 1)) END"
+    hit = lambda p: f"CASE WHEN regexp_matches(text, '(?i){p}', 's') THEN length(regexp_extract(text, '(?i)^((?:.|\\n)*?){p}', 1)) END"
     return "list_min(list_filter([" + ", ".join(f"CASE WHEN {hit(p)} IS NOT NULL THEN {{'at': {hit(p)}, 'rank': {i}, 'unit': '{u}'}} END" for i, (p, u) in enumerate(pairs)) + "], lambda x: x IS NOT NULL)).unit"
 
 
@@ -445,9 +480,17 @@ def latest_state(spark: SparkSession, d: str) -> DataFrame:
     return jobs.latest_state(read(spark, d, "events"), "user_id", ["ts", "event_id"], "event_type").select("user_id", "state", "events")
 
 
-@query("SELECT event_type, round(quantile_cont(value, 0.5), 6)::DOUBLE AS p50, round(quantile_cont(value, 0.95), 6)::DOUBLE AS p95, round(max(value), 6)::DOUBLE AS max, count(value) AS n FROM events GROUP BY 1")
+@query(
+    """WITH l AS (SELECT user_id % 10 AS pool, (epoch_us(max(ts)) - epoch_us(min(ts) FILTER (event_type = (SELECT min(event_type) FROM events)))) / 1e6::DOUBLE AS s FROM events GROUP BY user_id)
+SELECT pool, round(quantile_cont(s, 0.5), 4)::DOUBLE AS p50, round(quantile_cont(s, 0.95), 4)::DOUBLE AS p95, round(max(s), 4)::DOUBLE AS max, count(s) AS n FROM l WHERE s IS NOT NULL GROUP BY 1"""
+)
 def latency_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.percentiles(read(spark, d, "events"), ["event_type"], "value")
+    """From a user's first event of the first kind to the last one, by pools of users."""
+    events = read(spark, d, "events")
+    first = events.agg(F.min("event_type")).first()[0] or ""
+    seconds = jobs.latencies(events, "user_id", "ts", "event_type", first).withColumn("pool", F.col("user_id") % 10)
+    found = metrics.percentiles(seconds, ["pool"], "seconds")
+    return found.select("pool", *[F.round(c, 4).alias(c) for c in ("p50", "p95", "max")], "n")
 
 
 LEASE_SQL = "leases AS (SELECT event_id AS job_id, CASE WHEN event_id % 3 = 0 THEN 'parsing' WHEN event_id % 3 = 1 THEN 'extracting' ELSE 'queued' END AS state, CAST(event_id % 4 + 1 AS INTEGER) AS attempt, ts AS due FROM events)"
@@ -560,11 +603,30 @@ def latest_samples_topk(spark: SparkSession, d: str) -> DataFrame:
 # ---- analytic parts: no table of the driver holds geometry, so these are held by golden tests
 
 
+# The features of each kind of part besides its flat faces: type, faces, confidence; and how many flat faces are left.
+PARTS = {
+    "through": ((("through_hole", 1, 0.95),), 6),
+    "blind": ((("blind_hole", 2, 0.95),), 6),
+    "cone": ((("blind_hole", 2, 0.95),), 6),
+    "counterbore": ((("through_hole", 3, 0.95),), 6),
+    "slot": ((("slot", 4, 0.95),), 6),
+    "pocket": ((("pocket", 5, 0.95),), 6),
+    "fillet": ((("fillet", 1, 0.95),), 6),
+}
+
+
 def _parts() -> list[analytic.Builder]:
-    return [analytic.box_part(f"part-{k}-{n}", 40 + n, 30 + n, 15, hole=k, r=3, depth=5) for k in ("through", "blind", "cone", "counterbore") for n in range(5)]
+    make = {"slot": analytic.slot_part, "pocket": analytic.pocket_part, "fillet": analytic.fillet_part}
+    return [make[k](f"part-{k}-{n}", 40 + n, 30 + n, 15) if k in make else analytic.box_part(f"part-{k}-{n}", 40 + n, 30 + n, 15, hole=k, r=3, depth=5) for k in PARTS for n in range(5)]
 
 
-@query()
+def _features_sql() -> str:
+    prefix = {"through_hole": "H", "blind_hole": "H", "slot": "S", "pocket": "P", "fillet": "R"}
+    rows = [f"('part-{k}-', '{prefix[t]}001', '{t}', {n}, {c}::DOUBLE)" for k, (own, _) in PARTS.items() for t, n, c in own] + [f"('part-{k}-', 'PL{i:03d}', 'planar_face', 1, 0.95::DOUBLE)" for k, (_, flat) in PARTS.items() for i in range(1, flat + 1)]
+    return f"SELECT part || n AS sample_id, feature_id, feature_type, faces, confidence FROM (VALUES {', '.join(rows)}) f(part, feature_id, feature_type, faces, confidence) CROSS JOIN range(5) r(n)"
+
+
+@query(_features_sql())
 def recognize_features(spark: SparkSession, d: str) -> DataFrame:
     f, e = analytic.tables(spark, _parts())
     found = recognize.recognize(f, e)
@@ -585,7 +647,7 @@ def raster_face_ids(spark: SparkSession, d: str) -> DataFrame:
     return raster.pixel_counts(raster.view_pixels(box_mesh(spark), resolution=64))
 
 
-@query()
+@query(f"SELECT 'box-' || s AS sample_id, f::INTEGER AS face_idx, {', '.join(f'true AS {c}' for c in (*lineage.CHECKS, 'verified'))} FROM range(1, 4) a(s) CROSS JOIN range(6) b(f)")
 def lineage_trace(spark: SparkSession, d: str) -> DataFrame:
     """Every face of the box meshes, traced through points, triangles, pixels and graph."""
     mesh = box_mesh(spark)
@@ -602,12 +664,22 @@ def lineage_trace(spark: SparkSession, d: str) -> DataFrame:
     return lineage.verify(stored, own, face, pts, mesh, pixels, arcs, features)
 
 
-@query()
+def _family_sql() -> str:
+    rows = [f"('{f}', '{v}', {500 + 10000 * i + 1000 * j}, {k}, '{n}', {float(low)}::DOUBLE, {float(high)}::DOUBLE)" for i, (f, (variants, ranges)) in enumerate(analytic.FAMILIES.items()) for j, v in enumerate(variants) for k, (n, (low, high)) in enumerate(ranges.items())]
+    return f"""WITH r AS (SELECT * FROM (VALUES {', '.join(rows)}) t(family, variant, first, k, name, low, high)),
+d AS (SELECT family, variant, CAST(first + n AS INTEGER) AS seed, k, round(low + (high - low) * (('0x' || substr(sha256((first + n) || '|' || name), 1, 12))::BIGINT / pow(16.0::DOUBLE, 12)), 3) AS x FROM r CROSS JOIN range(4) g(n))
+SELECT family, variant, seed, list(x ORDER BY k) AS drawn FROM d GROUP BY ALL"""
+
+
+@query(_family_sql())
 def family_parameters(spark: SparkSession, d: str) -> DataFrame:
     return analytic.family_parameters(spark, 4, 500).select("family", "variant", "seed", F.map_values("params").alias("drawn"))
 
 
-@query()
+_STATUS = {"rejected": "rejected", "timed_out": "quarantined", "quarantined": "quarantined", "failed_retryable": "failed", "failed_terminal": "failed"}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{o}', {r}, '{_STATUS[o]}', '{o}')" for c, (o, r) in ERROR_CODES.items()) + ") t(code, outcome, retryable, sample_status, job_state)")
 def error_catalogue(spark: SparkSession, d: str) -> DataFrame:
     return jobs.error_codes(spark)
 

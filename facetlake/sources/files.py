@@ -15,16 +15,29 @@ def _extension(path: str = "path"):  # noqa: ANN202
     return F.lower(F.regexp_extract(path, r"(\.[^./\\]*)$", 1))
 
 
+def _files(spark: SparkSession, directory: str) -> DataFrame:
+    """Files directly in a directory as binaryFile rows; Spark's own listing leaves out empty ones, which intake has to see, so they are added."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(directory)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    listed = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatusIterator(at)
+    empty = []
+    while listed.hasNext():
+        f = listed.next()
+        if f.isFile() and f.getLen() == 0 and not f.getPath().getName().startswith(("_", ".")):
+            empty.append((f.getPath().toString(), f.getModificationTime() / 1000, 0, bytearray()))
+    rows = spark.createDataFrame(empty, "path string, seconds double, length long, content binary")
+    return found.unionByName(rows.select("path", F.timestamp_seconds("seconds").alias("modificationTime"), "length", "content"))
+
+
 def step_files(spark: SparkSession, directory: str) -> DataFrame:
     """Files directly in a directory whose extension is .step or .stp, in any case, by path."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(directory)
-    return found.where(_extension().isin(".step", ".stp")).orderBy("path")
+    return _files(spark, directory).where(_extension().isin(".step", ".stp")).orderBy("path")
 
 
 def corpus_files(spark: SparkSession, directory: str) -> DataFrame:
     """STEP files of ``parts`` and every fixture of ``failures`` but its list of expectations and names that start with an underscore."""
     name = F.element_at(F.split("path", "/"), -1)
-    failures = spark.read.format("binaryFile").load(f"{directory}/failures").where((name != "expected.json") & ~name.startswith("_"))
+    failures = _files(spark, f"{directory}/failures").where((name != "expected.json") & ~name.startswith("_"))
     return step_files(spark, f"{directory}/parts").unionByName(failures)
 
 

@@ -1,20 +1,38 @@
-"""Writers: write-once tables, superseded rows, failures by kind."""
+"""Writers: write-once tables, superseded rows, dataset versions, failures by kind."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from facetlake.functions.constants import ENVIRONMENT_CODES
 from facetlake.functions.storage import materialize
 
 
+def _fs(spark: SparkSession, path: str):  # noqa: ANN202
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
 def _existing(rows: DataFrame, path: str) -> DataFrame | None:
-    try:
-        return rows.sparkSession.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The table at a path, None where there is none; a table that cannot be read is an error."""
+    return rows.sparkSession.read.parquet(path) if exists(rows.sparkSession, path) else None
+
+
+def _swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished table in place of another by two renames; until the second one the old table is whole, beside it."""
+    fs, at = _fs(spark, path)
+    old, fresh = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.old-{uuid.uuid4().hex}", new))
+    if not fs.rename(at, old) or not fs.rename(fresh, at):
+        raise OSError(f"{new} could not take the place of {path}; the old table is at {old} or still in place")
+    fs.delete(old, True)
 
 
 def write_once(rows: DataFrame, path: str, key: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -35,7 +53,19 @@ def replace_samples(rows: DataFrame, path: str, superseded: str, key: str) -> No
         return
     gone, stay = old.join(rows.select(key), key, "left_semi"), old.join(rows.select(key), key, "left_anti")
     gone.write.mode("append").parquet(superseded)
-    materialize(stay.unionByName(rows, allowMissingColumns=True), "merged").write.mode("overwrite").parquet(path)
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"  # beside the table, never over it: a driver lost on the way leaves the old one
+    stay.unionByName(rows, allowMissingColumns=True).write.parquet(new)
+    _swap(rows.sparkSession, new, path.rstrip("/"))
+
+
+def write_dataset(built: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
+    """Store a dataset version under its id and return its tables; a version that is already there is returned untouched."""
+    row = built["dataset"].first()
+    spark, at = built["dataset"].sparkSession, f"{directory}/datasets/{row.dataset_id}"
+    if not exists(spark, f"{at}/dataset"):
+        for name in [*(k for k in built if k != "dataset"), "dataset"]:  # its own row last: where that is, all is
+            built[name].write.mode("overwrite").parquet(f"{at}/{name}")
+    return {name: spark.read.parquet(f"{at}/{name}") for name in built}
 
 
 def write_failures(failures: DataFrame, samples: str, quarantine: str, code: str = "code") -> None:
@@ -50,5 +80,24 @@ def with_checksums(artifacts: DataFrame, content: str = "content") -> DataFrame:
     return artifacts.withColumns({"sha256": F.sha2(content, 256), "bytes": F.octet_length(content)})
 
 
-def corpus_report(results: DataFrame, status: str = "status") -> DataFrame:
-    return results.groupBy(status).agg(F.count(F.lit(1)).alias("files"))
+def corpus_report(results: DataFrame, file: str = "file", sha256: str = "sha256") -> DataFrame:
+    """The results of files with ``duplicate_of``: the first file, by name, of the same content; null for that file itself."""
+    first = materialize(results.groupBy(sha256).agg(F.min(file).alias("_first")), "firsts")
+    return results.join(first, sha256, "left").withColumn("duplicate_of", F.when(F.col(file) > F.col("_first"), F.col("_first"))).drop("_first")
+
+
+def corpus_summary(report: DataFrame, status: str = "status") -> DataFrame:
+    """(name, n): the number of files, of duplicates, and of files in each status."""
+    total = report.agg(F.count(F.lit(1)).alias("files"), F.count("duplicate_of").alias("duplicates"))
+    return total.select(F.explode(F.create_map(F.lit("files"), "files", F.lit("duplicates"), "duplicates")).alias("name", "n")).unionAll(report.groupBy(F.col(status).alias("name")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def write_training(directory: str, run: str, history: DataFrame, predictions: DataFrame, metrics: DataFrame) -> None:
+    """The tables of a training run: its epochs, one prediction per face, its figures. A run that is there is an error, as its files are its record."""
+    for name, rows in (("history", history), ("predictions", predictions), ("metrics", metrics)):
+        rows.write.parquet(f"{directory}/training/{run}/{name}")
+
+
+def prediction_rows(predicted: DataFrame, truth: DataFrame) -> DataFrame:
+    """(sample_id, face_idx, ground_truth or null, predicted, confidence to four places), one row a face."""
+    return predicted.join(truth.select("sample_id", "face_idx", F.col("label").alias("ground_truth")), ["sample_id", "face_idx"], "left").select("sample_id", "face_idx", "ground_truth", "predicted", F.round("confidence", 4).alias("confidence"))

@@ -293,6 +293,7 @@ def test_sources_and_sinks(spark, tmp_path):
     assert [r.x for r in spark.read.parquet(path).collect()] == [3] and [r.x for r in spark.read.parquet(gone).collect()] == [1]
     write_failures(spark.createDataFrame([("EMPTY_FILE",), ("CHILD_CRASHED",)], "code string"), str(tmp_path / "f"), str(tmp_path / "q"))
     assert spark.read.parquet(str(tmp_path / "q")).first().code == "CHILD_CRASHED"
+    assert not [p.name for p in tmp_path.iterdir() if ".new-" in p.name or ".old-" in p.name]
 
 
 def test_streams_match_batches(spark, tmp_path):
@@ -344,5 +345,163 @@ def test_shape_decisions_and_fixtures(spark):
     codes = [r[0] for r in frame.select(validate.shape_code(*map(F.col, frame.columns))).collect()]
     assert codes == ["MULTI_BODY", "NO_SOLID", "NO_SOLID", None, "INVALID_GEOMETRY", "REPAIR_DEVIATION_EXCEEDED", None]
     found = analytic.failure_fixtures(spark)
-    code = intake.intake_code(F.octet_length("content"), F.col("filename"), F.decode(F.col("content"), "ISO-8859-1"))
-    assert found.where(~code.eqNullSafe(F.col("code"))).count() == 0
+    code = analytic.fixture_code(F.col("filename") == "copy_of_part.step")
+    assert found.count() == 12 and [r.filename for r in found.where(~code.eqNullSafe(F.col("code"))).collect()] == []
+
+
+def part_outputs(spark):
+    """All outputs of two analytic boxes, made by the operators."""
+    from facetlake.plans.catalogue import box_mesh
+
+    mesh = box_mesh(spark).where("sample_id <> 'box-3'")
+    ids = F.substring("sample_id", 5, 1).cast("double")
+    faces = mesh.groupBy("sample_id", "face_idx").agg(*[F.struct(*[f(F.least(F.col(f"a.{k}"), F.col(f"b.{k}"), F.col(f"c.{k}")) if f is F.min else F.greatest(F.col(f"a.{k}"), F.col(f"b.{k}"), F.col(f"c.{k}"))).alias(k) for k in "xyz"]).alias(n) for f, n in ((F.min, "bbox_min_mm"), (F.max, "bbox_max_mm"))]).withColumn("area_mm2", ids * ids)
+    pairs = faces.select("sample_id", F.col("face_idx").alias("src")).join(faces.select("sample_id", F.col("face_idx").alias("dst")), "sample_id").where("shiftright(src, 1) <> shiftright(dst, 1)")
+    face_edge = pairs.select("sample_id", F.col("src").alias("face_idx"), (F.least("src", "dst") * 10 + F.greatest("src", "dst")).alias("edge_idx")).distinct()
+    points = cloud.sample_points(mesh, faces.select("sample_id", "face_idx", F.lit(9).alias("n"))).withColumn("projection_ratio", F.lit(0.0))
+    features = faces.groupBy("sample_id").agg(F.collect_list("face_idx").alias("face_indices"))
+    pixels = raster.view_pixels(mesh, resolution=24).join(faces.select("sample_id", "face_idx", F.col("bbox_min_mm").alias("p")), ["sample_id", "face_idx"])
+    return {"faces": faces, "face_edge": face_edge, "graph": {"pairs": pairs, "nodes": faces.select("sample_id", "face_idx", F.lit(1.0).alias("x"))}, "points": points, "triangles": mesh, "pixels": pixels, "features": features, "reread": pairs}
+
+
+def test_all_output_checks(spark):
+    from facetlake.operators import validate
+
+    good = part_outputs(spark)
+    assert [(r.failed, r.code) for r in validate.output_checks(**good).collect()] == [([], None)] * 2
+    bad = {
+        "points": (good["points"].where("face_idx <> 2"), {"every_face_sampled"}),
+        "reread": (good["reread"].where("src <> 1"), {"graph_round_trip"}),
+        "triangles": (good["triangles"].where("face_idx <> 5"), {"every_face_triangulated", "mesh_area_close"}),
+        "features": (good["features"].withColumn("face_indices", F.array(F.lit(1))), {"every_face_assigned"}),
+        "face_edge": (good["face_edge"].where("face_idx <> 0"), {"same_as_topology"}),
+    }
+    for name, (frame, failed) in bad.items():
+        rows = validate.output_checks(**(good | {name: frame})).collect()
+        assert all(set(r.failed) == failed and r.code == "OUTPUT_INVARIANT_VIOLATION" for r in rows), name
+    assert all(r.failed == ["on_surface"] for r in validate.output_checks(**(good | {"points": good["points"].drop("projection_ratio")})).collect())
+
+
+def test_fingerprints_do_not_depend_on_place_or_order(spark):
+    """Over the typed tables themselves: a moved and reordered part has the same fingerprints and, moved back, the same order."""
+    f, e = analytic.tables(spark, [analytic.box_part("s", hole="cone"), analytic.slot_part("t")])
+    prints = canonical.face_fingerprints(f, canonical.neighbour_types(f))
+    assert prints.where("fingerprint is null").count() == 0 and prints.columns == f.columns
+    moved = f.withColumns({"centroid_mm": F.struct((F.col("centroid_mm.x") + 5).alias("x"), "centroid_mm.y", "centroid_mm.z"), "traversal_index": 100 - F.col("traversal_index")}).orderBy(F.rand(3))
+    own = lambda d: sorted((r.sample_id, r.face_idx, r.fingerprint) for r in canonical.face_fingerprints(d, canonical.neighbour_types(d)).collect())
+    assert own(f) == own(moved)
+    cone = {r.surface_type: r.fingerprint for r in prints.where("sample_id = 's'").collect()}
+    other = f.withColumn("analytic_params", F.col("analytic_params").withField("semi_angle_rad", F.lit(0.5)))
+    assert {r.surface_type: r.fingerprint for r in canonical.face_fingerprints(other, canonical.neighbour_types(other)).where("sample_id = 's'").collect()}["cone"] != cone["cone"]
+    ends = prints.groupBy("sample_id").agg(F.map_from_entries(F.collect_list(F.struct("face_idx", "fingerprint"))).alias("prints"))
+    edges = e.join(ends, "sample_id").withColumn("fingerprint", canonical.edge_fingerprint(F.col("curve_type"), F.col("length_mm"), F.col("convexity"), F.transform("adjacent", lambda i: F.col("prints")[i]))).drop("edge_idx")
+    turned = edges.withColumns({"start_mm": F.col("end_mm"), "end_mm": F.col("start_mm")}).orderBy(F.rand(5))
+    first = [{(r.sample_id, r.edge_idx): r.traversal_index for r in canonical.canonical_order(d, "sample_id", canonical.edge_keys(), "edge_idx").collect()} for d in (edges, turned)]
+    assert first[0] == first[1] and len(first[0]) == e.count()
+    order = [r.curve_type for r in canonical.canonical_order(edges, "sample_id", canonical.edge_keys(), "edge_idx").where("sample_id = 't'").orderBy("edge_idx").collect()]
+    assert order == sorted(order, key=["line", "circle"].index)
+
+
+def test_slots_pockets_and_fillets(spark):
+    f, e = analytic.tables(spark, [analytic.slot_part("slot", r=2.5, length=20), analytic.pocket_part("pocket", depth=4), analytic.fillet_part("fillet", r=2)])
+    found = {r.sample_id: r for r in recognize.recognize(f, e).where("feature_type not in ('planar_face', 'unknown')").collect()}
+    assert {k: (r.feature_type, len(r.face_indices), r.confidence) for k, r in found.items()} == {"slot": ("slot", 4, 0.95), "pocket": ("pocket", 5, 0.95), "fillet": ("fillet", 1, 0.95)}
+    assert found["slot"].parameters == {"width_mm": 5.0, "length_mm": 20.0} and found["pocket"].parameters == {"depth_mm": 4.0} and found["fillet"].parameters == {"radius_mm": 2.0}
+
+
+def test_small_rules(spark):
+    one = spark.range(1)
+    value = lambda c: one.select(c).first()[0]
+    code = lambda *n: value(intake.structure_code(*map(F.lit, n)))
+    assert [code(0, 1, 1, 1, 6, 0), code(1, 2, 1, 2, 6, 0), code(1, 1, 0, 1, 6, 0), code(1, 1, 1, 2, 6, 0), code(1, 1, 1, 1, 0, 0), code(1, 1, 1, 1, 6, 1), code(1, 1, 1, 1, 6, 0)] == ["STEP_NO_SHAPES", "UNSUPPORTED_ASSEMBLY", "STEP_NO_SHAPES", "MULTI_BODY", "STEP_NO_SHAPES", "UNSUPPORTED_TESSELLATED", None]
+    assert value(intake.degenerate_code(F.lit(0.0), F.lit(3.0))) == "DEGENERATE_GEOMETRY" and value(intake.degenerate_code(F.lit(1.0), F.lit(3.0))) is None
+    x, near, y = v.vec(1.0, 0.0, 0.0), v.vec(1.0, 0.01, 0.0), v.vec(0.0, 2.0, 0.0)
+    assert value(v.parallel(x, near)) and not value(v.parallel(x, y)) and value(v.perpendicular(near, y)) is True and not value(v.perpendicular(x, near))
+    pair = lambda *p: spark.createDataFrame(p, "a string, b string")
+    assert tuple(metrics.pair_scores(pair(("x", "y"), ("y", "x"), ("u", "w")), pair(("y", "x"), ("p", "q"))).first()) == (1, 1, 1, 0.5, 0.5)
+    runs = spark.createDataFrame([("m", 1.0), ("m", 3.0)], "model string, f double")
+    assert tuple(metrics.seed_summary(runs, "model", ["f"]).first()) == ("m", 2.0, 1.0)
+    done = spark.createDataFrame([("completed",), ("completed",), ("rejected",), ("parsing",)], "state string")
+    assert {r.state: (r.n, r.per_minute) for r in jobs.outcome_counts(done, 120.0).collect()} == {"completed": (2, 1.0), "rejected": (1, 0.5)}
+    first = spark.createDataFrame([("p", "a", 5, 1), ("p", "a", 3, 2), ("p", "b", 4, 3), ("q", "a", 1, 4)], "kind string, idempotency_key string, submitted_at long, job_id long")
+    there = spark.createDataFrame([("q", "a")], "kind string, idempotency_key string")
+    assert sorted(r.job_id for r in jobs.submit(there, first).collect()) == [2, 3]
+    events = spark.createDataFrame([("j", "queued", 1), ("j", "parsing", 3), ("j", "completed", 8), ("k", "queued", 1)], "job string, state string, at long").withColumn("at", F.timestamp_seconds("at"))
+    assert [tuple(r) for r in jobs.latencies(events, "job", "at", "state").collect()] == [("j", 5.0)]
+    exports = spark.createDataFrame([("p", 1, 10.0, 4.0, [1.0, 2.0, 3.0], 6), ("p", 2, 12.0, 4.0, [1.5, 2.0, 3.0], 7)], "part string, export int, volume double, area double, dims array<double>, n_faces int")
+    row = metrics.export_consistency(exports).first()
+    assert abs(row.volume_spread - 2 / 11) < 1e-12 and row.area_spread == 0 and row.box_difference == 0.5 and row.face_counts == 2
+
+
+def test_header_values(spark):
+    cases = {"file_schema ( ( '  AP242 ' ) );": ("AP242", None), "FILE_SCHEMA(('" + "x" * 300 + "'));": ("x" * 200, None), "FILE_SCHEMA((''));FILE_NAME('a','b',('c'),('d'),'e','','');": (None, None), "FILE_NAME('a');": (None, None), "": (None, None)}
+    rows = spark.createDataFrame([(k,) for k in cases], "h string").select("h", *(c.alias(k) for k, c in intake.header_fields(F.col("h")).items())).collect()
+    assert {r.h: tuple(r)[1:] for r in rows} == cases
+    texts = ["a\u0001bSI_UNIT($,.METRE.)", "si_unit ( .milli. , .metre. )", "#1=( LENGTH_UNIT() NAMED_UNIT(*) SI_UNIT(.MILLI.,.METRE.) );"]
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(intake.detect_unit(F.col("t"))).collect()] == ["m", "mm", "mm"]
+    long = [("n" * 140 + ".abcdefgh", ".abcdefgh"), ("n" * 140 + ".abcdefghi", "n" * 8)]
+    out = [r[0] for r in spark.createDataFrame([(n,) for n, _ in long], "n string").select(intake.sanitize_filename(F.col("n"))).collect()]
+    assert all(len(o) == 128 and o.endswith(e) for o, (_, e) in zip(out, long, strict=True))
+
+
+def test_global_extents_descend(spark):
+    faces = spark.createDataFrame([("s", "plane"), ("s", "bezier")], "sample_id string, surface_type string")
+    parts = spark.createDataFrame([("s", 8.0, 20.0)], "sample_id string, volume_mm3 double, surface_area_mm2 double").withColumn("dims", v.vec(2.0, 6.0, 3.0))
+    row = graph.global_features(faces, spark.createDataFrame([("s",)], "sample_id string"), parts).first()
+    assert [round(row[f"dim_{i}"], 4) for i in range(3)] == [round(x / 7, 4) for x in (6, 3, 2)] and row.share_plane == row.share_freeform == 0.5
+
+
+def test_tables_of_files(spark, tmp_path):
+    import json
+
+    from facetlake.sources import files
+
+    for name, text in {"parts/b.STEP": "ISO-10303-21;b", "parts/a.stp": "ISO-10303-21;a", "parts/x.txt": "x", "failures/empty.step": "", "failures/expected.json": "{}", "failures/_good.step": "ISO-10303-21;"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    found = {r.filename: r.code for r in files.discover(spark, str(tmp_path)).collect()}
+    assert found == {"a.stp": None, "b.STEP": None, "empty.step": "EMPTY_FILE"}
+    for k, sha, seed in (("a", "s1", 1), ("b", "s1", 2), ("c", "s2", 3)):
+        (tmp_path / "parts" / f"{k}.gt.json").write_text(json.dumps({"source_sha256": sha, "family": k, "seed": seed}, indent=1))
+    from facetlake.schemas import GROUND_TRUTH
+
+    assert {(r.source_sha256, r.family, r.seed) for r in files.ground_truth(spark, str(tmp_path), GROUND_TRUTH).collect()} == {("s1", "b", 2), ("s2", "c", 3)}
+    for k in ("s_2", "s_1"):
+        (tmp_path / "samples" / k).mkdir(parents=True)
+        (tmp_path / "samples" / k / "manifest.json").write_text(json.dumps({"sample_id": k, "status": "completed"}, indent=1))
+    rows = files.manifests(spark, str(tmp_path), spark.createDataFrame([], "sample_id string, status string").schema)
+    assert [r.sample_id for r in rows.collect()] == ["s_1", "s_2"] and files.manifest(rows, "s_2").count() == 1 and files.manifest(rows, "none").count() == 0
+
+
+def test_dataset_and_report_sinks(spark, tmp_path):
+    from facetlake.sources import sinks
+
+    rows = spark.createDataFrame([(i, f"c{i}", "f", f"f/{i % 4}", i % 2, "ok" if i < 8 else "status") for i in range(9)], "sample_id long, content string, family string, design_group string, label int, reason string")
+    none = spark.createDataFrame([], "part long, cluster long")
+    stored = [sinks.write_dataset(dataset.build(rows, none, 3), str(tmp_path)) for _ in range(2)]
+    files = sorted(str(p) for p in tmp_path.rglob("*.parquet"))
+    assert stored[0]["dataset"].first() == stored[1]["dataset"].first() and stored[0]["samples"].count() == 8 and stored[1]["excluded"].count() == 1
+    sinks.write_dataset(dataset.build(rows, none, 3), str(tmp_path))
+    assert files == sorted(str(p) for p in tmp_path.rglob("*.parquet"))
+    report = sinks.corpus_report(spark.createDataFrame([("b", "1", "completed"), ("a", "1", "completed"), ("c", "2", "rejected")], "file string, sha256 string, status string"))
+    assert {r.file: r.duplicate_of for r in report.collect()} == {"a": None, "b": "a", "c": None}
+    assert {r.name: r.n for r in sinks.corpus_summary(report).collect()} == {"files": 3, "duplicates": 1, "completed": 2, "rejected": 1}
+    faces = spark.createDataFrame([("s", 0, "hole", 0.123456), ("s", 1, "slot", 1.0)], "sample_id string, face_idx int, predicted string, confidence double")
+    truth = spark.createDataFrame([("s", 0, "hole")], "sample_id string, face_idx int, label string")
+    sinks.write_training(str(tmp_path), "r1", faces.limit(1), sinks.prediction_rows(faces, truth), faces.limit(1))
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/training/r1/predictions").collect()) == [("s", 0, "hole", "hole", 0.1235), ("s", 1, None, "slot", 1.0)]
+
+
+def test_scratch_tables_need_a_shared_folder_on_clusters(spark):
+    from types import SimpleNamespace
+
+    from facetlake.functions.storage import shared_root
+
+    for master, fails in (("spark://host:7077", True), ("yarn", True), ("local-cluster[2,1,1024]", True), ("local[4]", False), ("local", False)):
+        fake = SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=dict), conf=spark.conf)
+        spark.conf.unset("spark.facetlake.scratch")
+        if fails:
+            with pytest.raises(ValueError, match="checkpoint"):
+                shared_root(fake)
+        else:
+            assert shared_root(fake)
