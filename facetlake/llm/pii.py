@@ -1,10 +1,11 @@
 """Personal data by a semi-Markov conditional random field over whole candidate spans, on top of fixed patterns.
 
 A text is cut into chunks at white space. A candidate is a run of one to ``LONGEST`` chunks that holds a digit, an at sign or a
-spelled-out one; its features describe the span as a whole (its digits, checksum, grouping, shape, the word before it). Dynamic programming over
+spelled-out one, or a word like password with a sign behind it; its features describe the span as a whole (its digits, checksum, grouping, shape, the word before it). Dynamic programming over
 segments chooses boundaries and types together; an entity has at most ``LONGEST`` chunks, everything else is single chunks of
 type "other". Weights are fitted by maximum likelihood (forward-backward over segments) on sentences made from
-templates, once per driver.
+templates, once per driver. Every stretch of chunks that candidates reach is decoded whole, however long: segments are scored as the program
+comes to their end, and only the best scores and their origins are kept. Between such stretches every chunk is "other".
 
 The contract's patterns always stay; what the field finds beside them is added where it overlaps none of them.
 
@@ -20,6 +21,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +67,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 _CHUNK = re.compile(r"\S+")
+_KEYS = r"password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key"
 _TRIGGER = re.compile(r"[0-9@]|[\[({]at[\])}]")
+_SIGN, _ASKS = re.compile(r"[=:]"), re.compile(rf"(?i)\b(?:{_KEYS})\s?$")
 _LEFT, _RIGHT = "\"'`<[{,;:", "\"'`>]},;:.!?"
 _SHAPES = {
     "email": re.compile(r"[\w.%+-]+@[\w-]+(\.[\w-]+)+"),
@@ -80,7 +84,8 @@ _SHAPES = {
     "number": re.compile(r"[-+$€£]?\d[\d,]*(\.\d+)?[%€$]?"),
     "date": re.compile(r"\d{1,4}[-/.]\d{1,2}[-/.]\d{1,4}"),
     "time": re.compile(r"\d{1,2}:\d{2}(:\d{2})?"),
-    "key_value": re.compile(r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key) ?[=:] ?\S{6,}"),
+    "key_value": re.compile(rf"(?i)({_KEYS}) ?[=:] ?\S{{6,}}"),
+    "key_long_value": re.compile(rf"(?i)({_KEYS}) ?[=:] ?\S{{12,}}"),
     "hex": re.compile(r"(?i)[0-9a-f]{16,}"),
     "mixed": re.compile(r"(?=\S*\d)(?=\S*[A-Za-z])[\w+/=-]{16,}"),
 }
@@ -133,14 +138,37 @@ def trim(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
+def _asked(text: str) -> Iterator[int]:
+    """Where words like password begin that have a sign behind them: from each sign back, as signs are rare."""
+    for m in _SIGN.finditer(text):
+        low = max(0, m.start() - 16)  # longer than any of the words
+        if found := _ASKS.search(text[low : m.start()]):
+            yield low + found.start()
+
+
+def triggered(text: str) -> bool:
+    return bool(_TRIGGER.search(text)) or next(_asked(text), None) is not None
+
+
+def hot_chunks(text: str, chunks: list[tuple[int, int]]) -> list[int]:
+    """Chunks in which a trigger begins."""
+    begins = [a for a, _ in chunks]
+    return sorted({bisect_right(begins, at) - 1 for at in chain((m.start() for m in _TRIGGER.finditer(text)), _asked(text))}) if chunks else []
+
+
 class Lattice:
-    """The candidate segments of a run of chunks: (start, end, features)."""
+    """The candidate segments of a run of chunks, by their end: features of each chunk alone, and (start, features) of candidates."""
 
-    def __init__(self, text: str, chunks: list[tuple[int, int]]):
-        self.n = len(chunks)
-        hot = [bool(_TRIGGER.search(text, a, b)) for a, b in chunks]
-        self.single = [span_features(text, chunks, i, i + 1) for i in range(self.n)]
-        self.spans = [(i, j, self.single[i] if j == i + 1 else span_features(text, chunks, i, j)) for i in range(self.n) for j in range(i + 1, min(i + LONGEST, self.n) + 1) if any(hot[i:j])]
+    def __init__(self, text: str, chunks: list[tuple[int, int]], hot: list[int] | None = None):
+        self.text, self.chunks, self.n = text, chunks, len(chunks)
+        self.hot_before = np.zeros(self.n + 1, np.int64)
+        self.hot_before[1:] = np.cumsum(np.isin(np.arange(self.n), hot_chunks(text, chunks) if hot is None else hot))
+
+    def ending(self, j: int) -> tuple[list[int], list[tuple[int, list[int]]]]:
+        """Features of chunk j - 1 alone, and the candidates that end behind it."""
+        own = span_features(self.text, self.chunks, j - 1, j)
+        starts = [i for i in range(j - 1, max(j - LONGEST, 0) - 1, -1) if self.hot_before[i] < self.hot_before[j]]
+        return own, [(i, own if i == j - 1 else span_features(self.text, self.chunks, i, j)) for i in starts]
 
 
 class Field:
@@ -150,34 +178,37 @@ class Field:
         self.weights = np.zeros((len(KINDS) + 1, len(_features())))
         self.moves = np.zeros((len(KINDS) + 1, len(KINDS) + 1))
 
-    def _scores(self, x: Lattice) -> list[list[tuple[int, np.ndarray]]]:
-        """By end: (start, scores of the types that the segment can have)."""
-        out: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(x.n + 1)]
-        for i in range(x.n):
-            s = np.full(len(KINDS) + 1, -np.inf)
-            s[0] = self.weights[0, x.single[i]].sum()
-            out[i + 1].append((i, s))
-        for i, j, f in x.spans:
+    def _ending(self, x: Lattice, j: int) -> list[tuple[int, np.ndarray]]:
+        """(start, scores of the types that the segment can have) of the segments that end behind chunk j - 1."""
+        own, candidates = x.ending(j)
+        s = np.full(len(KINDS) + 1, -np.inf)
+        s[0] = self.weights[0, own].sum()
+        out = [(j - 1, s)]
+        for i, f in candidates:
             s = self.weights[:, f].sum(1)
             s[0] = -np.inf
-            out[j].append((i, s))
+            out.append((i, s))
         return out
 
+    def _scores(self, x: Lattice) -> list[list[tuple[int, np.ndarray]]]:
+        return [[], *(self._ending(x, j) for j in range(1, x.n + 1))]
+
     def decode(self, x: Lattice) -> list[tuple[int, int, int]]:
         """The best segmentation's entities: (first chunk, chunk behind, type)."""
-        best = np.full((x.n + 1, len(KINDS) + 1), -np.inf)
+        k = len(KINDS) + 1
+        best = np.full((x.n + 1, k), -np.inf)
         best[0, 0] = 0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        for j, segments in enumerate(self._scores(x)):
-            for i, s in segments:
+        come = np.zeros((x.n + 1, k, 2), np.int32)  # start of the best last segment, and the type before it
+        for j in range(1, x.n + 1):
+            for i, s in self._ending(x, j):
                 into = best[i][:, None] + self.moves
                 who = into.argmax(0)
-                value = into[who, np.arange(len(s))] + s
-                for y in np.flatnonzero(value > best[j]).tolist():
-                    best[j, y], back[j, y] = value[y], (i, int(who[y]))
+                value = into[who, np.arange(k)] + s
+                better = value > best[j]
+                best[j, better], come[j, better, 0], come[j, better, 1] = value[better], i, who[better]
         j, y, out = x.n, int(best[x.n].argmax()), []
         while j:
-            i, before = back[j, y]
+            i, before = come[j, y].tolist()
             if y:
                 out.append((i, j, y))
             j, y = i, before
@@ -196,21 +227,24 @@ class Field:
                 beta[i] = np.logaddexp(beta[i], np.logaddexp.reduce(self.moves + (s + beta[j])[None, :], axis=1))
         z = np.logaddexp.reduce(alpha[x.n])
         w, m = np.zeros_like(self.weights), np.zeros_like(self.moves)
-        features = {(i, j): f for i, j, f in x.spans}
+        single, features = [], {}
         for j in range(1, x.n + 1):
+            own, candidates = x.ending(j)
+            single.append(own)
+            features |= {(i, j): f for i, f in candidates}
             for i, s in scores[j]:
                 p = np.exp(alpha[i][:, None] + self.moves + (s + beta[j])[None, :] - z)
                 m -= p
                 q = p.sum(0)
                 if np.isfinite(s[0]):
-                    w[0, x.single[i]] -= q[0]
+                    w[0, single[i]] -= q[0]
                 else:
                     w[:, features[i, j]] -= q[:, None]
         at, before, own = 0, 0, {(i, j): y for i, j, y in gold}
         starts = {i: (j, y) for (i, j), y in own.items()}
         while at < x.n:
             j, y = starts.get(at, (at + 1, 0))
-            w[y, features[at, j] if y else x.single[at]] += 1
+            w[y, features[at, j] if y else single[at]] += 1
             m[before, y] += 1
             at, before = j, y
         return w, m
@@ -221,6 +255,7 @@ def _sentences(n: int, seed: int) -> list[tuple[str, list[tuple[int, int, int]]]
     r = random.Random(seed)
     word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(1, 4)))
     num = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    letters = lambda k: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
     hexa = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
 
     def card() -> str:
@@ -235,10 +270,10 @@ def _sentences(n: int, seed: int) -> list[tuple[str, list[tuple[int, int, int]]]
         "ip": [ip, lambda: ":".join(hexa(4) for _ in range(8))],
         "card": [card],
         "phone": [lambda: f"+1 ({num(3)}) 555-{num(4)}", lambda: f"({num(3)}) {num(3)}-{num(4)}", lambda: f"{num(3)}-{num(3)}-{num(4)}", lambda: f"+49 {num(3)} {num(7)}", lambda: f"{num(3)}.{num(3)}.{num(4)}", lambda: f"0044 {num(4)} {num(6)}"],
-        "secret": [lambda: f"password={hexa(r.randint(12, 20))}", lambda: f'token = "{hexa(40)}"', lambda: f"api_key: {word()}{num(4)}{hexa(16)}", lambda: f"secret={word()}{num(6)}"],
+        "secret": [lambda: f"password={hexa(r.randint(12, 20))}", lambda: f'token = "{hexa(40)}"', lambda: f"api_key: {word()}{num(4)}{hexa(16)}", lambda: f"secret={word()}{num(6)}", lambda: f"password={letters(r.randint(12, 24))}", lambda: f"token: {letters(r.randint(12, 24))}"],
         "id_number": [lambda: f"{num(3)}-{num(2)}-{num(4)}", lambda: f"DE{num(2)} {num(4)} {num(4)} {num(4)} {num(4)} {num(2)}", lambda: f"GB{num(2)}ABCD{num(14)}"],
     }
-    plain = [lambda: num(r.randint(1, 6)), lambda: f"19{num(2)}", lambda: f"{num(2)}.{num(2)}", lambda: f"${num(3)}.{num(2)}", lambda: f"{num(2)}%", lambda: f"20{num(2)}-0{num(1)}-1{num(1)}", lambda: f"1{num(1)}:{num(2)}", lambda: f"v{num(1)}.{num(1)}", lambda: f"{num(1)}.{num(1)}.{num(1)}", lambda: f"@{word()}", lambda: f"{word()}{num(2)}", lambda: f"{num(3)} {num(3)}", lambda: f"({num(1)})", lambda: num(12), lambda: f"{num(9)}", lambda: f"{num(2)}/{num(2)}"]
+    plain = [lambda: num(r.randint(1, 6)), lambda: f"19{num(2)}", lambda: f"{num(2)}.{num(2)}", lambda: f"${num(3)}.{num(2)}", lambda: f"{num(2)}%", lambda: f"20{num(2)}-0{num(1)}-1{num(1)}", lambda: f"1{num(1)}:{num(2)}", lambda: f"v{num(1)}.{num(1)}", lambda: f"{num(1)}.{num(1)}.{num(1)}", lambda: f"@{word()}", lambda: f"{word()}{num(2)}", lambda: f"{num(3)} {num(3)}", lambda: f"({num(1)})", lambda: num(12), lambda: f"{num(9)}", lambda: f"{num(2)}/{num(2)}", lambda: f"secret: {word()}", lambda: f"password: {word()}"]
     out = []
     for _ in range(n):
         parts, gold, at = [], [], 0
@@ -279,17 +314,15 @@ def added_spans(text: str, field: Field, base: list[tuple[str, int, int]]) -> li
     """What the field finds that overlaps no span of ``base``."""
     out, taken, last = [], sorted((a, b) for _, a, b in base), -1
     chunks = [m.span() for m in _CHUNK.finditer(text)]
-    begins = [a for a, _ in chunks]
-    hot = sorted({bisect_right(begins, m.start()) - 1 for m in _TRIGGER.finditer(text)})
-    # Runs of chunks that a candidate can reach, across line ends; between them every chunk is "other".
+    hot = hot_chunks(text, chunks)
     k = 0
     while k < len(hot):
         m = k
-        while m + 1 < len(hot) and hot[m + 1] - hot[m] < 2 * LONGEST and hot[m + 1] - hot[k] < 400:
+        while m + 1 < len(hot) and hot[m + 1] - hot[m] < 2 * LONGEST:
             m += 1
         low, high = max(0, hot[k] - LONGEST), min(len(chunks), hot[m] + LONGEST + 1)
         part = chunks[low:high]
-        for i, j, y in field.decode(Lattice(text, part)):
+        for i, j, y in field.decode(Lattice(text, part, [h - low for h in hot[k : m + 1]])):
             a, b = trim(text, part[i][0], part[j - 1][1])
             if a < b and a >= last and not any(x < b and a < z for x, z in taken):
                 out.append((KINDS[y - 1], a, b))
@@ -301,7 +334,7 @@ def added_spans(text: str, field: Field, base: list[tuple[str, int, int]]) -> li
 def all_spans(text: str, field: Field) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(base spans, all spans), each by kind as listed, then start."""
     base = base_spans(text)
-    every = base + added_spans(text, field, base) if _TRIGGER.search(text) else base
+    every = base + added_spans(text, field, base) if triggered(text) else base
     return base, sorted(every, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
@@ -339,7 +372,7 @@ def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str | None = "
     def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            texts = [t if t is None or not _TRIGGER.search(t) else mask(t, all_spans(t, field)[1]) for t in batch.column(at).to_pylist()]
+            texts = [t if t is None or not triggered(t) else mask(t, all_spans(t, field)[1]) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
         give_back()
 
