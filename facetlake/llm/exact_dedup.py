@@ -27,14 +27,20 @@ def normalized_sha256(text: Column) -> Column:
     return F.sha2(F.regexp_replace(text, SPACE, " "), 256)
 
 
-def drop_ids(docs: DataFrame, lost: DataFrame, id_col: str, max_bits: int = 1 << 27) -> DataFrame:
-    """``docs`` without the rows whose id is in the one column of ``lost``; rows with a null id stay.
+def drop_rows(docs: DataFrame, lost: DataFrame, same: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 1 << 27) -> DataFrame:
+    """``docs`` without the rows that ``lost`` names by (doc_id, text_key), the key being the text's 64-bit hash; of rows that ``same`` names one stays.
 
-    A Bloom filter of the lost ids, never larger than ``max_bits``, decides which rows shuffle to be looked up; the rest pass straight through.
+    A Bloom filter of the named rows, never larger than ``max_bits``, decides which rows shuffle to be looked up; the rest pass straight through.
     """
-    lost = materialize(lost.toDF("lost_id").where("lost_id is not null").select(F.col("lost_id").cast("long")).distinct(), "lost")
-    flagged = flag_ids(docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("sha")), lost, max_bits)
-    kept = flagged.where("candidate").join(lost.hint("merge"), F.col("sha") == F.col("lost_id"), "left_anti")
+    key = F.xxhash64("doc_id", "text_key")
+    lost, same = (materialize(d.select(F.col("doc_id").cast("long").alias("lost_id"), F.col("text_key").alias("lost_key")).distinct(), n) for d, n in ((lost, "lost"), (same, "same")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key")).withColumn("sha", key)
+    named = lost.unionAll(same).select(F.xxhash64("lost_id", "lost_key").alias("key"))
+    flagged = flag_ids(rows, named, max_bits)
+    on = F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("text_key") == F.col("lost_key"))
+    kept = flagged.where("candidate").join(lost.hint("merge"), on, "left_anti")
+    if not same.isEmpty():
+        kept = kept.join(same, on, "left_anti").unionByName(kept.join(same, on, "left_semi").dropDuplicates(["doc_id", "text_key"]))
     return flagged.where("not candidate").unionByName(kept).select("row.*")
 
 
