@@ -5,14 +5,17 @@ its smoothed shares in the two classes; texts are scaled to length one; a linear
 coordinate descent, and its margin becomes a probability by a logistic fit on labelled texts that the model has not seen.
 
 The fit takes at most ``sample_rows`` labelled texts (those with the smallest hash of the id, the rarer class
-up to half of them); all texts are scored, whole.
+up to half of them), one of each id; all texts are scored, whole. A text comes to the driver as its features, as numbers or as a bit map, whichever is
+smaller: never more than 2**BITS / 8 bytes, however long it is.
 
 Defined cases: null text is empty and gets the score of no feature; null labels and ids without a text
-are not learned from; of several labels for an id the smallest counts; without both classes the score is the smoothed share of label 1; null ids are scored; an empty table gives an empty result.
+are not learned from; of several labels for an id the smallest counts, and of several texts the first in order of characters; without both classes the score is the smoothed share of label 1; null ids are scored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +43,35 @@ def features(text: str) -> np.ndarray:
     return np.unique(np.concatenate(grams).astype(np.int32)) if grams else np.zeros(0, np.int32)
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Features as numbers, or as a bit map where that is smaller."""
+    if 32 * len(x) < 1 << BITS:
+        return x.astype("<i4").tobytes()
+    on = np.zeros(1 << BITS, bool)
+    on[x] = True
+    return np.packbits(on).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8))).astype(np.int32) if 8 * len(raw) == 1 << BITS else np.frombuffer(raw, "<i4")
+
+
+class Packed:
+    """Rows of features that are kept packed and opened one at a time."""
+
+    def __init__(self, rows: list[bytes]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return unpacked(self.rows[i])
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        return map(unpacked, self.rows)
+
+
 class Model:
     """Weights of the scaled indicators, and the logistic curve over the margin."""
 
@@ -55,30 +87,30 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(x) + self.shift, -30, 30))))
 
 
-def fit_svm(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: float, epochs: int, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the hinge loss; the bias is one more feature with value one."""
-    weight, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
-    values = [(r / s if (s := np.sqrt(dot(r, r))) else r) for r in (ratio[x].astype(np.float64) for x in rows)]
-    norms = [1.0 + dot(v, v) for v in values]
+def fit_svm(rows: Sequence[np.ndarray], of: np.ndarray, y: np.ndarray, ratio: np.ndarray, cost: float, epochs: int, seed: int = 7, stop: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Dual coordinate descent for the hinge loss over the rows ``of``; the bias is one more feature with value one."""
+    weight, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(of))
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
-        for i in rng.permutation(len(rows)):
-            x, v = rows[i], values[i]
+        for i in rng.permutation(len(of)):
+            x = rows[of[i]]
+            v = ratio[x].astype(np.float64)
+            v /= np.sqrt(dot(v, v)) or 1.0
             gradient = y[i] * (dot(weight[x], v) + bias) - 1
-            new = min(max(alpha[i] - gradient / norms[i], 0.0), cost)
+            new = min(max(alpha[i] - gradient / (1.0 + dot(v, v)), 0.0), cost)
             step = (new - alpha[i]) * y[i]
             if step:
                 weight[x] += step * v
                 bias += step
                 moved = max(moved, abs(step))
                 alpha[i] = new
-        if moved < 1e-3 * cost:
+        if moved < stop * cost:
             break
     return weight, bias
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 10.0, epochs: int = 30) -> Model:
+def fit(rows: Sequence[np.ndarray], labels: np.ndarray, cost: float = 10.0, epochs: int = 30) -> Model:
     share = (labels.sum() + 1) / (len(labels) + 2)
     prior = float(np.log(share / (1 - share)))
     if len(set(labels.tolist())) < 2:
@@ -90,7 +122,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 10.0, epochs:
     y = np.where(labels == 1, 1.0, -1.0)
     fold = np.arange(len(rows)) % 5 == 0
     train = np.flatnonzero(~fold) if len(rows) >= 20 else np.arange(len(rows))
-    weight, bias = fit_svm([rows[i] for i in train], y[train], ratio, cost, epochs)
+    weight, bias = fit_svm(rows, train, y[train], ratio, cost, epochs)
     model = Model(ratio, weight.astype(np.float32), bias, 2.0, 0.0)
     if len(rows) >= 20 and len(set(labels[fold].tolist())) == 2:
         m, t = np.array([model.margin(rows[i]) for i in np.flatnonzero(fold)]), labels[fold]
@@ -117,15 +149,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.where(hash_mod("doc_id", 5) != 0).withColumn("rank", F.xxhash64("doc_id"))
     halves = [known.where(F.col("label") == k).orderBy("rank", "doc_id").limit(n) for k, n in ((0, sample_rows // 2), (1, sample_rows // 2))]
     chosen = F.broadcast(halves[0].unionAll(halves[1]))  # at most sample_rows short rows
-    rows = id_text(docs, id_col, text_col).join(chosen, "doc_id").select("doc_id", "text", "label", "rank")
+    rows = id_text(docs, id_col, text_col).join(chosen, "doc_id").groupBy("doc_id", "label", "rank").agg(F.min("text").alias("text"))
 
     def work(ids: list, texts: list, label: list, rank: list) -> dict:
-        return {"doc_id": ids, "label": label, "rank": rank, "x": [features(t).tobytes() for t in texts]}
+        return {"doc_id": ids, "label": label, "rank": rank, "x": [packed(features(t)) for t in texts]}
 
-    found = sorted(map_texts(rows, work, "doc_id long, label int, rank long, x binary", ("label", "rank")).toLocalIterator(), key=lambda r: (r.rank, r.doc_id, bytes(r.x)))
-    found = found[: 2 * sample_rows]  # ids that repeat add no more than this
-    model_rows, y = [np.frombuffer(bytes(r.x), np.int32) for r in found], np.array([r.label for r in found], np.int64)
-    return fit(model_rows, y)
+    # At most sample_rows rows of bounded size.
+    found = sorted(map_texts(rows, work, "doc_id long, label int, rank long, x binary", ("label", "rank")).toLocalIterator(), key=lambda r: (r.rank, r.doc_id))
+    return fit(Packed([bytes(r.x) for r in found]), np.array([r.label for r in found], np.int64))
 
 
 def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
