@@ -657,6 +657,19 @@ def test_substring_dedup_on_repetitive_texts(spark):
     assert sorted_rows(suffix_dedup.substring_dedup(frame), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_strings(rows)
 
 
+def test_rows_of_one_id_lose_only_their_own_bytes(spark):
+    """One id over several texts, null ids, repeated rows; also with a bucket's anchors in several parts."""
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    p, q, r = text(240), text(243), text(70)
+    rows = [(1, p), (5, p), (5, q), (5, q + p), (5, q), (None, r), (None, q[:100]), (7, r + text(20)), (8, p[30:150] + q)]
+    rows += [(100 + i, text(40) + rng.choice((p, q, r))[:90] + text(30)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for part_bytes in (suffix_dedup.PART_BYTES, 2000):
+        got = sorted_rows(suffix_dedup.substring_dedup(frame, part_bytes=part_bytes), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert got == brute_strings(rows)
+
+
 def test_index_interval_of_each_window():
     rng = random.Random(9)
     texts = ["".join(rng.choice("ab") for _ in range(60)).encode() for _ in range(5)] * 3
