@@ -31,6 +31,8 @@ from facetlake.functions.storage import materialize
 from facetlake.llm.text import give_back, hash_mod, id_text
 
 DEPTH, NODES, WORDS = 6, 1 << 21, 1 << 18
+#: Bytes of text whose counts are added up together before those of a whole bucket are.
+PART_BYTES = 8 << 30
 #: Buckets at least, those of the short strings, text bytes a bucket, text bytes worked on at once, and distinct strings that a task holds.
 BUCKETS, SHALLOW, BUCKET_BYTES, FLUSH_BYTES, HELD = 256, 16, 32 << 20, 5 << 20, 6_000_000
 _PAD, _END = 0xFE, 0xFF  # bytes that UTF-8 never has
@@ -580,7 +582,7 @@ def _add_answers(table: pa.Table) -> pa.Table:
     return pa.table({"row_no": pa.array(row + table["flush"][0].as_py(), pa.int64()), "n_tokens": pa.array(sums["tokens"][row]), "n_known": pa.array(sums["known"][row]), "base_score": pa.array(sums["base"][row]), "score": pa.array(sums["score"][row])})
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nodes: int = NODES, words: int = WORDS) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nodes: int = NODES, words: int = WORDS, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and bits_per_byte (of the text's bytes and end mark)."""
     spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col).withColumn("held_out", hash_mod("doc_id", 5) == 1).withColumn("row_no", F.monotonically_increasing_id())
@@ -588,7 +590,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     size = ids.agg(F.sum("bytes"), F.count(F.when(~F.col("held_out"), 1))).first()
     buckets, trained = int(max(BUCKETS, (size[0] or 0) // BUCKET_BYTES)), int(size[1])
     counted = rows.where("not held_out").select("row_no", "text").mapInArrow(_count_texts(buckets), "kind int, bucket int, keys binary, counts binary")
-    added = materialize(counted.groupBy("kind", "bucket").applyInArrow(_add_up(buckets), "kind int, bucket int, keys binary, counts binary, bins array<long>"), "counted")
+    sums, parts = "kind int, bucket int, keys binary, counts binary, bins array<long>", int((size[0] or 0) // part_bytes)
+    if parts > 1:  # a bucket's messages are added up in parts first, so that a frequent context's bucket is no larger than its distinct strings times the parts
+        counted = counted.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(parts))).groupBy("kind", "bucket", "part").applyInArrow(_add_up(buckets), sums).drop("bins")
+    added = materialize(counted.groupBy("kind", "bucket").applyInArrow(_add_up(buckets), sums), "counted")
     sizes = {int(r.kind): r for r in added.groupBy("kind").agg(*(F.sum(F.col("bins")[k]).alias(f"b{k}") for k in range(48))).collect()}
     fit = lambda kind, most: next((1 << k for k in range(48) if sizes[kind][f"b{k}"] <= most), 1 << 48) if kind in sizes else 1
 

@@ -128,6 +128,8 @@ def test_ctw_scores_do_not_depend_on_the_cache(spark, docs, rows):
     for r in ctw.score_texts(docs, nodes=500).collect():
         got[r.doc_id].append(r.score)
     assert got.keys() == want.keys() and all(np.allclose(sorted(got[i]), sorted(want[i]), rtol=1e-4, atol=1e-2) for i in want)
+    whole, parted = (sorted_rows(ctw.score_texts(docs, part_bytes=n), "doc_id", "n_known", "train_tokens", F.round("score", 3)) for n in (ctw.PART_BYTES, 100_000))
+    assert whole == parted  # adding up in parts changes nothing
     none = ctw.score_texts(spark.createDataFrame([(i, "abc") for i in range(200)], "doc_id long, text string").where(F.crc32(F.col("doc_id").cast("string")) % 5 == 1)).collect()
     assert none and all(abs(r.bits_per_byte - 8) < 1e-6 for r in none)
 
