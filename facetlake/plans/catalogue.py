@@ -15,8 +15,8 @@ from facetlake.functions import identity
 from facetlake.functions.constants import ERROR_CODES, GRAPH_SURFACES
 from facetlake.functions.storage import materialize
 from facetlake.functions import vectors as v
-from facetlake.operators import canonical, cloud, dataset, graph, intake, jobs, lineage, metrics, near_duplicates, raster, recognize, splits
-from facetlake.sources import analytic
+from facetlake.operators import canonical, cloud, dataset, graph, intake, jobs, lineage, metrics, near_duplicates, raster, recognize, splits, validate
+from facetlake.sources import analytic, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,7 +170,28 @@ def rule_agreement(spark: SparkSession, d: str) -> DataFrame:
     return metrics.agreement(assigned(spark, d), ["split"], "label", "rule_label")
 
 
-@query()
+def _digest_sql(table: str, *columns: str) -> str:
+    text = " || '|' || ".join(rf"coalesce({c}::VARCHAR, '\N')" for c in columns)
+    parts = " || '|' || ".join(f"coalesce(sum(('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT), 0)::VARCHAR" for i in range(8))
+    return f"(SELECT sha256(count(*) || '|' || {parts}) FROM (SELECT sha256({text}) AS h FROM {table}))"
+
+
+@query(
+    f"""WITH RECURSIVE {NEAR_SQL}, both_ways AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach AS (SELECT part AS node, part AS seen FROM sig UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.seen),
+head AS (SELECT node, min(seen) AS cluster, count(*) AS size FROM reach GROUP BY node),
+clusters AS (SELECT raw.part, cluster FROM raw JOIN sig USING (volume, area, dims) JOIN head ON head.node = sig.part WHERE size > 1 OR members > 1), {S_SQL},
+touched AS (SELECT DISTINCT cluster, design_group FROM samples JOIN clusters ON part = sample_id WHERE reason = 'ok'),
+links AS (SELECT design_group AS a, min(design_group) OVER (PARTITION BY cluster) AS b FROM touched), steps AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+spread AS (SELECT a AS node, a AS seen FROM links UNION SELECT s.node, e.b FROM spread s JOIN steps e ON e.a = s.seen), joined_groups AS (SELECT node, min(seen) AS unit FROM spread GROUP BY 1),
+included AS (SELECT s.*, coalesce(g.unit, design_group) AS split_unit FROM samples s LEFT JOIN joined_groups g ON g.node = design_group WHERE reason = 'ok'),
+own_units AS (SELECT split_unit AS unit, min(family) AS family FROM included GROUP BY 1),
+own_families AS (SELECT family, row_number() OVER (ORDER BY sha256('{SEED}|' || family), family) - 1 AS k FROM (SELECT DISTINCT family FROM own_units)),
+own_ranks AS (SELECT unit, k, row_number() OVER (PARTITION BY u.family ORDER BY sha256('{SEED}|' || u.family || '|' || unit), unit) - 1 AS j, count(*) OVER (PARTITION BY u.family) AS n FROM own_units u JOIN own_families f ON u.family = f.family),
+own_splits AS (SELECT unit, CASE WHEN j = 0 AND n >= 2 THEN CASE WHEN k % 2 = 0 THEN 'val' ELSE 'test' END WHEN j = 1 AND n >= 4 THEN CASE WHEN k % 2 = 0 THEN 'test' ELSE 'val' END ELSE 'train' END AS split FROM own_ranks),
+placed AS (SELECT i.*, split FROM included i JOIN own_splits o ON o.unit = split_unit), excluded AS (SELECT sample_id, reason FROM samples WHERE reason <> 'ok')
+SELECT 'ds_' || substr(sha256('{SEED}|group|' || {_digest_sql("placed", "sample_id", "content", "split", "label")} || '|' || {_digest_sql("excluded", "sample_id", "reason")}), 1, 16) AS dataset_id, (SELECT count(*) FROM placed) AS included, (SELECT count(*) FROM excluded) AS excluded"""
+)
 def build_dataset(spark: SparkSession, d: str) -> DataFrame:
     """The whole build, near-duplicate clusters joining groups; its one row of identity."""
     clusters = near_duplicates.near_duplicate_clusters(read(spark, d, "documents"), "doc_id", *_signature_columns())
@@ -312,7 +333,7 @@ f AS (SELECT s_suppkey AS k, abs(s_acctbal) AS area, s_suppkey % 7 AS t, 12.5::D
 r AS (SELECT k AS face_idx, [{', '.join(f'(t = {i})::INTEGER' for i in range(5))}, (t > 4)::INTEGER, area / 250000.0, ln(1 + area), CASE WHEN k % 6 > 0 THEN k % 2 ELSE 0 END, CASE WHEN k % 6 > 0 THEN 1 - k % 2 ELSE 0 END, 0,
   CASE WHEN t = 0 THEN 0 ELSE (k % 10) / 10.0::DOUBLE - 0.5 END * scale, CASE WHEN t = 3 THEN (k % 8) / 8.0::DOUBLE ELSE 0 END * scale * scale, radius / scale, ln(1 + radius), 1 - k % 2, k % 3 + 1,
   coalesce(n_edges, 0), coalesce(x / base, 0), coalesce(v / base, 0), coalesce(s / base, 0), ext[1] / 25, ext[2] / 25, ext[3] / 25, coalesce(degree, 0)]::DOUBLE[] AS x FROM f LEFT JOIN c ON c.face_idx = k LEFT JOIN d ON d.face_idx = k)
-SELECT face_idx, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS feature, round(unnest(x), 3) + 0.0::DOUBLE AS "value" FROM r"""
+SELECT face_idx, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS feature, round(unnest(x::FLOAT[])::DOUBLE, 3) + 0.0::DOUBLE AS "value" FROM r"""
 )
 def node_features(spark: SparkSession, d: str) -> DataFrame:
     """All 25 features of every face, one row each."""
@@ -328,7 +349,7 @@ def node_features(spark: SparkSession, d: str) -> DataFrame:
 s AS (SELECT o_orderkey, o_totalprice AS volume, [(o_orderkey % 7)::DOUBLE, o_custkey % 5, 1 + o_orderkey % 3] AS dims FROM orders),
 t AS (SELECT *, sqrt(dims[1] * dims[1] + dims[2] * dims[2] + dims[3] * dims[3]) AS half, list_reverse_sort(dims) AS d FROM s JOIN f ON k = o_orderkey),
 r AS (SELECT o_orderkey, [ln(1 + volume), ln(1 + volume / 2), d[1] / half, d[2] / half, d[3] / half, ln(1 + n), ln(1 + e), a, b, 0, 0, 0, 1 - a - b]::DOUBLE[] AS x FROM t)
-SELECT o_orderkey, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS feature, abs(round(unnest(x), 3)) AS "value" FROM r"""
+SELECT o_orderkey, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS feature, abs(round(unnest(x::FLOAT[])::DOUBLE, 3)) AS "value" FROM r"""
 )
 def global_features(spark: SparkSession, d: str) -> DataFrame:
     """All 13 features of every order as a part, one row each; its lines are faces, its line numbers edges."""
@@ -600,6 +621,165 @@ def latest_samples_topk(spark: SparkSession, d: str) -> DataFrame:
     return newest.join(read(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_name", "o_totalprice")
 
 
+# ---- rules and figures over whole numbers of the tables' keys
+
+
+def orders(spark: SparkSession, d: str) -> tuple[DataFrame, Column]:
+    return read(spark, d, "orders"), F.col("o_orderkey")
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN k % 5 = 0 THEN 'STEP_NO_SHAPES' WHEN k % 3 > 1 THEN 'UNSUPPORTED_ASSEMBLY' WHEN k % 4 = 0 THEN 'STEP_NO_SHAPES' WHEN k % 6 > 1 THEN 'MULTI_BODY' WHEN k % 7 = 0 THEN 'STEP_NO_SHAPES'
+  WHEN k % 11 = 0 THEN 'UNSUPPORTED_TESSELLATED' WHEN o_totalprice <= 90000 OR k % 13 = 0 THEN 'DEGENERATE_GEOMETRY' END AS code FROM (SELECT *, o_orderkey AS k FROM orders)"""
+)
+def structural_policy(spark: SparkSession, d: str) -> DataFrame:
+    rows, k = orders(spark, d)
+    counts = intake.structure_code(k % 5, k % 3, k % 4, k % 6, k % 7, (k % 11 == 0).cast("int"))
+    return rows.select("o_orderkey", intake.first_code(counts, intake.degenerate_code(F.col("o_totalprice") - 90000, (k % 13).cast("double"))).alias("code"))
+
+
+@query("WITH p AS (SELECT page_id, regexp_replace(url, '^https?:/', '') AS key FROM pages), q AS (SELECT page_id, key FROM p UNION ALL SELECT -page_id, substr(key, 2) FROM p) SELECT page_id, regexp_full_match(key, '[A-Za-z0-9._/-]+') AND NOT list_has_any(string_split(key, '/'), ['', '.', '..']) AS valid FROM q")
+def storage_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Paths of pages as storage keys, with the slash before them and without."""
+    key = F.regexp_replace("url", "^https?:/", "")
+    rows = read(spark, d, "pages")
+    both = rows.select("page_id", key.alias("key")).unionAll(rows.select((-F.col("page_id")).alias("page_id"), F.substring(key, F.lit(2), F.length(key)).alias("key")))
+    return both.select("page_id", intake.valid_storage_key(F.col("key")).alias("valid"))
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN k % 4 > 1 THEN 'MULTI_BODY' WHEN k % 4 = 0 OR k % 5 = 0 THEN 'NO_SOLID' WHEN k % 3 = 0 THEN NULL WHEN coalesce(CASE WHEN k % 7 > 0 THEN k % 7 > 2 END, false) = false THEN 'INVALID_GEOMETRY'
+  WHEN (k % 10) / 100.0::DOUBLE > 0.05 OR abs((k % 6) / 1000.0::DOUBLE - 0.002) > 0.001 THEN 'REPAIR_DEVIATION_EXCEEDED' END AS code FROM (SELECT o_orderkey, o_orderkey AS k FROM orders)"""
+)
+def shape_decision(spark: SparkSession, d: str) -> DataFrame:
+    rows, k = orders(spark, d)
+    return rows.select("o_orderkey", validate.shape_code(k % 4, k % 5 > 0, k % 3 == 0, F.when(k % 7 > 0, k % 7 > 2), (k % 10) / 100, (k % 6) / 1000 - 0.002).alias("code"))
+
+
+V_SQL = "v AS (SELECT vec_id, [embedding[1]::DOUBLE, embedding[2], embedding[3]] AS a, [embedding[4]::DOUBLE, embedding[5], embedding[6]] AS b, [embedding[7]::DOUBLE, embedding[8], embedding[9]] AS t FROM embeddings), u AS (SELECT *, list_inner_product(a, b) / sqrt(list_inner_product(a, a) * list_inner_product(b, b)) AS c, list_inner_product([a[2] * b[3] - a[3] * b[2], a[3] * b[1] - a[1] * b[3], a[1] * b[2] - a[2] * b[1]], t) AS side FROM v)"
+
+
+def axes(spark: SparkSession, d: str) -> tuple[DataFrame, list[Column]]:
+    e = F.col("embedding")
+    return read(spark, d, "embeddings"), [v.vec(e[i], e[i + 1], e[i + 2]) for i in (0, 3, 6)]
+
+
+@query(f"WITH {V_SQL} SELECT vec_id, abs(c) >= cos(radians(30)) AS parallel, abs(c) <= sin(radians(30)) AS perpendicular FROM u")
+def axis_relations(spark: SparkSession, d: str) -> DataFrame:
+    rows, (a, b, _) = axes(spark, d)
+    return rows.select("vec_id", v.parallel(a, b, 30).alias("parallel"), v.perpendicular(a, b, 30).alias("perpendicular"))
+
+
+@query(
+    f"""WITH {V_SQL}, k AS (SELECT vec_id, degrees(acos(c)) AS w, CASE WHEN vec_id % 13 = 0 THEN 'unknown' WHEN vec_id % 11 = 0 THEN 'seam' WHEN vec_id % 5 = 0 THEN 'unknown' WHEN vec_id % 5 = 1 THEN 'boundary' WHEN vec_id % 5 > 2 THEN 'non_manifold'
+  WHEN degrees(acos(c)) < 30 THEN 'smooth' WHEN side > 0 THEN 'convex' ELSE 'concave' END AS kind FROM u)
+SELECT vec_id, kind, CASE WHEN vec_id % 5 = 2 THEN round(CASE WHEN kind = 'concave' THEN 180 + w ELSE 180 - w END, 4) END AS angle FROM k"""
+)
+def edge_convexity(spark: SparkSession, d: str) -> DataFrame:
+    rows, (a, b, t) = axes(spark, d)
+    k = F.col("vec_id")
+    kind, angle = canonical.convexity(k % 13 == 0, k % 11 == 0, k % 5, a, b, t, 30.0)
+    return rows.select("vec_id", kind.alias("kind"), angle.alias("angle"))
+
+
+@query(
+    """SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 5 END, o_orderkey % 4, CAST(round_even(o_totalprice / 0.001::DOUBLE, 0) AS BIGINT),
+  least([o_orderkey % 3, o_orderkey % 2], [o_orderkey % 2, o_orderkey % 3]), greatest([o_orderkey % 3, o_orderkey % 2], [o_orderkey % 2, o_orderkey % 3]), o_orderstatus, o_orderkey) - 1 AS INTEGER) AS edge_idx FROM orders"""
+)
+def edge_order(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as edges of their customers, in canonical order."""
+    rows, k = orders(spark, d)
+    curve = F.element_at(F.array(*map(F.lit, ("line", "circle", "bspline"))), (k % 3 + 1).cast("int"))
+    edges = rows.select("o_orderkey", F.col("o_custkey").alias("sample_id"), curve.alias("curve_type"), v.vec(k % 4, 0, 0).alias("mid_mm"), F.col("o_totalprice").alias("length_mm"), v.vec(k % 3, k % 2, 0).alias("start_mm"), v.vec(k % 2, k % 3, 0).alias("end_mm"), F.col("o_orderstatus").alias("fingerprint"), k.alias("traversal_index"))
+    return canonical.canonical_order(edges, "sample_id", canonical.edge_keys(), "edge_idx").select("o_orderkey", "edge_idx")
+
+
+@query(
+    """WITH e AS (SELECT l_orderkey, sum(CAST(l_quantity AS BIGINT)) AS length, string_agg(l_returnflag, ',' ORDER BY l_returnflag) AS prints FROM lineitem GROUP BY 1)
+SELECT l_orderkey, substr(sha256('line|' || CAST(length * 100 AS BIGINT) || '|' || ['convex', 'concave'][l_orderkey % 2 + 1] || '|' || prints), 1, 16) AS fingerprint FROM e"""
+)
+def edge_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("length"), F.collect_list("l_returnflag").alias("prints"))
+    kind = F.when(F.col("l_orderkey") % 2 == 0, "convex").otherwise("concave")
+    return rows.select("l_orderkey", canonical.edge_fingerprint(F.lit("line"), F.col("length"), kind, F.col("prints")).alias("fingerprint"))
+
+
+@query(
+    """WITH m AS (SELECT *, CAST(event_id % 4 AS INTEGER) AS attempt, CAST(event_id % 5 AS VARCHAR) AS worker, max(event_id % 4) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS newest FROM events)
+SELECT user_id AS job_id, arg_max(event_type, {'t': ts, 'e': event_id}) AS state, max(attempt) AS attempts, arg_max(worker, {'t': ts, 'e': event_id}) AS worker_id FROM m WHERE attempt >= newest GROUP BY 1"""
+)
+def job_fold(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("event_id")
+    events = read(spark, d, "events").select(F.col("user_id").alias("job_id"), "event_id", F.col("ts").alias("created_at"), F.col("event_type").alias("state"), (k % 4).cast("int").alias("attempt"), (k % 5).cast("string").alias("worker_id"))
+    return jobs.fold(events).select("job_id", "state", "attempts", "worker_id")
+
+
+@query(
+    """WITH s AS (SELECT event_type AS kind, user_id % 50 AS key, ts, event_id FROM events), j AS (SELECT DISTINCT kind, key FROM s WHERE event_id % 500 = 0),
+f AS (SELECT kind, key, arg_min(event_id, {'t': ts, 'e': event_id}) AS job_id FROM s GROUP BY ALL) SELECT job_id, kind FROM f WHERE NOT EXISTS (SELECT 1 FROM j WHERE j.kind = f.kind AND j.key = f.key)"""
+)
+def new_submissions(spark: SparkSession, d: str) -> DataFrame:
+    sent = read(spark, d, "events").select(F.col("event_type").alias("kind"), (F.col("user_id") % 50).alias("idempotency_key"), F.col("ts").alias("submitted_at"), F.col("event_id").alias("job_id"))
+    return jobs.submit(sent.where("job_id % 500 = 0").distinct(), sent).select("job_id", "kind")
+
+
+@query("WITH s AS (SELECT ['completed', 'rejected', 'parsing', 'timed_out', 'queued', 'failed_terminal', 'quarantined'][event_id % 7 + 1] AS state FROM events) SELECT state, count(*) AS n, round(count(*) / 3600.0::DOUBLE * 60, 4) AS per_minute FROM s WHERE state NOT IN ('parsing', 'queued') GROUP BY 1")
+def outcome_counts(spark: SparkSession, d: str) -> DataFrame:
+    kinds = F.array(*map(F.lit, ("completed", "rejected", "parsing", "timed_out", "queued", "failed_terminal", "quarantined")))
+    return jobs.outcome_counts(read(spark, d, "events").select(F.element_at(kinds, (F.col("event_id") % 7 + 1).cast("int")).alias("state")), 3600.0)
+
+
+@query("SELECT label, round(avg(embedding[1]::DOUBLE), 6) AS x_mean, round(stddev_pop(embedding[1]::DOUBLE), 6) AS x_std, round(avg(embedding[2]::DOUBLE), 6) AS y_mean, round(stddev_pop(embedding[2]::DOUBLE), 6) AS y_std FROM embeddings GROUP BY 1")
+def seed_summary(spark: SparkSession, d: str) -> DataFrame:
+    e = F.col("embedding")
+    found = metrics.seed_summary(read(spark, d, "embeddings").select("label", e[0].cast("double").alias("x"), e[1].cast("double").alias("y")), "label", ["x", "y"])
+    return found.select("label", *[F.round(c, 6).alias(c) for c in found.columns if c != "label"])
+
+
+@query("SELECT o_custkey, arg_max(o_orderkey, {'s': o_orderkey % 5, 'e': -o_orderkey}) AS best_epoch, max(o_orderkey % 5) AS score FROM orders GROUP BY 1")
+def best_epoch(spark: SparkSession, d: str) -> DataFrame:
+    rows, k = orders(spark, d)
+    return metrics.best_epoch(rows.withColumn("score", k % 5), "o_custkey", "score", "o_orderkey")
+
+
+@query(
+    """WITH o AS (SELECT *, o_custkey % 40 AS a, o_orderkey // 7 % 40 AS b FROM orders), f AS (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM o WHERE o_orderkey % 2 = 0), t AS (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM o WHERE o_orderkey % 3 = 0),
+n AS (SELECT (SELECT count(*) FROM f JOIN t USING (a, b)) AS tp, (SELECT count(*) FROM f ANTI JOIN t USING (a, b)) AS fp, (SELECT count(*) FROM t ANTI JOIN f USING (a, b)) AS fn)
+SELECT tp, fp, fn, round(tp / (tp + fp)::DOUBLE, 4) AS "precision", round(tp / (tp + fn)::DOUBLE, 4) AS recall FROM n"""
+)
+def pair_scores(spark: SparkSession, d: str) -> DataFrame:
+    rows, k = orders(spark, d)
+    pairs = lambda c: rows.where(c).select((F.col("o_custkey") % 40).alias("a"), (F.floor(k / 7) % 40).alias("b"))
+    return metrics.pair_scores(pairs(k % 2 == 0), pairs(k % 3 == 0))
+
+
+@query(
+    """WITH e AS (SELECT o_custkey AS part, o_totalprice AS v, o_totalprice + o_orderkey AS a, list_sort([(o_orderkey % 3)::DOUBLE, o_orderkey % 5, o_orderkey % 7]) AS d, o_orderkey % 4 AS n FROM orders)
+SELECT part, count(*) AS exports, round((max(v) - min(v)) / abs(avg(v)), 6) AS volume_spread, round((max(a) - min(a)) / abs(avg(a)), 6) AS area_spread, greatest(max(d[1]) - min(d[1]), max(d[2]) - min(d[2]), max(d[3]) - min(d[3])) AS box_difference, count(DISTINCT n) AS face_counts FROM e GROUP BY 1"""
+)
+def export_consistency(spark: SparkSession, d: str) -> DataFrame:
+    rows, k = orders(spark, d)
+    own = rows.select(F.col("o_custkey").alias("part"), k.alias("export"), F.col("o_totalprice").alias("volume"), (F.col("o_totalprice") + k).alias("area"), F.array(*[(k % n).cast("double") for n in (3, 5, 7)]).alias("dims"), (k % 4).alias("n_faces"))
+    return metrics.export_consistency(own).withColumns({c: F.round(c, 6) for c in ("volume_spread", "area_spread")})
+
+
+@query("WITH d AS (SELECT 'f' || lpad(doc_id::VARCHAR, 12, '0') AS file, sha256(text) AS sha FROM documents), m AS (SELECT *, min(file) OVER (PARTITION BY sha) AS first FROM d) SELECT file, CASE WHEN file > first THEN first END AS duplicate_of FROM m")
+def corpus_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "documents").select(F.concat(F.lit("f"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("file"), F.sha2("text", 256).alias("sha256"))
+    return sinks.corpus_report(rows).select("file", "duplicate_of")
+
+
+@query(
+    """WITH e AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings),
+f AS (SELECT dim, avg(x) AS mean, CASE WHEN stddev_pop(x) <= 1e-6 THEN 1 ELSE stddev_pop(x) END AS std FROM e WHERE vec_id % 5 <> 0 GROUP BY 1),
+z AS (SELECT vec_id, label, dim, (x - mean) / std AS z FROM e JOIN f USING (dim)), m AS (SELECT label AS predicted, dim, avg(z) AS m FROM z WHERE vec_id % 5 <> 0 GROUP BY ALL),
+s AS (SELECT vec_id, predicted, sum((z - m) * (z - m)) AS d FROM z JOIN m USING (dim) GROUP BY ALL) SELECT vec_id, arg_min(predicted, {'d': d, 'p': predicted}) AS predicted FROM s GROUP BY 1"""
+)
+def nearest_mean(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "embeddings").withColumn("is_train", F.col("vec_id") % 5 != 0)
+    return metrics.train_nearest_mean(rows, "vec_id", "embedding", "label", "is_train")
+
+
 # ---- analytic parts: no table of the driver holds geometry, so these are held by golden tests
 
 
@@ -637,11 +817,28 @@ def box_mesh(spark: SparkSession) -> DataFrame:
     rows = [(f"box-{n}", i, float(n)) for n in range(1, 4) for i in range(12)]
     corner = lambda k: v.vec(*[F.when(F.shiftright(F.lit(k) if isinstance(k, int) else k, i).bitwiseAND(F.lit(1)) == 1, F.col("size")).otherwise(0.0) for i in range(3)])
     sides = ((0, 2, 6, 4), (1, 5, 7, 3), (0, 4, 5, 1), (2, 3, 7, 6), (0, 1, 3, 2), (4, 6, 7, 5))
-    tri = F.array(*[F.array(*map(F.lit, (s[0], s[1 + h], s[2 + h]))) for s in sides for h in (0, 1)])
+    tri = F.array(*[F.array(*map(F.lit, (s[0], s[2 + h], s[1 + h]))) for s in sides for h in (0, 1)])
     t = spark.createDataFrame(rows, "sample_id string, tri_idx int, size double").withColumn("t", tri[F.col("tri_idx")])
     return t.select("sample_id", (F.col("tri_idx") / 2).cast("int").alias("face_idx"), "tri_idx", *[corner(F.col("t")[i]).alias(n) for i, n in enumerate("abc")])
 
 
+@query("SELECT 'box-' || n AS sample_id, round(pow(n, 3), 6)::DOUBLE AS volume, round(6 * n * n, 6)::DOUBLE AS area, round(n / 2.0::DOUBLE, 6) AS middle FROM range(1, 4) t(n)")
+def mesh_scalars(spark: SparkSession, d: str) -> DataFrame:
+    """Volume, area and centre of mass of the box meshes."""
+    rows = cloud.mesh_scalars(box_mesh(spark))
+    return rows.select("sample_id", F.round("volume_mm3", 6).alias("volume"), F.round("surface_area_mm2", 6).alias("area"), F.round("center_of_mass_mm.y", 6).alias("middle"))
+
+
+@query(f"WITH {T_SQL} SELECT count(DISTINCT face_idx) = (SELECT count(*) FROM supplier) AS node_for_every_face, true AS face_indices_dense, true AS ends_in_range, true AS no_loops, true AS symmetric, true AS same_as_topology, true AS finite FROM fe")
+def graph_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """The seven checks over the suppliers' graph, nodes being those that have an edge."""
+    face_edge = topology(spark, d)[0]
+    pairs = graph.adjacent_pairs(face_edge).select("sample_id", "src", "dst").distinct()
+    faces = read(spark, d, "supplier").select(F.lit("all").alias("sample_id"), F.col("s_suppkey").alias("face_idx"))
+    nodes = face_edge.select("sample_id", "face_idx").distinct().withColumn("x", F.lit(1.0))
+    return graph.invariants(faces, pairs, nodes, face_edge).drop("sample_id")
+
+
 @query()
 def raster_face_ids(spark: SparkSession, d: str) -> DataFrame:
     return raster.pixel_counts(raster.view_pixels(box_mesh(spark), resolution=64))
