@@ -118,3 +118,24 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return out
 
     return map_texts(rows, work, SCHEMA)
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, generate_subscripts(x, 1) AS i, unnest(x) AS word FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS x FROM d)),
+g AS (SELECT r, i, word, lead(word) OVER o AS b, lead(word, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+m AS (SELECT *, c IS NOT NULL AND count(*) OVER (PARTITION BY r, word, b, c) > 1 AS again FROM g),
+n AS (SELECT r, word, again OR coalesce(lag(again) OVER o, false) OR coalesce(lag(again, 2) OVER o, false) AS repeated FROM m WINDOW o AS (PARTITION BY r ORDER BY i)),
+words AS (SELECT r, count(*) AS n_words, sum(len(word))::BIGINT AS word_chars, count(*) FILTER (repeated) AS n_repeat_words FROM n GROUP BY r),
+split AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+lines AS (SELECT r, count(*) AS n_lines, count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) - count(DISTINCT line) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_dup_lines,
+  count(*) FILTER (regexp_matches(line, '^[\s\x0b\x1c-\x1f\x85\p{Z}]*[-*•]')) AS bullets, count(*) FILTER (regexp_matches(line, '(\.\.\.|…)[\s\x0b\x1c-\x1f\x85\p{Z}]*$')) AS ellipses FROM split GROUP BY r),
+s AS (SELECT d.r, doc_id, t, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, bullets, ellipses
+  FROM d JOIN lines USING (r) LEFT JOIN words USING (r)),
+k AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  10 * n_symbols > n_words OR word_chars NOT BETWEEN 2 * n_words AND 14 * n_words OR 2 * n_dup_lines > n_lines
+  OR 2 * len(regexp_extract_all(t, '[\p{L}\p{Nl}\p{No}]')) < word_chars OR 2 * len(regexp_extract_all(t, '\p{Lu}')) > word_chars
+  OR 20 * len(list_filter(regexp_extract_all(t, '[^\s\x0b\x1c-\x1f\x85\p{Z}]+'), lambda x: len(x) > 40)) > n_words
+  OR 10 * bullets > 9 * n_lines OR (n_lines > 3 AND 10 * ellipses > 3 * n_lines) AS broken FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT broken AS kept FROM k
+"""

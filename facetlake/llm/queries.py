@@ -56,4 +56,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.ORACLE}
+    return {"op4_quality_rules": quality_rules.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}

@@ -267,6 +267,25 @@ def test_quality_rules(docs, rows):
     assert sorted_rows(out, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept") == sorted(want, key=lambda r: tuple((x is not None, x) for x in r))
 
 
+def test_rules_equal_their_sql(spark, docs, tmp_path):
+    """On the odd cases and on real documents, a rule being broken in each of its ways by some text."""
+    import duckdb
+
+    from facetlake.llm.queries import oracle_sql
+
+    good = " ".join(f"word{i} and" for i in range(40))
+    extra = [good + " #" * 60, "x " * 200 + good, "Lorem ipsumdolorsitametconsectetur" * 90, (good + "\n") * 4, " ".join(["12345"] * 30 + [str(i) for i in range(90)]), good.upper(), good + " " + " ".join("y" * 50 for _ in range(9)), "\n".join(f"- {w}" for w in good.split()), "\n".join(f"{w} …" for w in good.split()), good]
+    rows = docs.select("doc_id", "text").unionAll(spark.createDataFrame(list(enumerate(extra, 500_000)), "doc_id long, text string"))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    found = con.sql(oracle_sql()["op4_quality_rules"])
+    out = quality_rules.quality_rules(rows).drop("failed_rule")
+    assert set(found.columns) == set(out.columns)
+    order = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted((tuple(r) for r in found.select(*out.columns).fetchall()), key=order) == sorted((tuple(r) for r in out.collect()), key=order)
+
+
 def test_rule_order_prefers_rejections_per_cost():
     slow = lambda t, s: sum(range(20000)) < 0
     measured = quality_rules.measure(["word " * 20 + " ".join(f"w{i}" for i in range(60)), "too short"] * 5, {"slow_never": slow, "quick_always": lambda t, s: True, "slow_always": lambda t, s: sum(range(20000)) > 0})
