@@ -5,8 +5,9 @@ effect: rejected documents go, of equal and of near-equal documents the one with
 is masked, and the last stage returns the pieces of the packed sequences. ORACLE_SQL is None, as SQL cannot express
 fingerprint components, the models and the tokenizer; tests hold the stages against brute force.
 
-Defined cases are those of the operators: null texts count as empty (and keep their null until the last stage), rows with a null id are
-never dropped as near copies, an empty table gives an empty result, and further columns are carried along.
+Defined cases are those of the operators: null texts count as empty (and keep their null until the last stage); of equal and near-equal
+documents a null id goes before any other; rows that share an id with different texts are judged each by its own text; an empty table gives an
+empty result; further columns are carried along.
 """
 
 from __future__ import annotations
