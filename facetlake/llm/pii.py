@@ -159,13 +159,21 @@ def hot_chunks(text: str, chunks: list[tuple[int, int]]) -> list[int]:
 class Lattice:
     """The candidate segments of a run of chunks, by their end: features of each chunk alone, and (start, features) of candidates."""
 
-    def __init__(self, text: str, chunks: list[tuple[int, int]], hot: list[int] | None = None):
+    def __init__(self, text: str, chunks: list[tuple[int, int]], hot: list[int] | None = None, keep: bool = False):
+        self.kept: dict[int, tuple] | None = {} if keep else None  # fitting goes over a sentence again and again
         self.text, self.chunks, self.n = text, chunks, len(chunks)
         self.hot_before = np.zeros(self.n + 1, np.int64)
         self.hot_before[1:] = np.cumsum(np.isin(np.arange(self.n), hot_chunks(text, chunks) if hot is None else hot))
 
     def ending(self, j: int) -> tuple[list[int], list[tuple[int, list[int]]]]:
         """Features of chunk j - 1 alone, and the candidates that end behind it."""
+        if self.kept is None:
+            return self._ending(j)
+        if j not in self.kept:
+            self.kept[j] = self._ending(j)
+        return self.kept[j]
+
+    def _ending(self, j: int) -> tuple[list[int], list[tuple[int, list[int]]]]:
         own = span_features(self.text, self.chunks, j - 1, j)
         starts = [i for i in range(j - 1, max(j - LONGEST, 0) - 1, -1) if self.hot_before[i] < self.hot_before[j]]
         return own, [(i, own if i == j - 1 else span_features(self.text, self.chunks, i, j)) for i in starts]
@@ -297,7 +305,7 @@ def _sentences(n: int, seed: int) -> list[tuple[str, list[tuple[int, int, int]]]
 def trained(sentences: int = 400, epochs: int = 4, seed: int = 11) -> Field:
     """Maximum likelihood by AdaGrad with a small Gaussian prior."""
     field = Field()
-    data = [(Lattice(t, [m.span() for m in _CHUNK.finditer(t)]), g) for t, g in _sentences(sentences, seed)]
+    data = [(Lattice(t, [m.span() for m in _CHUNK.finditer(t)], keep=True), g) for t, g in _sentences(sentences, seed)]
     sums = [np.full_like(field.weights, 1e-2), np.full_like(field.moves, 1e-2)]
     order = random.Random(seed)
     for _ in range(epochs):

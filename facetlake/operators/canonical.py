@@ -80,11 +80,13 @@ def unambiguous_matches(left: DataFrame, right: DataFrame, key: str, left_id: st
 
 def convexity(degenerate: Column, seam: Column, n_faces: Column, normal_a: Column, normal_b: Column, tangent: Column, degrees: float = 2.0) -> tuple[Column, Column]:
     """Class of an edge and its dihedral angle in degrees, from both faces' normals and the edge's tangent in the first face's sense."""
-    from facetlake.functions.vectors import cross, dot, unit
+    from facetlake.functions.vectors import cross, dot
 
-    a, b = unit(normal_a), unit(normal_b)
-    between = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(a, b)))))
-    side = dot(cross(a, b), tangent)
+    # Lengths only matter to the angle; a normal of length zero stands at a right angle to all.
+    lengths = F.sqrt(dot(normal_a, normal_a) * dot(normal_b, normal_b))
+    cosine = F.when(lengths > 0, dot(normal_a, normal_b) / lengths).otherwise(0.0)
+    between = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+    side = dot(cross(normal_a, normal_b), tangent)
     two = F.when(between < degrees, "smooth").when(side > 0, "convex").otherwise("concave")
     kind = F.when(degenerate, "unknown").when(seam, "seam").when(n_faces == 0, "unknown").when(n_faces == 1, "boundary").when(n_faces > 2, "non_manifold").otherwise(two)
     angle = F.when(n_faces == 2, F.round(F.when(kind == "concave", 180 + between).otherwise(180 - between), 4))

@@ -467,15 +467,13 @@ def intake_cascade(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select("doc_id", code.alias("code"))
 
 
-@query("SELECT page_id, regexp_replace(regexp_replace(string_split(url, '/')[-1], '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS name FROM pages WHERE regexp_matches(url, '^[\\x00-\\x7f]*[A-Za-z0-9-][^/]*$')")
+@query(
+    r"""WITH p AS (SELECT page_id, regexp_replace(regexp_replace(strip_accents(string_split(regexp_replace(replace(url, chr(92), '/'), '(/\.?)+$', ''), '/')[-1]), '[^\x00-\x7f]+', '', 'g'), '[^A-Za-z0-9._-]+', '_', 'g') AS b FROM pages),
+q AS (SELECT page_id, regexp_replace(b, '^[._]+|[._]+$', '', 'g') AS b FROM p)
+SELECT page_id, CASE WHEN b = '' THEN 'unnamed' WHEN len(b) <= 128 THEN b ELSE substr(b, 1, 128 - len(regexp_extract(b, '(\.[A-Za-z0-9_-]{1,8})$', 1))) || regexp_extract(b, '(\.[A-Za-z0-9_-]{1,8})$', 1) END AS name FROM q"""
+)
 def safe_names(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "pages").where(F.col("url").rlike(r"^[\x00-\x7f]*[A-Za-z0-9-][^/]*$"))
-    return rows.select("page_id", intake.sanitize_filename(F.col("url")).alias("name"))
-
-
-@query()
-def safe_names_all(spark: SparkSession, d: str) -> DataFrame:
-    """Every page, also those that the SQL of ``safe_names`` leaves out: other alphabets, a slash at the end, nothing that stays."""
+    """Every page's address as a file name. SQL has accents, but no compatibility forms; a test holds those against plain Python."""
     return read(spark, d, "pages").select("page_id", intake.sanitize_filename(F.col("url")).alias("name"))
 
 

@@ -138,7 +138,7 @@ def test_safe_names_of_every_page(spark):
 
     pages = {r.page_id: r.url for r in catalogue.read(spark, "/root/testdata/sf0.001", "pages").select("page_id", "url").collect()}
     assert max(map(len, pages.values())) <= 128
-    got = {r.page_id: r.name for r in catalogue.QUERIES["safe_names_all"](spark, "/root/testdata/sf0.001").collect()}
+    got = {r.page_id: r.name for r in catalogue.QUERIES["safe_names"](spark, "/root/testdata/sf0.001").collect()}
     assert got == {i: named(u) for i, u in pages.items()}
     odd = ["http://a.b/c/", "http://a.b/c/./", "a/.", "a/..", "/", ".", "x/Größe/", "日本"]
     out = [r[0] for r in spark.createDataFrame([(u,) for u in odd], "n string").select(intake.sanitize_filename(F.col("n"))).collect()]
