@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from facetlake.llm import bpe, ctw, exact_dedup, nbsvm, packing, pii, quality_rules, sentence_spans, simhash, suffix_dedup
+from facetlake.llm import bpe, ctw, exact_dedup, license_scan, nbsvm, packing, pii, quality_rules, sentence_spans, simhash, suffix_dedup, word_runs
 from facetlake.llm.text import documents, labels
 
 
@@ -51,6 +51,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.word_runs(documents(spark, sf_dir), stretch=True)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan_licenses(documents(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
