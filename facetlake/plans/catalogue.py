@@ -176,8 +176,7 @@ def _digest_sql(table: str, *columns: str) -> str:
     return f"(SELECT sha256(count(*) || '|' || {parts}) FROM (SELECT sha256({text}) AS h FROM {table}))"
 
 
-@query(
-    f"""WITH RECURSIVE {NEAR_SQL}, both_ways AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+BUILD_SQL = f"""WITH RECURSIVE {NEAR_SQL}, both_ways AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
 reach AS (SELECT part AS node, part AS seen FROM sig UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.seen),
 head AS (SELECT node, min(seen) AS cluster, count(*) AS size FROM reach GROUP BY node),
 clusters AS (SELECT raw.part, cluster FROM raw JOIN sig USING (volume, area, dims) JOIN head ON head.node = sig.part WHERE size > 1 OR members > 1), {S_SQL},
@@ -189,9 +188,12 @@ own_units AS (SELECT split_unit AS unit, min(family) AS family FROM included GRO
 own_families AS (SELECT family, row_number() OVER (ORDER BY sha256('{SEED}|' || family), family) - 1 AS k FROM (SELECT DISTINCT family FROM own_units)),
 own_ranks AS (SELECT unit, k, row_number() OVER (PARTITION BY u.family ORDER BY sha256('{SEED}|' || u.family || '|' || unit), unit) - 1 AS j, count(*) OVER (PARTITION BY u.family) AS n FROM own_units u JOIN own_families f ON u.family = f.family),
 own_splits AS (SELECT unit, CASE WHEN j = 0 AND n >= 2 THEN CASE WHEN k % 2 = 0 THEN 'val' ELSE 'test' END WHEN j = 1 AND n >= 4 THEN CASE WHEN k % 2 = 0 THEN 'test' ELSE 'val' END ELSE 'train' END AS split FROM own_ranks),
-placed AS (SELECT i.*, split FROM included i JOIN own_splits o ON o.unit = split_unit), excluded AS (SELECT sample_id, reason FROM samples WHERE reason <> 'ok')
-SELECT 'ds_' || substr(sha256('{SEED}|group|' || {_digest_sql("placed", "sample_id", "content", "split", "label")} || '|' || {_digest_sql("excluded", "sample_id", "reason")}), 1, 16) AS dataset_id, (SELECT count(*) FROM placed) AS included, (SELECT count(*) FROM excluded) AS excluded"""
-)
+placed AS (SELECT i.*, split FROM included i JOIN own_splits o ON o.unit = split_unit), excluded AS (SELECT sample_id, reason FROM samples WHERE reason <> 'ok')"""
+
+DATASET_ID_SQL = f"""'ds_' || substr(sha256('{SEED}|group|' || {_digest_sql("placed", "sample_id", "content", "split", "label")} || '|' || {_digest_sql("excluded", "sample_id", "reason")}), 1, 16)"""
+
+
+@query(f"{BUILD_SQL} SELECT {DATASET_ID_SQL} AS dataset_id, (SELECT count(*) FROM placed) AS included, (SELECT count(*) FROM excluded) AS excluded")
 def build_dataset(spark: SparkSession, d: str) -> DataFrame:
     """The whole build, near-duplicate clusters joining groups; its one row of identity."""
     clusters = near_duplicates.near_duplicate_clusters(read(spark, d, "documents"), "doc_id", *_signature_columns())
