@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -34,8 +34,11 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "id_number")
 LONGEST = 6
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The contract's patterns, so that no stretch of text is gone over again from each of its characters: what stands before an at sign is found
+# from the sign back, and an address of digits begins where a run of digits does, as the runs behind a later start are the same.
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_HOST = re.compile(r"@[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)++")
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -52,11 +55,23 @@ def _small(part: str) -> bool:
     return len(part) <= 3 and int(part or 0) <= 255
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost matches of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+`` in one pass: no match holds two at signs."""
+    end = 0
+    for m in _HOST.finditer(text):
+        start = m.start()
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < m.start():
+            end = m.end()
+            yield start, end
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The contract's spans by kind, then start."""
     out = []
     if "@" in text:
-        out += [("email", *m.span()) for m in _EMAIL.finditer(text)]
+        out += [("email", a, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         if "." in text:
             out += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(_small, m.group().split(".")))]
@@ -320,7 +335,13 @@ def trained(sentences: int = 400, epochs: int = 4, seed: int = 11) -> Field:
 
 def added_spans(text: str, field: Field, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """What the field finds that overlaps no span of ``base``."""
-    out, taken, last = [], sorted((a, b) for _, a, b in base), -1
+    out, last = [], -1
+    taken: list[list[int]] = []  # disjoint, in order
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(b, taken[-1][1])
+        else:
+            taken.append([a, b])
     chunks = [m.span() for m in _CHUNK.finditer(text)]
     hot = hot_chunks(text, chunks)
     k = 0
@@ -332,7 +353,8 @@ def added_spans(text: str, field: Field, base: list[tuple[str, int, int]]) -> li
         part = chunks[low:high]
         for i, j, y in field.decode(Lattice(text, part, [h - low for h in hot[k : m + 1]])):
             a, b = trim(text, part[i][0], part[j - 1][1])
-            if a < b and a >= last and not any(x < b and a < z for x, z in taken):
+            before = bisect_left(taken, [b]) - 1  # the last one that begins before the span's end
+            if a < b and a >= last and (before < 0 or taken[before][1] <= a):
                 out.append((KINDS[y - 1], a, b))
                 last = b
         k = m + 1

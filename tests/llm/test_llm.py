@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -861,3 +862,26 @@ def test_pipeline(spark, tokenizer):
     for r in corpus_pipeline.run(spark, d).collect():
         total[r.doc_id] += r.length
     assert total == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in kept["pii"].items()}
+
+
+def test_pii_patterns_are_the_contract_s_and_take_linear_time():
+    email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(1)
+    for _ in range(30000):
+        text = "".join(rng.choice("a1.@-_% +2.@é") for _ in range(rng.randint(0, 30)))
+        assert list(pii._emails(text)) == [m.span() for m in email.finditer(text)]
+        assert [m.span() for m in pii._IP.finditer(text)] == [m.span() for m in ip.finditer(text)]
+    field, n = pii.trained(), 1_000_000
+    for text in ("a" * n + " x@y.com", "a" * n + "@", "1" * n + " .", "." * n + "@1", "+" * n + "1@", "1." * (n // 2) + "@", "a@" * (n // 2), "+1" + "(" * n, "password=" * (n // 9)):
+        began = time.process_time()
+        pii.all_spans(text, field)
+        assert time.process_time() - began < 2, text[:20]
+
+
+def test_pii_added_spans_overlap_no_base_span():
+    field = pii.trained()
+    text = " ".join(f"a{i}@b.c.d 10.0.{i % 256}.1 x password={i}abcdef{i}, +1 555 010 {i:04}" for i in range(300))
+    base, every = pii.all_spans(text, field)
+    added = sorted((a, b) for s in every if s not in base for _, a, b in [s])
+    assert added and all(b <= c for (_, b), (c, _) in zip(added, added[1:]))
+    assert not any(a < d and c < b for a, b in added for _, c, d in base)
