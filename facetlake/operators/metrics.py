@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from facetlake.functions.storage import materialize
+from facetlake.operators.growth import match_in_order
+
 
 def confusion_matrix(rows: DataFrame, truth: str, predicted: str, labels: list) -> DataFrame:
     """(truth, predicted, n) over all pairs of the given labels, zeros included."""
@@ -85,29 +86,25 @@ def pair_scores(found: DataFrame, true: DataFrame) -> DataFrame:
     return both.agg(F.sum(F.col("f") * F.col("t")).alias("tp"), F.sum(F.col("f") * (1 - F.col("t"))).alias("fp"), F.sum((1 - F.col("f")) * F.col("t")).alias("fn")).select("tp", "fp", "fn", _share(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), _share(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"))
 
 
-def match_features(features: DataFrame, tolerance: float = 0.05) -> DataFrame:
+def match_features(features: DataFrame, tolerance: float = 0.05, keys: tuple[str, ...] = ("sample_id", "feature_type")) -> DataFrame:
     """Greedy one-to-one matching per sample, in order: each true feature takes the first unused predicted one of its type whose size is within tolerance.
 
-    ``features`` has (sample_id, side "true" or "predicted", feature_type, place, size); returns (sample_id, feature_type, true_place, predicted_place) with nulls for what is left. A sample is one task's work by nature.
+    ``features`` has (sample_id, side "true" or "predicted", feature_type, place, size), places unique on each side of a sample; a null size fits any. Returns the keys and (true_place,
+    predicted_place, size_error) with nulls for what is left; the error is null where a size is. Rounds over all samples at once, see ``growth.match_in_order``.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place")
-        free = pdf[pdf["side"] == "predicted"].to_dict("records")
-        out = []
-        for t in pdf[pdf["side"] == "true"].to_dict("records"):
-            k = next((i for i, p in enumerate(free) if p["feature_type"] == t["feature_type"] and (pd.isna(t["size"]) or pd.isna(p["size"]) or abs(p["size"] - t["size"]) <= tolerance)), None)
-            out.append((t["sample_id"], t["feature_type"], t["place"], free.pop(k)["place"] if k is not None else None))
-        out += [(p["sample_id"], p["feature_type"], None, p["place"]) for p in free]
-        return pd.DataFrame(out, columns=["sample_id", "feature_type", "true_place", "predicted_place"]).astype({"true_place": "Int64", "predicted_place": "Int64"})
-
-    return features.groupBy("sample_id").applyInPandas(run, "sample_id string, feature_type string, true_place long, predicted_place long")
+    side = lambda s, n: features.where(F.col("side") == s).select(*keys, F.col("place").alias(f"{n}_place"), F.col("size").alias(f"{n}_size"))
+    true, predicted = side("true", "true"), side("predicted", "predicted")
+    fits = F.coalesce(F.abs(F.col("true_size") - F.col("predicted_size")) <= tolerance, F.lit(True))
+    matched = match_in_order(true.join(predicted, [*keys]).where(fits), "true_place", "predicted_place", keys)
+    both = true.join(matched, [*keys, "true_place"], "left").join(predicted, [*keys, "predicted_place"], "full_outer")
+    return both.select(*keys, F.col("true_place").cast("long").alias("true_place"), F.col("predicted_place").cast("long").alias("predicted_place"), F.abs(F.col("true_size") - F.col("predicted_size")).alias("size_error"))
 
 
 def feature_scores(matches: DataFrame) -> DataFrame:
+    """(feature_type, tp, fp, fn, precision, recall, max_error, mean_error), the errors over matched sizes."""
     t, p = F.col("true_place").isNotNull(), F.col("predicted_place").isNotNull()
-    counts = matches.groupBy("feature_type").agg(*[F.sum(c.cast("long")).alias(n) for c, n in ((t & p, "tp"), (~t & p, "fp"), (t & ~p, "fn"))])
-    return counts.select("*", _share(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), _share(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"))
+    counts = matches.groupBy("feature_type").agg(*[F.sum(c.cast("long")).alias(n) for c, n in ((t & p, "tp"), (~t & p, "fp"), (t & ~p, "fn"))], F.max("size_error").alias("max_error"), F.avg("size_error").alias("mean_error"))
+    return counts.select("feature_type", "tp", "fp", "fn", _share(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), _share(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"), "max_error", "mean_error")
 
 
 def seed_summary(runs: DataFrame, key: str, values: list[str]) -> DataFrame:
@@ -119,9 +116,32 @@ def best_epoch(history: DataFrame, run: str = "run_id", score: str = "val_macro_
     return history.groupBy(run).agg(F.max_by(epoch, F.struct(score, -F.col(epoch))).alias("best_epoch"), F.max(score).alias(score))
 
 
-def percentiles(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Exact p50, p95 and maximum, interpolated linearly."""
-    return rows.groupBy(*keys).agg(*[F.round(F.percentile(value, F.lit(p)), 6).alias(n) for p, n in ((0.5, "p50"), (0.95, "p95"))], F.round(F.max(value), 6).alias("max"), F.count(value).alias("n"))
+def percentiles(rows: DataFrame, keys: list[str], value: str, accuracy: int = 1000) -> DataFrame:
+    """Exact p50, p95 and maximum, interpolated linearly; groups of any size.
+
+    Equal values are counted before they move. A sketch of bounded size brackets each rank; values below a bracket are only added up, and running counts go over the
+    few inside, some 4 / ``accuracy`` of a group. Null and NaN values do not count; a group without others has nulls.
+    """
+    shares = {"p50": 0.5, "p95": 0.95}
+    x = F.col(value).cast("double")
+    counted = materialize(rows.select(*keys, x.alias("_x")).groupBy(*keys, F.when(~F.isnan("_x"), F.col("_x")).alias("_x")).agg(F.count(F.lit(1)).alias("_n")), "counts")
+    edges = [min(max(p + d / accuracy, 0.0), 1.0) for p in shares.values() for d in (-2, 2)]
+    known = rows.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys).agg(F.percentile_approx(x, edges, accuracy).alias("_edges"))
+    ends = counted.where("_x IS NOT NULL").groupBy(*keys).agg(F.sum("_n").alias("_total"), F.max("_x").alias("_max"))
+    whole = F.col("_total") <= 4 * accuracy  # few values: brackets would miss a rank by rounding
+    brackets = F.array(*[F.struct(F.lit(k).alias("name"), (F.lit(p) * (F.col("_total") - 1)).alias("rank"), F.when(whole, float("-inf")).otherwise(F.col("_edges")[2 * i]).alias("low"), F.when(whole, float("inf")).otherwise(F.col("_edges")[2 * i + 1]).alias("high")) for i, (k, p) in enumerate(shares.items())])
+    own = materialize(known.join(ends, keys).select(*keys, "_total", "_max", F.explode(brackets).alias("_b")), "brackets")
+    near = counted.where("_x IS NOT NULL").join(own, keys).where(F.col("_x") <= F.col("_b.high"))
+    below = near.where(F.col("_x") < F.col("_b.low")).groupBy(*keys, "_b.name").agg(F.sum("_n").alias("_below"))
+    inside = near.where(F.col("_x") >= F.col("_b.low")).select(*keys, "_x", "_n", "_b.*").join(below, [*keys, "name"], "left")
+    upto = F.coalesce("_below", F.lit(0)) + F.sum("_n").over(Window.partitionBy(*keys, "name").orderBy("_x"))
+    placed = inside.withColumn("_upto", upto)
+    at = lambda r: F.max(F.when((r >= F.col("_upto") - F.col("_n")) & (r < F.col("_upto")), F.col("_x")))
+    part = F.col("rank") - F.floor("rank")
+    picked = placed.groupBy(*keys, "name").agg(at(F.floor("rank")).alias("a"), at(F.ceil("rank")).alias("b"), F.max(part).alias("part"))
+    exact = picked.groupBy(*keys).agg(*[F.round(F.max(F.when(F.col("name") == k, F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((1 - F.col("part")) * F.col("a") + F.col("part") * F.col("b")))), 6).alias(k) for k in shares])
+    every = counted.groupBy(*keys).agg(F.round(F.max("_x"), 6).alias("max"), F.coalesce(F.sum(F.when(F.col("_x").isNotNull(), F.col("_n"))), F.lit(0)).alias("n"))
+    return every.join(exact, keys, "left").select(*keys, *shares, "max", "n")
 
 
 def train_nearest_mean(rows: DataFrame, key: str, vector: str, label: str, is_train: str) -> DataFrame:
