@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from facetlake.functions import vectors as v
+from facetlake.functions.prefix import running_total
+from facetlake.operators.intervals import contained
 
 
 def allocate(faces: DataFrame, sample: str, face: str, weight: str, total: int = 4096, least: int = 8) -> DataFrame:
@@ -60,6 +62,23 @@ def sample_points(triangles: DataFrame, counts: DataFrame, seed: int = 1234) ->
     return inside.select("sample_id", "face_idx", "k", "tri_idx", p.alias("p"), n.alias("normal"))
 
 
+def sample_segments(segments: DataFrame, counts: DataFrame, seed: int = 1234) -> DataFrame:
+    """Points on boundary segments, by arc length: (sample_id, face_idx, k, seg_idx, along), as many per face as ``counts`` (sample_id, face_idx, n) says.
+
+    ``segments`` has (sample_id, face_idx, seg_idx from 0, steps), its length in whole steps. A point's number, a hash of seed and point, is a step of the face's whole
+    boundary, and the segment whose half-open range of steps holds it is looked up; ``along`` is the place on that segment, from 0 to 1. Segments without
+    length get no point, a face whose boundary has none gets no points.
+    """
+    keys = ["sample_id", "face_idx"]
+    upto = running_total(segments.select(*keys, "seg_idx", F.col("steps").cast("long").alias("steps")), keys, "seg_idx", "steps", "high").withColumn("low", F.col("high") - F.col("steps"))
+    whole = segments.groupBy(*keys).agg(F.sum(F.col("steps").cast("long")).alias("whole"))
+    wanted = counts.where("n > 0").join(whole, keys).where("whole > 0").select(*keys, "whole", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("k"))
+    number = v.hash_uniform(F.lit(f"{seed}|b"), F.col("sample_id").cast("string"), F.col("face_idx").cast("string"), F.col("k").cast("string"))
+    wanted = wanted.withColumn("step", F.floor(number * F.col("whole")).cast("long"))
+    found = contained(wanted, upto, "step", "low", "high", keys=("sample_id", "face_idx"))
+    return found.select(*keys, "k", "seg_idx", ((F.col("step") - F.col("low") + 0.5) / F.col("steps")).alias("along"))
+
+
 def label_faces(points: DataFrame, tools: DataFrame, faces: DataFrame, tolerance: float = 2e-3, share: float = 0.95) -> DataFrame:
     """(sample_id, face_idx, label): the tool of highest priority (hole, slot, pocket; then its place) whose boundary holds enough of a face's points; else a fillet by radius; else planar or other.
 

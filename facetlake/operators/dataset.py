@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from facetlake.functions.observed import Stages
 from facetlake.functions.storage import materialize
 from facetlake.operators import splits
 from facetlake.operators.components import connected_components
@@ -69,17 +70,24 @@ def content_digest(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n"), *parts).select("n", F.sha2(F.concat_ws("|", "n", *[F.coalesce(F.col(f"p{i}"), F.lit(0)).cast("string") for i in range(8)]), 256).alias("digest"))
 
 
-def build(samples: DataFrame, clusters: DataFrame, seed: int = 7, mode: str = "group") -> dict[str, DataFrame]:
+def build(samples: DataFrame, clusters: DataFrame, seed: int = 7, mode: str = "group", stages: Stages | None = None) -> dict[str, DataFrame]:
     """A dataset version from samples with sample_id, content, family, design_group, label and reason.
 
     Returns its samples with splits, the excluded ones, and one row with the dataset id, derived from content alone (excluded samples included).
-    Raises where a unit, a content or a near-duplicate cluster would cross splits.
+    Raises where a unit, a content or a near-duplicate cluster would cross splits. ``stages`` takes the figures of each table as it is written.
     """
-    samples = materialize(samples, "verdicts")
-    included = materialize(split_units(samples.where(F.col("reason") == "ok"), clusters), "included")
-    units = materialize(unit_families(included), "families")
+    stages = stages or Stages()
+
+    def write(frame: DataFrame, name: str, **figures: Column) -> DataFrame:
+        written = materialize(stages.watch(frame, name, **figures), name)
+        stages.ran(name)
+        return written
+
+    samples = write(samples, "verdicts", kept=F.count_if(F.col("reason") == "ok"))
+    included = write(split_units(samples.where(F.col("reason") == "ok"), clusters), "included", kept=F.count_if(F.col("split_unit") == F.col("design_group")))
+    units = write(unit_families(included), "families", kept=F.count("family"))
     assigned = splits.split_by_family(units, seed) if mode == "family" else splits.split_by_group(units, seed)
-    rows = materialize(included.join(assigned.select(F.col("unit").alias("split_unit"), "split"), "split_unit"), "samples")
+    rows = write(included.join(assigned.select(F.col("unit").alias("split_unit"), "split"), "split_unit"), "samples", kept=F.count_if(F.col("split") == "train"))
     crossing = splits.leakage(rows, "split_unit").unionAll(splits.leakage(rows, "content")).unionAll(splits.leakage(rows.join(clusters, rows["sample_id"] == clusters["part"]), F.col("cluster").cast("string")))
     if not crossing.isEmpty():
         raise ValueError("a unit, content or cluster crosses splits")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,12 @@ def discover(spark: SparkSession, directory: str) -> DataFrame:
     return probe_files(corpus_files(spark, directory))
 
 
+def exactly(path: str) -> str:
+    """A glob for exactly this path: a file stream takes single files no other way, and folders as well."""
+    path = path.rstrip("/")
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path[:-1]) + f"[{path[-1]}]"
+
+
 def manifests(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Sample manifests, one JSON document a file at samples/<id>/manifest.json, by sample id."""
     return spark.read.schema(schema).option("multiLine", "true").json(f"{path}/samples/*/manifest.json").orderBy("sample_id")

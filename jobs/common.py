@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 import json
 import logging
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +21,6 @@ def settings(spark: SparkSession, path: str, defaults: dict) -> dict:
     return defaults | given
 
 
-def only(path: str) -> str:
-    """A glob for exactly this path: a file stream takes single files no other way, and folders as well."""
-    path = path.rstrip("/")
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path[:-1]) + f"[{path[-1]}]"
-
-
 def table(spark: SparkSession, path: str, schema: str, form: str = "parquet") -> DataFrame:
     """A table of files that may not be there yet: empty, of the given schema, until something has written it."""
     return spark.read.schema(schema).format(form).load(path) if exists(spark, path) else spark.createDataFrame([], schema)

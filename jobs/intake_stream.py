@@ -25,6 +25,7 @@ from facetlake.functions.constants import DEFAULT_CONFIG
 from facetlake.functions.identity import job_key, sample_id
 from facetlake.functions.storage import materialize
 from facetlake.operators.intake import intake_code
+from facetlake.sources.files import exactly
 from jobs import common
 
 log = logging.getLogger("intake_stream")
@@ -82,7 +83,7 @@ def run(spark: SparkSession, source: str, output: str, checkpoint: str, config:
         for k, n in counts.items():
             totals[k] += n
 
-    files = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", chosen["max_files_per_batch"]).parquet(common.only(source))
+    files = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", chosen["max_files_per_batch"]).parquet(exactly(source))
     stream = files.writeStream.queryName("intake_stream").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
         stream.awaitTermination()

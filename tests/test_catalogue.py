@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from facetlake.plans import catalogue, joins  # noqa: F401  # joins registers its queries with the others
+from facetlake.plans import catalogue, joins, mechanisms  # noqa: F401  # the latter register their queries with the first
 
 SF = "/root/testdata/sf0.001"
 
