@@ -687,11 +687,33 @@ def test_rows_of_one_id_lose_only_their_own_bytes(spark):
     rows = [(1, p), (5, p), (5, q), (5, q + p), (5, q), (None, r), (None, q[:100]), (7, r + text(20)), (8, p[30:150] + q)]
     rows += [(100 + i, text(40) + rng.choice((p, q, r))[:90] + text(30)) for i in range(60)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    for part_bytes in (suffix_dedup.PART_BYTES, 2000):
-        got = sorted_rows(suffix_dedup.substring_dedup(frame, part_bytes=part_bytes), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    for part_bytes, hot in ((suffix_dedup.PART_BYTES, suffix_dedup.HOT_DOCUMENTS), (2000, suffix_dedup.HOT_DOCUMENTS), (suffix_dedup.PART_BYTES, 3), (2000, 3)):
+        got = sorted_rows(suffix_dedup.substring_dedup(frame, part_bytes=part_bytes, hot_documents=hot), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
         assert got == brute_strings(rows)
 
 
+def test_a_phrase_in_every_document_is_no_one_bucket_s_work(spark):
+    """One phrase with other words around it in each document, null ids too: same result, and no bucket gets a share of the segments that grows with the documents."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    # A phrase whose hash is so small that it is the anchor of whatever holds it.
+    phrase = min((text(30) for _ in range(500)), key=lambda p: suffix_dedup._substring_hashes(np.frombuffer(p.encode(), np.uint8), suffix_dedup.ANCHOR).min())
+    longer = text(20) + phrase + text(20)
+    rows = [(None if i % 3 == 0 else i, text(60) + (longer if i % 10 == 0 else phrase) + text(60)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want, most = brute_strings(rows), {}
+    assert sum(r[2] > 0 for r in want) > 20
+    buckets = suffix_dedup.BUCKETS
+    for hot in (1 << 30, 50):
+        assert sorted_rows(suffix_dedup.substring_dedup(frame, hot_documents=hot), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+        keyed = suffix_dedup._keyed(frame, "doc_id", "text")
+        held = keyed.select("row_key", "text").mapInArrow(suffix_dedup._send_anchors(buckets, 1), "bucket int, part int, ids binary, docs binary, which binary").groupBy("bucket").applyInArrow(suffix_dedup._shared_anchors(hot), "row_key long, anchor int, hot long")
+        lists = held.groupBy("row_key").agg(F.collect_list("anchor").alias("shared"), F.collect_list("hot").alias("hot"))
+        sent = keyed.join(lists, "row_key").select("doc_key", "text_key", "shared", "hot", "text").mapInArrow(suffix_dedup._send_segments(buckets), "bucket int, doc_key long, text_key long, ranges binary, anchors binary, docs binary, texts binary, which binary, starts binary, ends binary, bytes binary")
+        most[hot] = sent.groupBy("bucket").agg(F.sum(F.octet_length("anchors") / 4).alias("n")).agg(F.max("n")).first()[0]
+    assert most[1 << 30] > 300 and most[50] < 120
+
+
 def test_index_interval_of_each_window():
     rng = random.Random(9)
     texts = ["".join(rng.choice("ab") for _ in range(60)).encode() for _ in range(5)] * 3
