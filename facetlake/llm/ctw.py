@@ -19,12 +19,13 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetlake.functions.storage import materialize
@@ -33,6 +34,9 @@ from facetlake.llm.text import give_back, hash_mod, id_text
 DEPTH, NODES, WORDS = 6, 1 << 21, 1 << 18
 #: Bytes of text whose counts are added up together before those of a whole bucket are.
 PART_BYTES = 8 << 30
+#: Questions, as places in texts, that a bucket takes in one piece, and the rows of a list of buckets with more that is broadcast.
+ASK_MOST, MOST_HOT = 64 << 20, 100_000
+_NO_ID = -(1 << 63)
 #: Buckets at least, those of the short strings, text bytes a bucket, text bytes worked on at once, and distinct strings that a task holds.
 BUCKETS, SHALLOW, BUCKET_BYTES, FLUSH_BYTES, HELD = 256, 16, 32 << 20, 5 << 20, 6_000_000
 _PAD, _END = 0xFE, 0xFF  # bytes that UTF-8 never has
@@ -216,126 +220,6 @@ def log_kt(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
     return log_gamma(zero + 0.5) + log_gamma(one + 0.5) - np.log(np.pi) - log_gamma(zero + one + 1.0)
 
 
-class Tree:
-    """Weighted tree: for every node the mixed log10 probability of both bits where a context's path ends there."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        self.nodes = [k for k, *_ in levels]
-        zero, one = [z.astype(np.float64) for _, z, _ in levels], [o.astype(np.float64) for _, _, o in levels]
-        parent = [np.zeros(0, np.int64)]
-        for d in range(1, len(levels)):
-            up = (self.nodes[d] >> np.uint64(16)) << np.uint64(8) | self.nodes[d] & np.uint64(255)
-            parent.append(np.searchsorted(self.nodes[d - 1], up))
-        last = len(levels) - 1
-        weighted, share, other = [None] * len(levels), [None] * len(levels), [None] * len(levels)
-        for d in range(last, -1, -1):
-            own = log_kt(zero[d], one[d])
-            if d == last:
-                weighted[d], share[d], other[d] = own, np.ones_like(own), np.full_like(own, 0.5)
-                continue
-            size = len(own)
-            z, o = (x[d] - np.bincount(parent[d + 1], x[d + 1], size) for x in (zero, one))  # contexts that were too rare, as one branch
-            z, o = np.maximum(z, 0), np.maximum(o, 0)
-            below = np.bincount(parent[d + 1], weighted[d + 1], size) + log_kt(z, o)
-            weighted[d] = np.logaddexp(own, below) + np.log(0.5)
-            share[d] = np.exp(np.log(0.5) + own - weighted[d])
-            other[d] = (o + 0.5) / (z + o + 1)
-        self.zero_log, self.one_log = [], []
-        mixed, rest = np.zeros(len(zero[0])), np.ones(len(zero[0]))
-        for d in range(len(levels)):
-            kt = (one[d] + 0.5) / (zero[d] + one[d] + 1)
-            if d:
-                mixed, rest = (mixed + rest * share[d - 1] * before)[parent[d]], (rest * (1 - share[d - 1]))[parent[d]]
-            p = np.clip(mixed + rest * (share[d] * kt + (1 - share[d]) * other[d]), 1e-12, 1 - 1e-12)
-            self.zero_log.append(np.log10(1 - p).astype(np.float32))
-            self.one_log.append(np.log10(p).astype(np.float32))
-            before = kt
-        self.child, self._starts = [], []
-        for level in self.nodes:
-            places = []
-            for bit in (0, 1):  # where the node one bit longer stands, -1 if it is not in the tree
-                prefix = level & np.uint64(255)
-                wanted = level - prefix + prefix * np.uint64(2) + np.uint64(bit)
-                at = np.minimum(np.searchsorted(level, wanted), max(0, len(level) - 1))
-                ok = (prefix < 128) & (level[at] == wanted) if len(level) else np.zeros(0, bool)
-                places.append(np.where(ok, at, -1).astype(np.int32))
-            self.child.append(np.stack(places))
-            root = np.flatnonzero((level & np.uint64(255)) == 1)
-            hashes = (level[root] >> np.uint64(8)) * _MIX + _MIX
-            order = np.argsort(hashes)
-            bits = max(1, int(len(root)).bit_length())
-            first = np.searchsorted(hashes[order] >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-            self._starts.append((root[order].astype(np.int32), hashes[order], bits, first.astype(np.int32)))
-        self.size, self.nodes = sum(map(len, self.nodes)), None
-
-    def log10_of(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of each distinct, ordered string's byte after its context."""
-        total, place, back = np.zeros(0), None, None
-        value = held = None
-        for d in range(len(self.child)):
-            k = keys >> np.uint64(8 * (DEPTH - d))
-            new = np.concatenate([[True], k[1:] != k[:-1]])
-            at = np.flatnonzero(new)
-            if place is None:
-                act = np.arange(len(at))
-                total = np.full(len(at), 8 * np.log10(0.5))
-                own, seen = np.full((8, len(at)), np.log10(0.5), np.float32), np.ones((8, len(at)), bool)
-            else:  # a string whose context was not in the level above has its value already
-                up = back[at]
-                total, from_ = total[up], place[up]
-                act = np.flatnonzero(from_ >= 0)
-                own, seen = value[:, from_[act]], held[:, from_[act]]
-            k = k[at[act]]
-            width = np.uint64(8 * d)
-            symbol, context = (k >> width).astype(np.int64), k & ((np.uint64(1) << width) - np.uint64(1))
-            i = self._find(d, context)
-            some = np.flatnonzero(seen[0] & (i >= 0))  # a node is in the tree only if its parents in context and in bits are
-            i, seen = i[some], np.zeros_like(seen)
-            for j in range(8):
-                bit = symbol[some] >> (7 - j) & 1
-                seen[j, some] = True
-                own[j, some] = np.where(bit == 1, self.one_log[d][i], self.zero_log[d][i])
-                if j < 7:
-                    i = self.child[d][bit, i]
-                    some, i = some[i >= 0], i[i >= 0]
-            stay = np.flatnonzero(seen[0])
-            value, held = own[:, stay], seen[:, stay]
-            total[act[stay]] = value.sum(0, dtype=np.float64)
-            place = np.full(len(at), -1)
-            place[act[stay]] = np.arange(len(stay))
-            back = np.cumsum(new) - 1
-        return total[back]
-
-    def _find(self, depth: int, context: np.ndarray) -> np.ndarray:
-        """Places of the contexts' first nodes in the level, -1 for those that are not in it."""
-        root, hashes, bits, first = self._starts[depth]
-        found = np.full(len(context), -1)
-        if not len(root):
-            return found
-        key = context * _MIX + _MIX
-        low = key >> np.uint64(64 - bits)
-        at, end = first[low], first[low + np.uint64(1)]
-        left = np.flatnonzero(at < end)
-        while len(left):
-            same = hashes[at[left]] == key[left]
-            found[left[same]] = root[at[left[same]]]
-            left = left[~same]
-            at[left] += 1
-            left = left[at[left] < end[left]]
-        return found
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of every text with its end mark."""
-        keys, owner = strings(texts)
-        if not len(keys):
-            return np.zeros(len(texts))
-        order = np.argsort(keys)
-        keys = keys[order]
-        at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        values = np.repeat(self.log10_of(keys[at]), np.diff(np.concatenate([at, [len(keys)]])))
-        return np.bincount(owner[order], values, len(texts))
-
-
 def _places(nodes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the wanted nodes stand, and which are there at all."""
     if not len(nodes):
@@ -462,7 +346,7 @@ class Words:
 
 
 _ASKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("flush", pa.int64()), ("rows", pa.binary()), ("keys", pa.binary()), ("times", pa.binary()), ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary())])
-_ANSWERS = pa.schema([("flush", pa.int64()), ("rows", pa.binary()), ("tokens", pa.binary()), ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary())])
+_ANSWERS = pa.schema([("flush", pa.int64()), ("rows", pa.binary()), ("tokens", pa.binary()), ("known", pa.binary()), ("base", pa.binary()), ("score", pa.binary()), ("docs", pa.binary())])
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
@@ -481,8 +365,8 @@ def _score_texts(cache, words, buckets: int):
         (cached, values), base = cache.value, words.value
         get, end = base.known.get, float(base.term(base.end))
         for rows in _flushes(batches):
-            raw = [t.encode() for _, t in rows]
-            row = np.array([r for r, _ in rows], np.int64)
+            raw = [r[1].encode() for r in rows]
+            row = np.array([r[0] for r in rows], np.int64)
             first = int(row.min())
             row = row - first
             small = np.uint16 if row.max() < 1 << 16 else np.int64
@@ -515,7 +399,8 @@ def _score_texts(cache, words, buckets: int):
                     for w, k in Counter(own[i] for i in missing.tolist()).items():
                         rare[word_bucket(w, buckets)].append((w, r, k))
             out += [(_TOKENS, b, first, np.array([r for _, r, _ in x], small).tobytes(), b" ".join(w for w, *_ in x), np.array([k for *_, k in x], np.uint32).tobytes(), None, None, None) for b, x in rare.items()]
-            out.append((_DOCS, first % buckets, first, row.tobytes(), None, np.array(n_tokens, np.int64).tobytes(), np.array(n_known, np.int64).tobytes(), np.array(sums, np.float64).tobytes(), score.tobytes()))
+            docs = np.array([r[2:] for r in rows], np.int64).tobytes()  # who the rows are: id and text
+            out.append((_DOCS, first % buckets, first, row.tobytes(), docs, np.array(n_tokens, np.int64).tobytes(), np.array(n_known, np.int64).tobytes(), np.array(sums, np.float64).tobytes(), score.tobytes()))
             for at in range(0, len(out), 64):
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out[at : at + 64], strict=True), _ASKED, strict=True)], schema=_ASKED)
         give_back()
@@ -537,7 +422,7 @@ def _look_up(top, total: int, distinct: int):
         for flush, rows, packed, times in zip(*(asked[c].to_pylist() for c in ("flush", "rows", "keys", "times")), strict=True):
             c, k = np.array([known.get(w, 0) for w in packed.split(b" ")], np.int64), np.frombuffer(times, np.uint32).astype(np.int64)
             row, back = np.unique(_rows_of(rows, len(k)), return_inverse=True)
-            yield flush, row.astype(np.int32).tobytes(), None, np.bincount(back, k * (c > 0), len(row)).astype(np.int64).tobytes(), np.bincount(back, k * base.term(c), len(row)).tobytes(), None
+            yield flush, row.astype(np.int32).tobytes(), None, np.bincount(back, k * (c > 0), len(row)).astype(np.int64).tobytes(), np.bincount(back, k * base.term(c), len(row)).tobytes(), None, None
 
     def bytes_(asked: pa.Table, counted: pa.Table) -> Iterator[tuple]:
         empty = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -552,7 +437,7 @@ def _look_up(top, total: int, distinct: int):
             rows = _rows_of(rows, int(times.sum()))
             sums = np.bincount(rows, np.repeat(values[np.searchsorted(every, unpacked_keys(packed))], times))
             row = np.flatnonzero(sums)  # a string's logarithm is below 0
-            yield flush, row.astype(np.int32).tobytes(), None, None, None, sums[row].astype(np.float32).tobytes()
+            yield flush, row.astype(np.int32).tobytes(), None, None, None, sums[row].astype(np.float32).tobytes(), None
 
     def run(asked: pa.Table, counted: pa.Table) -> pa.Table:
         if not asked.num_rows:
@@ -560,7 +445,7 @@ def _look_up(top, total: int, distinct: int):
         kind = asked["kind"][0].as_py()
         if kind == _DOCS:
             whole = [pa.array([np.frombuffer(x, np.int64).astype(np.int32).tobytes() for x in asked["rows"].to_pylist()], pa.binary())]
-            return pa.table([asked["flush"], *whole, *(asked[c] for c in ("times", "known", "base", "score"))], schema=_ANSWERS)
+            return pa.table([asked["flush"], *whole, *(asked[c] for c in ("times", "known", "base", "score", "keys"))], schema=_ANSWERS)
         out = list((words if kind == _TOKENS else bytes_)(asked, counted))
         give_back()
         return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), _ANSWERS, strict=True)], schema=_ANSWERS)
@@ -579,14 +464,37 @@ def _add_answers(table: pa.Table) -> pa.Table:
             if x is not None:
                 total[row] += np.frombuffer(x, total.dtype if len(x) == 8 * len(row) else np.float32)
     row = np.flatnonzero(there)
-    return pa.table({"row_no": pa.array(row + table["flush"][0].as_py(), pa.int64()), "n_tokens": pa.array(sums["tokens"][row]), "n_known": pa.array(sums["known"][row]), "base_score": pa.array(sums["base"][row]), "score": pa.array(sums["score"][row])})
-
-
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nodes: int = NODES, words: int = WORDS, part_bytes: int = PART_BYTES) -> DataFrame:
+    docs = np.zeros((n, 2), np.int64)
+    for rows, own in zip(table["rows"].to_pylist(), table["docs"].to_pylist(), strict=True):
+        if own is not None:
+            docs[np.frombuffer(rows, np.int32)] = np.frombuffer(own, np.int64).reshape(-1, 2)
+    return pa.table({"doc_key": pa.array(docs[row, 0]), "text_key": pa.array(docs[row, 1]), "n_tokens": pa.array(sums["tokens"][row]), "n_known": pa.array(sums["known"][row]), "base_score": pa.array(sums["base"][row]), "score": pa.array(sums["score"][row])})
+
+
+def _asked_in_parts(spark: SparkSession, asked: DataFrame, counted: DataFrame, added: DataFrame, least: int, most: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of the look-up with what they meet on. Buckets whose strings are asked for more than ``most`` times have their questions dealt to parts, each with the bucket's counts.
+
+    How often a string is asked for is taken from how often it was counted, up to twice that; strings that the cache holds are never asked for.
+    """
+    own = [F.lit(0).cast("long")] + [(F.col("bins")[k] - F.col("bins")[k + 1]) * (2 << k) for k in range(47) if 1 << k < least]
+    load = added.where(F.col("kind") == _STRINGS).groupBy("kind", "bucket").agg(F.sum(reduce(lambda a, b: a + b, own)).alias("n"))
+    hot = materialize(load.where(F.col("n") > most).select("kind", "bucket", F.ceil(F.col("n") / most).cast("int").alias("parts")), "hot")
+    n = hot.count()
+    if not n:
+        return asked, counted, ["kind", "bucket"]
+    hot = F.broadcast(hot) if n <= MOST_HOT else hot
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = asked.join(hot, ["kind", "bucket"], "left").withColumn("part", F.pmod(F.xxhash64("flush"), parts).cast("int")).select("part", *_ASKED.names)
+    copied = counted.join(hot, ["kind", "bucket"], "left").select(F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "kind", "bucket", "keys", "counts")
+    return dealt, copied, ["kind", "bucket", "part"]
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nodes: int = NODES, words: int = WORDS, part_bytes: int = PART_BYTES, ask_most: int = ASK_MOST) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and bits_per_byte (of the text's bytes and end mark)."""
     spark = docs.sparkSession
-    rows = id_text(docs, id_col, text_col).withColumn("held_out", hash_mod("doc_id", 5) == 1).withColumn("row_no", F.monotonically_increasing_id())
-    ids = materialize(rows.select("doc_id", "held_out", "row_no", F.octet_length("text").alias("bytes")), "ids")
+    rows = id_text(docs, id_col, text_col).withColumns({"held_out": hash_mod("doc_id", 5) == 1, "doc_key": F.coalesce("doc_id", F.lit(_NO_ID)), "text_key": F.xxhash64("text")})
+    ids = materialize(rows.select("doc_id", "held_out", "doc_key", "text_key", F.octet_length("text").alias("bytes")), "ids")
+    rows = rows.withColumn("row_no", F.monotonically_increasing_id())  # numbers within one pass alone: passes meet by id and text
     size = ids.agg(F.sum("bytes"), F.count(F.when(~F.col("held_out"), 1))).first()
     buckets, trained = int(max(BUCKETS, (size[0] or 0) // BUCKET_BYTES)), int(size[1])
     counted = rows.where("not held_out").select("row_no", "text").mapInArrow(_count_texts(buckets), "kind int, bucket int, keys binary, counts binary")
@@ -640,9 +548,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base.end = trained
     shared = spark.sparkContext.broadcast(base)
 
-    asked = rows.select("row_no", "text").mapInArrow(_score_texts(cache, shared, buckets), "kind int, bucket int, flush long, rows binary, keys binary, times binary, known binary, base binary, score binary")
+    asked = rows.select("row_no", "text", "doc_key", "text_key").mapInArrow(_score_texts(cache, shared, buckets), "kind int, bucket int, flush long, rows binary, keys binary, times binary, known binary, base binary, score binary")
     counted = added.where((F.col("kind") == _TOKENS) | (F.col("bucket") < buckets)).select("kind", "bucket", "keys", "counts")
-    answers = asked.groupBy("kind", "bucket").cogroup(counted.groupBy("kind", "bucket")).applyInArrow(_look_up(shared_top, total, distinct), "flush long, rows binary, tokens binary, known binary, base binary, score binary")
-    scored = answers.groupBy("flush").applyInArrow(_add_answers, "row_no long, n_tokens long, n_known long, base_score double, score double")
-    out = scored.join(ids.hint("merge"), "row_no")
+    asked, counted, on = _asked_in_parts(spark, asked, counted, added, fit(_STRINGS, nodes // 2), ask_most)
+    answers = asked.groupBy(*on).cogroup(counted.groupBy(*on)).applyInArrow(_look_up(shared_top, total, distinct), "flush long, rows binary, tokens binary, known binary, base binary, score binary, docs binary")
+    scored = answers.groupBy("flush").applyInArrow(_add_answers, "doc_key long, text_key long, n_tokens long, n_known long, base_score double, score double")
+    out = ids.hint("merge").join(scored.dropDuplicates(["doc_key", "text_key"]), ["doc_key", "text_key"])  # repeated rows have one answer
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / F.lit(float(np.log10(2))) / (F.col("bytes") + 1)).alias("bits_per_byte"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from facetlake.llm import bpe, ctw, exact_dedup, nbsvm, packing, pii, quality_rules, sentence_spans, simhash, suffix_dedup
+from tests.llm.tree import Tree
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -112,7 +113,7 @@ def test_ctw_tree_is_the_weighted_mixture():
     texts = [b"abracadabra abra", b"banana bandana", b"", b"abab" * 10]
     keys, n = ctw._count(ctw.strings(texts)[0])
     levels = [ctw.nodes_of(*ctw._count(keys >> np.uint64(8 * (ctw.DEPTH - d)), n), d) for d in range(ctw.DEPTH + 1)]
-    tree, score = ctw.Tree(levels), brute_tree(texts, ctw.DEPTH)
+    tree, score = Tree(levels), brute_tree(texts, ctw.DEPTH)
     probe = [*texts, b"abrand", b"zzz", b"band abra"]
     assert np.allclose(tree.score(probe), [score(t) for t in probe], atol=1e-4)
 
@@ -121,7 +122,7 @@ def test_ctw_scores_do_not_depend_on_the_cache(spark, docs, rows):
     """Every training context counts, also what the tasks are not handed."""
     training = [t.encode() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
     keys, n = ctw._count(ctw.strings(training)[0])
-    tree = ctw.Tree([ctw.nodes_of(*ctw._count(keys >> np.uint64(8 * (ctw.DEPTH - d)), n), d) for d in range(ctw.DEPTH + 1)])
+    tree = Tree([ctw.nodes_of(*ctw._count(keys >> np.uint64(8 * (ctw.DEPTH - d)), n), d) for d in range(ctw.DEPTH + 1)])
     want = defaultdict(list)
     for (i, _), x in zip(rows, tree.score([t.encode() for _, t in rows]), strict=True):
         want[i].append(x)
@@ -131,10 +132,20 @@ def test_ctw_scores_do_not_depend_on_the_cache(spark, docs, rows):
     assert got.keys() == want.keys() and all(np.allclose(sorted(got[i]), sorted(want[i]), rtol=1e-4, atol=1e-2) for i in want)
     whole, parted = (sorted_rows(ctw.score_texts(docs, part_bytes=n), "doc_id", "n_known", "train_tokens", F.round("score", 3)) for n in (ctw.PART_BYTES, 100_000))
     assert whole == parted  # adding up in parts changes nothing
+    in_parts = sorted_rows(ctw.score_texts(docs, nodes=500, ask_most=300), "doc_id", "n_known", "train_tokens", F.round("score", 1))
+    assert in_parts == sorted_rows(ctw.score_texts(docs, nodes=500), "doc_id", "n_known", "train_tokens", F.round("score", 1))  # nor do questions in parts
     none = ctw.score_texts(spark.createDataFrame([(i, "abc") for i in range(200)], "doc_id long, text string").where(F.crc32(F.col("doc_id").cast("string")) % 5 == 1)).collect()
     assert none and all(abs(r.bits_per_byte - 8) < 1e-6 for r in none)
 
 
+def test_ctw_rows_may_come_in_another_order_each_time(docs, rows):
+    """A task that reads its rows anew can get them in another order; passes meet by id and text."""
+    restless = docs.mapInPandas(lambda parts: (p.sample(frac=1) for p in parts), docs.schema)
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", F.round("base_score", 4), F.round("score", 1))
+    got = sorted_rows(ctw.score_texts(restless), *columns)
+    assert got == sorted_rows(ctw.score_texts(docs), *columns) and len(got) == len(rows)
+
+
 # ---- 2
 
 
