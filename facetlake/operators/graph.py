@@ -88,13 +88,18 @@ def invariants(faces: DataFrame, pairs: DataFrame, nodes: DataFrame, face_edge:
     arcs = pairs.select("sample_id", "src", "dst")
     per_face = faces.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"), F.min("face_idx").alias("low"), F.max("face_idx").alias("high"), F.countDistinct("face_idx").alias("different"))
     per_node = nodes.groupBy("sample_id").agg(F.count(F.lit(1)).alias("nodes"), F.max(F.exists(F.array(*[F.col(c) for c, t in nodes.dtypes if t in ("float", "double")]), lambda x: F.isnan(x) | x.isNull())).alias("bad"))
-    back = arcs.select("sample_id", F.col("dst").alias("src"), F.col("src").alias("dst"))
-    wanted = adjacent_pairs(face_edge).select("sample_id", "src", "dst").distinct()
-    miss = lambda a, b, n: a.exceptAll(b).groupBy("sample_id").agg(F.count(F.lit(1)).alias(n))
-    ends = arcs.groupBy("sample_id").agg(F.count(F.lit(1)).alias("arcs"), F.min(F.least("src", "dst")).alias("least"), F.max(F.greatest("src", "dst")).alias("most"), F.sum((F.col("src") == F.col("dst")).cast("int")).alias("loops"))
-    twice = arcs.groupBy("sample_id", "src", "dst").agg(F.count(F.lit(1)).alias("k")).where("k > 1").groupBy("sample_id").agg(F.count(F.lit(1)).alias("twice"))
+    wanted = adjacent_pairs(face_edge).select("sample_id", "src", "dst")
+    # Arcs, arcs turned round and the topology's pairs are counted together: one grouping tells what is missing, too much, twice or one way.
+    is_ = lambda a, b, c: [F.lit(x).alias(n) for x, n in ((a, "have"), (b, "back"), (c, "want"))]
+    every = arcs.select("*", *is_(1, 0, 0)).unionAll(arcs.select("sample_id", "dst", "src", *is_(0, 1, 0))).unionAll(wanted.select("*", *is_(0, 0, 1)))
+    counts = every.groupBy("sample_id", "src", "dst").agg(*[F.sum(n).alias(n) for n in ("have", "back", "want")])
+    have, want = F.col("have"), F.col("want")
+    found = counts.groupBy("sample_id").agg(
+        F.sum("have").alias("arcs"), F.min(F.when(have > 0, F.least("src", "dst"))).alias("least"), F.max(F.when(have > 0, F.greatest("src", "dst"))).alias("most"), F.sum(F.when(F.col("src") == F.col("dst"), have)).alias("loops"),
+        F.count_if(have > 1).alias("twice"), F.sum(F.greatest(have - F.col("back"), F.lit(0))).alias("one_way"), F.count_if((want > 0) & (have == 0)).alias("missing"), F.count_if((want == 0) & (have > 0)).alias("surplus"),
+    )
     rows = per_face
-    for other in (per_node, ends, twice, miss(arcs, back, "one_way"), miss(wanted, arcs.distinct(), "missing"), miss(arcs.distinct(), wanted, "surplus")):
+    for other in (per_node, found):
         rows = rows.join(other, "sample_id", "left")
     none = lambda c: F.coalesce(c, F.lit(0)) == 0
     checks = {

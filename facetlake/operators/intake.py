@@ -78,6 +78,18 @@ def sanitize_filename(name: Column, longest: int = 128) -> Column:
     return F.when(F.length(safe) <= longest, safe).otherwise(F.concat(F.substring(safe, F.lit(1), F.lit(longest) - F.length(extension)), extension))
 
 
+# Names of the public test parts' exports: collection, number and variant.
+PART_NAME = r"(?i)^nist_(ctc|ftc|stc)_(\d+)_asme1_(.+)\.stp$"
+
+
+def part_key(name: Column) -> tuple[Column, Column]:
+    """The part that a file shows, and which export of it: the simplified collection shares its parts with the full one; any other name is a part of its own."""
+    field = lambda i: F.regexp_extract(name, PART_NAME, i)
+    kind, known = F.lower(field(1)), name.rlike(PART_NAME)
+    family = F.when(kind == "ctc", "ctc").otherwise("ftc")
+    return F.when(known, F.concat_ws("_", family, field(2))).otherwise(name), F.when(known, F.concat_ws(":", kind, field(3))).otherwise("?")
+
+
 def valid_storage_key(key: Column) -> Column:
     """Slash-separated plain segments, none empty, "." or ".."; no leading slash."""
     segments = F.split(key, "/")

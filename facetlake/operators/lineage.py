@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CHECKS = ("node_matches_face", "points_in_range", "triangles_in_range", "pixels_recomputed", "neighbours_match", "features_name_face")
@@ -33,6 +33,13 @@ def verify(stored: DataFrame, faces: DataFrame, nodes: DataFrame, points: DataFr
     return rows.select("sample_id", "face_idx", *[c.alias(n) for n, c in zip(CHECKS, checks, strict=True)]).withColumn("verified", F.forall(F.array(*CHECKS), lambda ok: ok))
 
 
+def range_checks(rows: DataFrame, sample: str, index: str, count: str) -> DataFrame:
+    """One row a sample: whether the half-open ranges (start, end) of its faces are laid end to end from zero and hold all of its items."""
+    after = F.lead("start").over(Window.partitionBy(sample).orderBy(index))
+    checked = rows.withColumn("_next", after)
+    return checked.groupBy(sample).agg(F.count(F.lit(1)).alias("faces"), F.bool_and(F.col("_next").isNull() | (F.col("_next") == F.col("end"))).alias("gapless"), (F.min("start") == 0).alias("from_zero"), (F.max("end") == F.sum(count)).alias("complete"))
+
+
 def trace(verified: DataFrame, stored: DataFrame, sample: str, face: int) -> DataFrame:
     """One face's row of the index with its checks; the keys reach the scans."""
     want = (F.col("sample_id") == sample) & (F.col("face_idx") == face)

@@ -58,6 +58,25 @@ def standardize(rows: DataFrame, key: str, vector: str, fitted: DataFrame) -> Da
     return rows.select(key, F.posexplode(vector).alias("dim", "x")).join(fitted, "dim").select(key, "dim", ((F.col("x") - F.col("mean")) / F.col("std")).alias("z"))
 
 
+def curvature_statistics(places: DataFrame) -> DataFrame:
+    """(sample_id, face_idx, curvature): over the places of a face that have a normal and a finite mean curvature, their number, the mean, least and largest mean curvature and the mean Gaussian one.
+
+    ``places`` has (sample_id, face_idx, has_normal, mean_curvature, gaussian_curvature), one row a place inside the face; a face without a usable place has number 0 and nulls.
+    """
+    h = F.col("mean_curvature")
+    ok = F.coalesce(F.col("has_normal"), F.lit(False)) & h.isNotNull() & ~F.isnan(h) & (F.abs(h) < float("inf"))
+    mean, gauss = F.when(ok, h), F.when(ok, F.col("gaussian_curvature"))
+    figures = F.struct(F.count(mean).cast("double").alias("samples"), F.avg(mean).alias("mean_curvature_mean"), F.min(mean).alias("mean_curvature_min"), F.max(mean).alias("mean_curvature_max"), F.avg(gauss).alias("gaussian_curvature_mean"))
+    return places.groupBy("sample_id", "face_idx").agg(figures.alias("curvature"))
+
+
+def merge_histograms(rows: DataFrame, keys: list[str], histogram: str) -> DataFrame:
+    """(keys, histogram): maps of counts added up by key, as entries (kind, n), the most frequent first and of equal ones by name. Null and empty maps add nothing; keys with nothing else have no entries."""
+    counts = rows.select(*keys, F.explode_outer(histogram).alias("kind", "n")).groupBy(*keys, "kind").agg(F.sum("n").alias("n"))
+    entry = F.collect_list(F.when(F.col("kind").isNotNull(), F.struct((-F.col("n")).alias("less"), "kind", "n")))  # as many as there are kinds
+    return counts.groupBy(*keys).agg(F.transform(F.sort_array(entry), lambda e: F.struct(e["kind"].alias("kind"), e["n"].alias("n"))).alias(histogram))
+
+
 def multiset_jaccard(left: DataFrame, right: DataFrame, keys: list[str], item: str) -> DataFrame:
     """Per key, the sum of smaller over the sum of larger counts of each item on the two sides."""
     count = lambda d, n: d.groupBy(*keys, item).agg(F.count(F.lit(1)).alias(n))
@@ -145,12 +164,20 @@ def percentiles(rows: DataFrame, keys: list[str], value: str, accuracy: int = 10
 
 
 def train_nearest_mean(rows: DataFrame, key: str, vector: str, label: str, is_train: str) -> DataFrame:
-    """A per-face baseline: each row gets the label of the nearest class mean of the training rows (key, predicted)."""
-    fitted = standardizer(rows.where(is_train), vector)
-    z = standardize(rows, key, vector, fitted).join(rows.select(key, label, is_train), key)
-    means = z.where(is_train).groupBy(F.col(label).alias("predicted"), "dim").agg(F.avg("z").alias("m"))
-    far = z.join(means, "dim").groupBy(key, "predicted").agg(F.sum((F.col("z") - F.col("m")) * (F.col("z") - F.col("m"))).alias("d"))
-    return far.groupBy(key).agg(F.min_by("predicted", F.struct("d", "predicted")).alias("predicted"))
+    """A per-face baseline: each row gets the label of the nearest class mean of the training rows (key, predicted); of equally near ones the smallest.
+
+    The fit, a number for each dimension and for each class and dimension, is two aggregates and travels as one row; vectors stay whole and are never joined on a
+    dimension. Rows without a vector get no row; without training rows nothing is predicted.
+    """
+    gathered = lambda *names: F.sort_array(F.collect_list(F.struct("dim", *names)))
+    scale = standardizer(rows.where(is_train), vector).agg(gathered("mean", "std").alias("scale"))  # one row
+    scaled = rows.where(F.col(vector).isNotNull()).select(key, label, is_train, F.col(vector).cast("array<double>").alias("_v")).join(F.broadcast(scale))
+    z = scaled.select(key, label, is_train, F.zip_with("_v", "scale", lambda x, s: (x - s["mean"]) / s["std"]).alias("_z"))
+    own = z.where(is_train).select(F.col(label).alias("predicted"), F.posexplode("_z").alias("dim", "z")).groupBy("predicted", "dim").agg(F.avg("z").alias("m"))
+    means = own.groupBy("predicted").agg(F.transform(gathered("m"), lambda e: e["m"]).alias("m")).agg(F.sort_array(F.collect_list(F.struct("predicted", "m"))).alias("means"))  # one row
+    distance = lambda c: F.aggregate(F.zip_with("_z", c["m"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x)
+    near = F.array_min(F.transform("means", lambda c: F.struct(distance(c).alias("d"), c["predicted"].alias("predicted"))))
+    return z.join(F.broadcast(means)).select(key, near["predicted"].alias("predicted"))
 
 
 def message_pass(nodes: DataFrame, arcs: DataFrame, vector: str = "h") -> DataFrame:

@@ -29,8 +29,16 @@ def mesh_checks(triangles: DataFrame, faces: DataFrame, tolerance: float = 0.02)
     return rows.select("sample_id", F.coalesce((F.col("low") >= 0) & (F.col("high") < F.col("n")), no).alias("mesh_faces_in_range"), F.coalesce(F.col("hit") == F.col("n"), no).alias("every_face_triangulated"), F.coalesce(F.abs(F.col("mesh_area") - F.col("area")) <= tolerance * F.col("area"), no).alias("mesh_area_close"))
 
 
+def evenly(k: Column, n: Column, most: int) -> Column:
+    """Whether number k of n, from 0, is one of the ``most`` whole parts of evenly spaced numbers from 0 to n - 1; all of them where there are no more."""
+    step = (n - 1).cast("double") / (most - 1)
+    j = F.floor(k / step)  # one of this and the next falls on k, if any does; the last number is always k = n - 1
+    falls = lambda i: (i < most - 1) & (F.floor(i * step) == k)
+    return (n <= most) | (k == n - 1) | falls(j) | falls(j + 1)
+
+
 def view_checks(pixels: DataFrame, faces: DataFrame, most: int = 400, tolerance: float = 1.0) -> DataFrame:
-    """One row a sample: pixel face ids are faces, and evenly spaced pixels of every view, at most ``most``, lie within the tolerance of their face's box.
+    """One row a sample: pixel face ids are faces, and evenly spaced pixels of every view, at most ``most`` from the first to the last, lie within the tolerance of their face's box.
 
     ``pixels`` has the unprojected point p; the thinning is the check's own feature.
     """
@@ -38,8 +46,7 @@ def view_checks(pixels: DataFrame, faces: DataFrame, most: int = 400, tolerance:
 
     w = Window.partitionBy("sample_id", "view").orderBy("row", "col")
     placed = pixels.withColumn("k", F.row_number().over(w) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sample_id", "view")))
-    step = F.greatest(F.lit(1), F.ceil(F.col("n") / most))
-    picked = placed.where(F.col("k") % step == 0)
+    picked = placed.where(evenly(F.col("k"), F.col("n"), most))
     off = F.greatest(*[F.greatest(F.col("bbox_min_mm")[k] - F.col("p")[k], F.col("p")[k] - F.col("bbox_max_mm")[k]) for k in "xyz"])
     near = picked.join(faces, ["sample_id", "face_idx"], "left").groupBy("sample_id").agg((F.max(F.coalesce(off, F.lit(float("inf")))) <= tolerance).alias("pixels_near_face"))
     known = pixels.join(faces.select("sample_id", "face_idx", F.lit(True).alias("is_face")), ["sample_id", "face_idx"], "left").groupBy("sample_id").agg(F.bool_and(F.coalesce("is_face", F.lit(False))).alias("mask_ids_valid"))

@@ -540,8 +540,11 @@ def duration_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT conv_id, min(turn) AS first_turn, count(*) AS turns, arg_max(role, turn) AS last_role FROM (SELECT DISTINCT ON (conv_id, turn) * FROM conversations ORDER BY conv_id, turn, role, text) GROUP BY 1")
 def ordered_chain(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as jobs whose turns are their events: how each began, and where it stands."""
     rows = read(spark, d, "conversations").groupBy("conv_id", "turn").agg(F.min_by("role", F.struct("role", "text")).alias("role"))
-    return rows.groupBy("conv_id").agg(F.min("turn").alias("first_turn"), F.count(F.lit(1)).alias("turns"), F.max_by("role", "turn").alias("last_role"))
+    began = jobs.moves(rows, "conv_id", ["turn"], "role").where("previous IS NULL").select("conv_id", F.col("turn").alias("first_turn"))
+    stands = jobs.latest_state(rows, "conv_id", ["turn"], "role")
+    return began.join(stands, "conv_id").select("conv_id", "first_turn", F.col("events").alias("turns"), F.col("state").alias("last_role"))
 
 
 # ---- points, tools, lineage
@@ -607,11 +610,7 @@ def label_by_tool(spark: SparkSession, d: str) -> DataFrame:
 SELECT l_orderkey, count(*) AS faces, bool_and(next IS NULL OR next = "end") AS gapless, min(start) = 0 AS from_zero, max("end") = sum(n) AS complete FROM x GROUP BY 1"""
 )
 def lineage_verify(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    after = F.lead("start").over(Window.partitionBy("l_orderkey").orderBy("face_idx"))
-    rows = ranged(spark, d).withColumn("next", after)
-    return rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("faces"), F.bool_and(F.col("next").isNull() | (F.col("next") == F.col("end"))).alias("gapless"), (F.min("start") == 0).alias("from_zero"), (F.max("end") == F.sum("n")).alias("complete"))
+    return lineage.range_checks(ranged(spark, d), "l_orderkey", "face_idx", "n")
 
 
 @query("SELECT o_orderkey, c_name, o_totalprice FROM orders LEFT JOIN customer ON c_custkey = o_custkey ORDER BY o_orderdate DESC, o_orderkey LIMIT 1000")
@@ -802,30 +801,36 @@ def _parts() -> list[analytic.Builder]:
 
 def _features_sql() -> str:
     prefix = {"through_hole": "H", "blind_hole": "H", "slot": "S", "pocket": "P", "fillet": "R"}
-    rows = [f"('part-{k}-', '{prefix[t]}001', '{t}', {n}, {c}::DOUBLE)" for k, (own, _) in PARTS.items() for t, n, c in own] + [f"('part-{k}-', 'PL{i:03d}', 'planar_face', 1, 0.95::DOUBLE)" for k, (_, flat) in PARTS.items() for i in range(1, flat + 1)]
-    return f"SELECT part || n AS sample_id, feature_id, feature_type, faces, confidence FROM (VALUES {', '.join(rows)}) f(part, feature_id, feature_type, faces, confidence) CROSS JOIN range(5) r(n)"
+    rows = [f"({i}, '{prefix[t]}001', '{t}', {n}, {c}::DOUBLE)" for i, (own, _) in enumerate(PARTS.values()) for t, n, c in own] + [f"({i}, 'PL{k:03d}', 'planar_face', 1, 0.95::DOUBLE)" for i, (_, flat) in enumerate(PARTS.values()) for k in range(1, flat + 1)]
+    return f"SELECT p_partkey::VARCHAR AS sample_id, feature_id, feature_type, faces, confidence FROM part JOIN (VALUES {', '.join(rows)}) f(kind, feature_id, feature_type, faces, confidence) ON kind = p_partkey % {len(PARTS)}"
 
 
 @query(_features_sql())
 def recognize_features(spark: SparkSession, d: str) -> DataFrame:
+    """Each row of ``part`` has one of the analytic shapes, of one of five sizes; which one follows from its key."""
     f, e = analytic.tables(spark, _parts())
-    found = recognize.recognize(f, e)
+    own = F.element_at(F.array(*[F.lit(k) for k in PARTS]), (F.col("p_partkey") % len(PARTS) + 1).cast("int"))
+    parts = read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("own"), F.concat_ws("-", F.lit("part"), own, (F.col("p_partkey") % 5).cast("string")).alias("sample_id"))
+    of = lambda t: parts.join(F.broadcast(t), "sample_id").drop("sample_id").withColumnRenamed("own", "sample_id").select(*t.columns)  # noqa: E731  # as many rows as the shapes have, always
+    found = recognize.recognize(of(f), of(e))
     return found.select("sample_id", "feature_id", "feature_type", F.size("face_indices").alias("faces"), "confidence")
 
 
-def box_mesh(spark: SparkSession) -> DataFrame:
-    rows = [(f"box-{n}", i, float(n)) for n in range(1, 4) for i in range(12)]
+def box_mesh(spark: SparkSession, boxes: DataFrame | None = None) -> DataFrame:
+    """Meshes of cubes (sample_id, size), three of sizes 1 to 3 where none are given."""
+    if boxes is None:
+        boxes = spark.createDataFrame([(f"box-{n}", float(n)) for n in range(1, 4)], "sample_id string, size double")
     corner = lambda k: v.vec(*[F.when(F.shiftright(F.lit(k) if isinstance(k, int) else k, i).bitwiseAND(F.lit(1)) == 1, F.col("size")).otherwise(0.0) for i in range(3)])
     sides = ((0, 2, 6, 4), (1, 5, 7, 3), (0, 4, 5, 1), (2, 3, 7, 6), (0, 1, 3, 2), (4, 6, 7, 5))
     tri = F.array(*[F.array(*map(F.lit, (s[0], s[2 + h], s[1 + h]))) for s in sides for h in (0, 1)])
-    t = spark.createDataFrame(rows, "sample_id string, tri_idx int, size double").withColumn("t", tri[F.col("tri_idx")])
+    t = boxes.select("sample_id", "size", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("tri_idx")).withColumn("t", tri[F.col("tri_idx")])
     return t.select("sample_id", (F.col("tri_idx") / 2).cast("int").alias("face_idx"), "tri_idx", *[corner(F.col("t")[i]).alias(n) for i, n in enumerate("abc")])
 
 
-@query("SELECT 'box-' || n AS sample_id, round(pow(n, 3), 6)::DOUBLE AS volume, round(6 * n * n, 6)::DOUBLE AS area, round(n / 2.0::DOUBLE, 6) AS middle FROM range(1, 4) t(n)")
+@query("SELECT p_partkey::VARCHAR AS sample_id, round(pow(p_size, 3), 6)::DOUBLE AS volume, round(6.0 * p_size * p_size, 6)::DOUBLE AS area, round(p_size / 2.0::DOUBLE, 6) AS middle FROM part")
 def mesh_scalars(spark: SparkSession, d: str) -> DataFrame:
-    """Volume, area and centre of mass of the box meshes."""
-    rows = cloud.mesh_scalars(box_mesh(spark))
+    """Volume, area and centre of mass of a cube for each part, as large as its size says."""
+    rows = cloud.mesh_scalars(box_mesh(spark, read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("sample_id"), F.col("p_size").cast("double").alias("size"))))
     return rows.select("sample_id", F.round("volume_mm3", 6).alias("volume"), F.round("surface_area_mm2", 6).alias("area"), F.round("center_of_mass_mm.y", 6).alias("middle"))
 
 
@@ -839,15 +844,20 @@ def graph_invariants(spark: SparkSession, d: str) -> DataFrame:
     return graph.invariants(faces, pairs, nodes, face_edge).drop("sample_id")
 
 
+def supplier_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """A cube for each supplier."""
+    return box_mesh(spark, read(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("sample_id"), (F.col("s_suppkey") % 7 + 1).cast("double").alias("size")))
+
+
 @query()
 def raster_face_ids(spark: SparkSession, d: str) -> DataFrame:
-    return raster.pixel_counts(raster.view_pixels(box_mesh(spark), resolution=64))
+    return raster.pixel_counts(raster.view_pixels(supplier_boxes(spark, d), resolution=32))
 
 
-@query(f"SELECT 'box-' || s AS sample_id, f::INTEGER AS face_idx, {', '.join(f'true AS {c}' for c in (*lineage.CHECKS, 'verified'))} FROM range(1, 4) a(s) CROSS JOIN range(6) b(f)")
+@query(f"SELECT s_suppkey::VARCHAR AS sample_id, f::INTEGER AS face_idx, {', '.join(f'true AS {c}' for c in (*lineage.CHECKS, 'verified'))} FROM supplier CROSS JOIN range(6) b(f)")
 def lineage_trace(spark: SparkSession, d: str) -> DataFrame:
-    """Every face of the box meshes, traced through points, triangles, pixels and graph."""
-    mesh = box_mesh(spark)
+    """Every face of the suppliers' cubes, traced through points, triangles, pixels and graph."""
+    mesh = supplier_boxes(spark, d)
     face = mesh.select("sample_id", "face_idx").distinct()
     sampled = cloud.sample_points(mesh, face.withColumn("n", F.lit(16)))
     from pyspark.sql import Window
@@ -862,21 +872,31 @@ def lineage_trace(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _family_sql() -> str:
-    rows = [f"('{f}', '{v}', {500 + 10000 * i + 1000 * j}, {k}, '{n}', {float(low)}::DOUBLE, {float(high)}::DOUBLE)" for i, (f, (variants, ranges)) in enumerate(analytic.FAMILIES.items()) for j, v in enumerate(variants) for k, (n, (low, high)) in enumerate(ranges.items())]
-    return f"""WITH r AS (SELECT * FROM (VALUES {', '.join(rows)}) t(family, variant, first, k, name, low, high)),
-d AS (SELECT family, variant, CAST(first + n AS INTEGER) AS seed, k, round(low + (high - low) * (('0x' || substr(sha256((first + n) || '|' || name), 1, 12))::BIGINT / pow(16.0::DOUBLE, 12)), 3) AS x FROM r CROSS JOIN range(4) g(n))
-SELECT family, variant, seed, list(x ORDER BY k) AS drawn FROM d GROUP BY ALL"""
+    kinds = [(f, v, 500 + 10000 * i + 1000 * j, ranges) for i, (f, (variants, ranges)) in enumerate(analytic.FAMILIES.items()) for j, v in enumerate(variants)]
+    rows = [f"({k}, '{f}', '{v}', {first}, {n}, '{name}', {float(low)}::DOUBLE, {float(high)}::DOUBLE)" for k, (f, v, first, ranges) in enumerate(kinds) for n, (name, (low, high)) in enumerate(ranges.items())]
+    return f"""WITH r AS (SELECT * FROM (VALUES {', '.join(rows)}) t(kind, family, variant, first, k, name, low, high)),
+d AS (SELECT p_partkey, family, variant, first + p_partkey AS seed, k, round(low + (high - low) * (('0x' || substr(sha256((first + p_partkey) || '|' || name), 1, 12))::BIGINT / pow(16.0::DOUBLE, 12)), 3) AS x FROM r JOIN part ON kind = p_partkey % {len(kinds)})
+SELECT p_partkey, family, variant, seed, list(x ORDER BY k) AS drawn FROM d GROUP BY ALL"""
 
 
 @query(_family_sql())
 def family_parameters(spark: SparkSession, d: str) -> DataFrame:
-    return analytic.family_parameters(spark, 4, 500).select("family", "variant", "seed", F.map_values("params").alias("drawn"))
+    """Each part as one of a family and variant, drawn from the seed that its key gives."""
+    drawn = analytic.family_parameters(spark, 500, read(spark, d, "part").select(F.col("p_partkey").alias("number")))
+    return drawn.select(F.col("number").alias("p_partkey"), "family", "variant", "seed", F.map_values("params").alias("drawn"))
 
 
 _STATUS = {"rejected": "rejected", "timed_out": "quarantined", "quarantined": "quarantined", "failed_retryable": "failed", "failed_terminal": "failed"}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{o}', {r}, '{_STATUS[o]}', '{o}')" for c, (o, r) in ERROR_CODES.items()) + ") t(code, outcome, retryable, sample_status, job_state)")
-def error_catalogue(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.error_codes(spark)
+_CODES = list(ERROR_CODES)
 
+
+@query(
+    "WITH c AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}', '{o}', {r}, '{_STATUS[o]}', '{o}')" for i, (c, (o, r)) in enumerate(ERROR_CODES.items())) + f") t(i, code, outcome, retryable, sample_status, job_state)) SELECT event_type, code, outcome, retryable, sample_status, job_state, count(*) AS n FROM events JOIN c ON i = event_id % {len(_CODES)} GROUP BY ALL"
+)
+def error_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    """Events as failures, whose code follows from their number: what each code does to a sample and its job, and how often it came."""
+    failed = read(spark, d, "events").select("event_type", F.element_at(F.array(*map(F.lit, _CODES)), (F.col("event_id") % len(_CODES) + 1).cast("int")).alias("code"))
+    counts = failed.groupBy("event_type", "code").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(F.broadcast(jobs.error_codes(spark)), "code").select("event_type", "code", "outcome", "retryable", "sample_status", "job_state", "n")

@@ -164,3 +164,50 @@ def test_gradient_rounds_are_the_loop(spark):
     assert not training.softmax_regression(rows.limit(0), "v", "c", 3, 5).any()
     with pytest.raises(ValueError, match="weights"):
         training.softmax_regression(rows, "v", "c", 1 << 12, 1 << 12)
+
+
+def test_even_thinning_is_linspace(spark):
+    from facetlake.operators.validate import evenly
+
+    sizes = (1, 2, 399, 400, 401, 402, 797, 799, 800, 1000, 1197, 3991, 12345)
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
+    got = defaultdict(list)
+    for r in rows.where(evenly(F.col("k"), F.col("n"), 400)).collect():
+        got[r.n].append(r.k)
+    assert {n: sorted(v) for n, v in got.items()} == {n: np.unique(np.linspace(0, n - 1, min(400, n)).astype(int)).tolist() for n in sizes}
+
+
+def test_curvature_and_merged_histograms(spark):
+    from facetlake.operators import metrics
+
+    inf, nan = float("inf"), float("nan")
+    places = [(0, True, 1.0, 2.0), (0, True, 3.0, 4.0), (0, False, 9.0, 9.0), (0, True, inf, 1.0), (0, True, nan, 1.0), (0, None, 5.0, 5.0), (0, True, None, 5.0), (1, False, 1.0, 1.0)]
+    rows = spark.createDataFrame([("s", *p) for p in places], "sample_id string, face_idx int, has_normal boolean, mean_curvature double, gaussian_curvature double")
+    assert {r.face_idx: tuple(r.curvature) for r in metrics.curvature_statistics(rows).collect()} == {0: (2.0, 2.0, 1.0, 3.0, 3.0), 1: (0.0, None, None, None, None)}
+    maps = [("a", {"x": 1, "y": 2}), ("a", {"x": 1}), ("a", None), ("b", {}), ("c", {"z": 1, "b": 1, "w": 5})]
+    found = metrics.merge_histograms(spark.createDataFrame(maps, "k string, h map<string,long>"), ["k"], "h")
+    assert {r.k: [tuple(e) for e in r.h] for r in found.collect()} == {"a": [("x", 2), ("y", 2)], "b": [], "c": [("w", 5), ("b", 1), ("z", 1)]}
+
+
+def test_part_keys_and_ranges(spark):
+    from facetlake.operators import intake, lineage
+
+    names = spark.createDataFrame([("nist_ctc_01_asme1_ap203.stp",), ("NIST_STC_06_asme1_ap242-e2.STP",), ("nist_ftc_06_asme1_rc.stp",), ("nist_ctc_1.stp",), (None,)], "name string")
+    assert [tuple(r) for r in names.select(*intake.part_key(F.col("name"))).collect()] == [("ctc_01", "ctc:ap203"), ("ftc_06", "stc:ap242-e2"), ("ftc_06", "ftc:rc"), ("nist_ctc_1.stp", "?"), (None, "?")]
+    rows = [("good", 0, 0, 3), ("good", 1, 3, 4), ("gap", 0, 0, 3), ("gap", 1, 4, 5), ("late", 0, 1, 2)]
+    frame = spark.createDataFrame([(*r, r[3] - r[2]) for r in rows], "s string, i int, start long, end long, n long")
+    assert {r.s: tuple(r)[1:] for r in lineage.range_checks(frame, "s", "i", "n").collect()} == {"good": (2, True, True, True), "gap": (2, False, True, False), "late": (1, True, False, False)}
+
+
+def test_nearest_mean_against_numpy(spark):
+    from facetlake.operators import metrics
+
+    rng = np.random.default_rng(7)
+    x, y = np.c_[rng.normal(size=(60, 3)), np.full(60, 2.0)], rng.integers(0, 3, 60)
+    rows = [(i, list(map(float, v)), int(c), i % 4 > 0) for i, (v, c) in enumerate(zip(x, y))] + [(99, None, 1, True)]
+    got = {r.id: r.predicted for r in metrics.train_nearest_mean(spark.createDataFrame(rows, "id long, v array<double>, c int, t boolean"), "id", "v", "c", "t").collect()}
+    t = np.arange(60) % 4 > 0
+    std = x[t].std(0)
+    z = (x - x[t].mean(0)) / np.where(std <= 1e-6, 1, std)
+    means = np.array([z[t & (y == c)].mean(0) for c in range(3)])
+    assert got == {i: int(((z[i] - means) ** 2).sum(1).argmin()) for i in range(60)}
