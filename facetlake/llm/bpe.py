@@ -4,7 +4,7 @@ A text is cut at spaces that a word follows; no token crosses such a cut, so a c
 stands. New pieces are split into words by the tokenizer's published pattern. For each new word, greedy longest match
 proposes tokens, and all adjacent pairs of all new words are checked at once: a sequence is what merging gives if
 and only if every adjacent pair, merged alone, gives those two tokens again (and each token gives itself). Words with a pair that
-fails are merged exactly. Pair verdicts and pieces are kept in bounded tables, emptied when full.
+fails are merged exactly. Pair verdicts and pieces are kept in bounded tables; the one of pieces, when full, keeps what several batches have held.
 
 Arrow cuts a batch and numbers its distinct pieces; only those are looked up one by one. The ids of known pieces lie in one array,
 from which a batch's are gathered at once; decoding gathers the bytes of ids likewise.
@@ -21,7 +21,7 @@ import heapq
 import json
 import struct
 from functools import cache
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ _WORDS = regex.compile(PATTERN)
 _CUT = regex.compile(r" (?=\S)")
 _SIGNS = frozenset(".,;:!?")
 _WHITE = frozenset(chr(c) for c in range(0x3001) if regex.match(r"\s", chr(c)))  # the pattern's own white space; str.isspace() knows other characters
-MOST_PIECES, PAIR_BITS = 1_000_000, 20
+MOST_PIECES, PAIR_BITS = 700_000, 20
 #: Texts that are encoded together, and what stands for a piece that no cut precedes, or for an unknown one.
 TOGETHER, ODD, UNKNOWN = 1000, -1, -2
 
@@ -223,6 +223,26 @@ class Encoder:
         self.index: dict[str | bytes | int, int] = {b"": 0} | {v: k for k, v in enumerate(self.special.values(), 1)}
         self.flat, self.piece_at, self.piece_n = np.array([*self.special.values()], np.uint32), np.arange(-1, len(self.special)), np.ones(len(self.index), np.int64)
         self.piece_at[0] = self.piece_n[0] = 0
+        self.held = np.zeros(len(self.index), np.int32)  # by number, how many batches have held the piece
+
+    def make_room(self) -> None:
+        """Empty the table but for pieces that more than one batch has held, where these are at most half of what fits."""
+        often = np.flatnonzero(self.held > 1)
+        often = often[often > len(self.special)]
+        if len(often) > MOST_PIECES // 2:
+            often = often[:0]
+        ids, ends = gather(self.flat, self.piece_at, self.piece_n, often)
+        names, sizes = list(self.index), self.piece_n[often]  # in the order of their numbers
+        kept = [names[k] for k in often.tolist()]
+        self.forget()
+        self._number(kept, ids, ends - sizes, sizes)
+        self.held[-len(kept) or len(self.held) :] = 1
+
+    def _number(self, pieces: list[str | bytes], ids: np.ndarray, at: np.ndarray, n: np.ndarray) -> None:
+        """The next numbers for pieces whose ids lie in ``ids``."""
+        self.index.update(zip(pieces, range(len(self.index), len(self.index) + len(pieces)), strict=True))
+        self.piece_at, self.piece_n = np.concatenate([self.piece_at, len(self.flat) + at]), np.concatenate([self.piece_n, n])
+        self.flat, self.held = np.concatenate([self.flat, ids]), np.concatenate([self.held, np.zeros(len(pieces), np.int32)])
 
     def learn(self, pieces: list[str | bytes]) -> None:
         """Encode pieces that are not known yet, all their new words together."""
@@ -241,9 +261,7 @@ class Encoder:
         words.update(zip(new, coded[len(plain) :], strict=True))
         coded = [*own.values(), *((own[p[:-1]] if p[:-1] in own else self.ids_of(p[:-1])) + words[p[-1]] for p in ended), *(b"".join(map(words.__getitem__, x)) for x in split)]
         at, n = _places(coded)
-        known.update(zip(chain(own, ended, other), range(len(known), len(known) + len(coded)), strict=True))
-        self.piece_at, self.piece_n = np.concatenate([self.piece_at, len(self.flat) + at // 4]), np.concatenate([self.piece_n, n // 4])
-        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(coded), "<u4")])
+        self._number([*own, *ended, *other], np.frombuffer(b"".join(coded), "<u4"), at // 4, n // 4)
 
     def ids_of(self, piece: str | bytes | int) -> bytes:
         k = self.index[piece]
@@ -294,7 +312,7 @@ class Encoder:
         others = set(heads).union(*anew.values())
         new = [names[k] for k in np.flatnonzero(numbers == UNKNOWN).tolist()] + [p for p in others if p not in self.index]
         if len(self.index) + len(new) > MOST_PIECES:
-            self.forget()
+            self.make_room()
             numbers = self._known(names)
             new = [names[k] for k in np.flatnonzero(numbers == UNKNOWN).tolist()] + [p for p in others if p not in self.index]
         if new:
@@ -302,6 +320,7 @@ class Encoder:
             some = np.flatnonzero(numbers == UNKNOWN)
             numbers[some] = [self.index[names[k]] for k in some.tolist()]
         index = self.index
+        self.held[numbers[numbers >= 0]] += 1
         pieces = numbers[which]
         pieces[places[:-1]] = np.fromiter(map(index.__getitem__, heads), np.int64, len(heads))
         if anew:

@@ -918,3 +918,18 @@ def test_pii_added_spans_overlap_no_base_span():
     added = sorted((a, b) for s in every if s not in base for _, a, b in [s])
     assert added and all(b <= c for (_, b), (c, _) in zip(added, added[1:]))
     assert not any(a < d and c < b for a, b in added for _, c, d in base)
+
+
+def test_a_full_table_of_pieces_keeps_what_came_again(monkeypatch, tokenizer):
+    rng = random.Random(21)
+    often = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    texts = [" ".join(rng.choice(often) if rng.random() < 0.7 else "".join(rng.choice("hijklmnop") for _ in range(9)) for _ in range(30)) for _ in range(200)]
+    monkeypatch.setattr(bpe, "MOST_PIECES", 600)
+    monkeypatch.setattr(bpe, "TOGETHER", 20)
+    e, sizes = bpe.Encoder(bpe.vocabulary_path()), []
+    for at in range(0, 200, 20):
+        got = e.encode_batch(texts[at : at + 20])
+        assert [np.frombuffer(c, "<u4").tolist() for c in got] == [x.ids for x in tokenizer.encode_batch(texts[at : at + 20], add_special_tokens=False)]
+        sizes.append(len(e.index))
+        assert len(e.index) == len(e.held) == len(e.piece_at) == len(e.piece_n) and list(e.index.values()) == list(range(len(e.index)))
+    assert sizes != sorted(sizes) and sum(w in e.index for w in often) > 40
