@@ -6,6 +6,8 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +31,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Unlike an executor-local checkpoint this survives the loss of any executor, and every later
-    plan that reads it starts from files with known sizes. Removed when the driver ends.
+    plan that reads it starts from files with known sizes. Removed when the ``scope`` around it ends, or else when the driver does.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/facetlake-{uuid.uuid4().hex}/{name}"
@@ -38,12 +40,27 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@atexit.register
-def _clear() -> None:
-    for path, spark in _made.items():
+@contextmanager
+def scope() -> Iterator[None]:
+    """Tables that are made inside go when it ends: for work whose results have been written elsewhere by then."""
+    before = set(_made)
+    try:
+        yield
+    finally:
+        _remove([p for p in _made if p not in before])
+
+
+def _remove(paths: list[str]) -> None:
+    for path in paths:
+        spark = _made.pop(path)
         try:
             jvm = spark.sparkContext._jvm
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
         except Exception:  # the session may be gone already, or this folder; the others are still tried
             continue
+
+
+@atexit.register
+def _clear() -> None:
+    _remove(list(_made))

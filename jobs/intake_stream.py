@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from facetlake.functions.constants import DEFAULT_CONFIG
 from facetlake.functions.identity import job_key, sample_id
-from facetlake.functions.storage import materialize
+from facetlake.functions.storage import materialize, scope
 from facetlake.operators.intake import intake_code
 from facetlake.sources.files import exactly
 from jobs import common
@@ -65,6 +65,7 @@ def run(spark: SparkSession, source: str, output: str, checkpoint: str, config:
     ledger, report = f"{output.rstrip('/')}/ledger", f"{output.rstrip('/')}/report"
     totals = {"batches": 0, "documents": 0, "rows": 0, "bytes": 0, "accepted": 0, "duplicate": 0, "rejected": 0}
 
+    @scope()
     def batch(docs: DataFrame, number: int) -> None:
         own = docs.sparkSession
         seen, made = Observation(), Observation()

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from facetlake.functions.identity import canonical_json
-from facetlake.functions.storage import materialize
+from facetlake.functions.storage import materialize, scope
 from facetlake.operators import dataset, near_duplicates
 from jobs import common
 
@@ -56,6 +56,7 @@ def report(samples: DataFrame) -> DataFrame:
     return samples.select(places.alias("at"), "n_chars").groupBy("at.section", "at.key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
 
 
+@scope()
 def run(spark: SparkSession, documents: str, labels: str, output: str, config: str | dict | None = None) -> dict:
     """Release the tables' present content; returns the manifest, and whether this run wrote it."""
     chosen = common.settings(spark, config, DEFAULTS) if isinstance(config, str) else DEFAULTS | (config or {})

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from facetlake.plans import catalogue, figures, joins, mechanisms  # noqa: F401  # the latter register their queries with the first
+from facetlake.plans import catalogue, figures, joins, listings, mechanisms  # noqa: F401  # the latter register their queries with the first
 
 SF = "/root/testdata/sf0.001"
 

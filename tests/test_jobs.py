@@ -114,6 +114,21 @@ def test_release_is_repeatable_and_versions_stand_side_by_side(spark, tmp_path):
     assert {r.dataset_id: r["count"] for r in spark.read.schema(release_dataset.SAMPLES).parquet(f"{out}/samples").groupBy("dataset_id").count().collect()} == {first["dataset_id"]: 66, third["dataset_id"]: 67}
 
 
+def test_jobs_leave_no_tables_between_their_stages(spark, tmp_path):
+    from facetlake.functions import storage
+
+    docs, labels = f"{tmp_path}/docs", f"{tmp_path}/labels"
+    put(spark, docs, [(i, f"text {i}", "en", "a") for i in range(5)], "one")
+    spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int").write.parquet(labels)
+    before = set(storage._made)
+    intake_stream.run(spark, docs, f"{tmp_path}/a", f"{tmp_path}/b")
+    release_dataset.run(spark, docs, labels, f"{tmp_path}/c")
+    assert set(storage._made) == before
+    with storage.scope():
+        kept = storage.materialize(spark.range(3)).inputFiles()
+    assert set(storage._made) == before and not any(os.path.exists(p.removeprefix("file://")) for p in kept)
+
+
 def test_empty_tables(spark, tmp_path):
     docs, labels = f"{tmp_path}/docs", f"{tmp_path}/labels"
     spark.createDataFrame([], DOCS).write.parquet(docs)
