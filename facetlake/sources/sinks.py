@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetlake.functions.constants import ENVIRONMENT_CODES
@@ -26,36 +24,36 @@ def _existing(rows: DataFrame, path: str) -> DataFrame | None:
     return rows.sparkSession.read.parquet(path) if exists(rows.sparkSession, path) else None
 
 
-def _swap(spark: SparkSession, new: str, path: str) -> None:
-    """Put a finished table in place of another by two renames; until the second one the old table is whole, beside it."""
-    fs, at = _fs(spark, path)
-    old, fresh = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.old-{uuid.uuid4().hex}", new))
-    if not fs.rename(at, old) or not fs.rename(fresh, at):
-        raise OSError(f"{new} could not take the place of {path}; the old table is at {old} or still in place")
-    fs.delete(old, True)
+def _slot(key: str, slots: int) -> Column:
+    """The partition of a table of samples that a key falls in."""
+    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
 
 
-def write_once(rows: DataFrame, path: str, key: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Append the rows whose key is not there yet and return them; rows already there win."""
+def write_once(rows: DataFrame, path: str, key: str, partition_by: tuple[str, ...] = (), slots: int = 64) -> DataFrame:
+    """Append the rows whose key is not there yet and return them; rows already there win. The table lies in ``slots`` partitions by a hash of the key."""
     fresh, old = rows.dropDuplicates([key]), _existing(rows, path)
     if old is not None:
         fresh = fresh.join(old.select(key), key, "left_anti")
     fresh = materialize(fresh, "fresh")
-    fresh.write.mode("append").partitionBy(*partition_by).parquet(path)
+    fresh.withColumn("_slot", _slot(key, slots)).repartition("_slot").write.mode("append").partitionBy(*partition_by, "_slot").parquet(path)
     return fresh
 
 
-def replace_samples(rows: DataFrame, path: str, superseded: str, key: str) -> None:
-    """Put rows in place of those with the same key; what they replace is kept in ``superseded`` first."""
+def replace_samples(rows: DataFrame, path: str, superseded: str, key: str, slots: int = 64) -> None:
+    """Put rows in place of those with the same key; what they replace is kept in ``superseded`` first.
+
+    The table lies in ``slots`` partitions, as ``write_once`` leaves it, and only those that the rows fall in are written again, by Spark's own overwrite of partitions: no reader finds the table
+    absent, and a run that was cut off is made good by running it again. Rows that are there already, as they are, replace nothing.
+    """
+    own = rows.withColumn("_slot", _slot(key, slots))
     old = _existing(rows, path)
-    if old is None:
-        rows.write.parquet(path)
-        return
-    gone, stay = old.join(rows.select(key), key, "left_semi"), old.join(rows.select(key), key, "left_anti")
-    gone.write.mode("append").parquet(superseded)
-    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"  # beside the table, never over it: a driver lost on the way leaves the old one
-    stay.unionByName(rows, allowMissingColumns=True).write.parquet(new)
-    _swap(rows.sparkSession, new, path.rstrip("/"))
+    if old is not None:
+        touched = [r[0] for r in own.select("_slot").distinct().collect()]  # at most ``slots``
+        near = old.where(F.col("_slot").isin(touched))
+        gone = near.join(rows.select(key), key, "left_semi").drop("_slot")
+        gone.exceptAll(rows.select(*gone.columns)).write.mode("append").parquet(superseded)
+        own = materialize(near.join(rows.select(key), key, "left_anti").unionByName(own, allowMissingColumns=True), "replaced")  # its files are about to go
+    own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_slot").parquet(path)
 
 
 def write_dataset(built: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:

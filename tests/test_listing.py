@@ -44,3 +44,23 @@ def test_predictions_with_truth_and_split(spark):
     samples = spark.createDataFrame([("b", "val")], "sample_id string, split string")
     got = {tuple(r) for r in listing.run_predictions(predicted, truth, samples).select("sample_id", "ground_truth", "predicted", "confidence", F.col("dataset_split")).collect()}
     assert got == {("a", 2, 1, 0.1235, "not_in_dataset"), ("b", None, 0, 1.0, "val")}
+
+
+def test_replaced_rows_rewrite_their_own_partitions_alone(spark, tmp_path):
+    from pathlib import Path
+
+    from facetlake.sources import sinks
+
+    path, gone = str(tmp_path / "t"), str(tmp_path / "gone")
+    sinks.write_once(spark.createDataFrame([(f"k{i}", i) for i in range(200)], "id string, x long"), path, "id", slots=16)
+    before = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    new = spark.createDataFrame([("k7", 70), ("new", 1), ("k8", 8)], "id string, x long")
+    for _ in range(2):  # again, as after a run that was cut off
+        sinks.replace_samples(new, path, gone, "id", slots=16)
+        table = {r.id: r.x for r in spark.read.parquet(path).collect()}
+        assert table == {f"k{i}": i for i in range(200)} | {"k7": 70, "new": 1}
+        assert [(r.id, r.x) for r in spark.read.parquet(gone).collect()] == [("k7", 7)]
+    after = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    assert len(before.keys() & after.keys()) >= 12
+    sinks.replace_samples(new, str(tmp_path / "fresh"), gone, "id")
+    assert spark.read.parquet(str(tmp_path / "fresh")).count() == 3
