@@ -7,10 +7,9 @@ import json
 import logging
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from facetlake.sources.sinks import exists
-
 
 def settings(spark: SparkSession, path: str, defaults: dict) -> dict:
     """A JSON file over the defaults; an unknown name is an error. Read by Spark, so it may lie in any store."""
@@ -23,7 +22,12 @@ def settings(spark: SparkSession, path: str, defaults: dict) -> dict:
 
 def table(spark: SparkSession, path: str, schema: str, form: str = "parquet") -> DataFrame:
     """A table of files that may not be there yet: empty, of the given schema, until something has written it."""
-    return spark.read.schema(schema).format(form).load(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).format(form).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def main(name: str, paths: dict[str, str], run: Callable[..., dict]) -> None:

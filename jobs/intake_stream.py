@@ -46,10 +46,11 @@ def probe(docs: DataFrame, config: dict) -> DataFrame:
 def judge(probed: DataFrame, earlier: DataFrame) -> DataFrame:
     """Adds status, duplicate_of and the ids of what is accepted; ``earlier`` has content and doc_id of what was accepted before.
 
-    Both sides of the last join are written tables, so that a content which a third of the documents share is split.
+    The batch's own contents go through the earlier ones first, so a small batch is sent to where these are read and they are never moved. Both sides of the
+    last join are written tables, so that a content which a third of the documents share is split.
     """
-    own = probed.where("code IS NULL").groupBy("content").agg(F.min("doc_id").alias("first"))
-    before = earlier.select("content", F.col("doc_id").alias("held"), F.lit(True).alias("known"))
+    own = materialize(probed.where("code IS NULL").groupBy("content").agg(F.min("doc_id").alias("first")), "contents")
+    before = earlier.join(own.select("content"), "content", "left_semi").select("content", F.col("doc_id").alias("held"), F.lit(True).alias("known"))
     firsts = materialize(own.join(before, "content", "left"), "firsts")
     joined = probed.join(firsts, "content", "left")
     repeated = F.col("known") | ~F.col("doc_id").eqNullSafe(F.col("first"))
