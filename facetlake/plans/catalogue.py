@@ -802,15 +802,15 @@ def _parts() -> list[analytic.Builder]:
 def _features_sql() -> str:
     prefix = {"through_hole": "H", "blind_hole": "H", "slot": "S", "pocket": "P", "fillet": "R"}
     rows = [f"({i}, '{prefix[t]}001', '{t}', {n}, {c}::DOUBLE)" for i, (own, _) in enumerate(PARTS.values()) for t, n, c in own] + [f"({i}, 'PL{k:03d}', 'planar_face', 1, 0.95::DOUBLE)" for i, (_, flat) in enumerate(PARTS.values()) for k in range(1, flat + 1)]
-    return f"SELECT p_partkey::VARCHAR AS sample_id, feature_id, feature_type, faces, confidence FROM part JOIN (VALUES {', '.join(rows)}) f(kind, feature_id, feature_type, faces, confidence) ON kind = p_partkey % {len(PARTS)}"
+    return f"SELECT s_suppkey::VARCHAR AS sample_id, feature_id, feature_type, faces, confidence FROM supplier JOIN (VALUES {', '.join(rows)}) f(kind, feature_id, feature_type, faces, confidence) ON kind = s_suppkey % {len(PARTS)}"
 
 
 @query(_features_sql())
 def recognize_features(spark: SparkSession, d: str) -> DataFrame:
-    """Each row of ``part`` has one of the analytic shapes, of one of five sizes; which one follows from its key."""
+    """Each supplier has one of the analytic shapes, of one of five sizes; which one follows from its key."""
     f, e = analytic.tables(spark, _parts())
-    own = F.element_at(F.array(*[F.lit(k) for k in PARTS]), (F.col("p_partkey") % len(PARTS) + 1).cast("int"))
-    parts = read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("own"), F.concat_ws("-", F.lit("part"), own, (F.col("p_partkey") % 5).cast("string")).alias("sample_id"))
+    own = F.element_at(F.array(*[F.lit(k) for k in PARTS]), (F.col("s_suppkey") % len(PARTS) + 1).cast("int"))
+    parts = read(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("own"), F.concat_ws("-", F.lit("part"), own, (F.col("s_suppkey") % 5).cast("string")).alias("sample_id"))
     of = lambda t: parts.join(F.broadcast(t), "sample_id").drop("sample_id").withColumnRenamed("own", "sample_id").select(*t.columns)  # noqa: E731  # as many rows as the shapes have, always
     found = recognize.recognize(of(f), of(e))
     return found.select("sample_id", "feature_id", "feature_type", F.size("face_indices").alias("faces"), "confidence")
