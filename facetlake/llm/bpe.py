@@ -259,14 +259,14 @@ class Encoder:
         coded = self.encode_words([*(b" " + p.encode() for p in plain), *(w.encode() for w in new)])
         own = dict(zip(plain, coded, strict=False))
         words.update(zip(new, coded[len(plain) :], strict=True))
-        coded = [*own.values(), *((own[p[:-1]] if p[:-1] in own else self.ids_of(p[:-1])) + words[p[-1]] for p in ended), *(b"".join(map(words.__getitem__, x)) for x in split)]
+        held = list(stems.difference(own))  # stems that the table has already
+        flat, ends = gather(self.flat, self.piece_at, self.piece_n, np.fromiter(map(known.__getitem__, held), np.int64, len(held)))
+        raw, ends = flat.astype("<u4", copy=False).tobytes(), (4 * ends).tolist()
+        stem = own | dict(zip(held, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        coded = [*own.values(), *(stem[p[:-1]] + words[p[-1]] for p in ended), *(b"".join(map(words.__getitem__, x)) for x in split)]
         at, n = _places(coded)
         self._number([*own, *ended, *other], np.frombuffer(b"".join(coded), "<u4"), at // 4, n // 4)
 
-    def ids_of(self, piece: str | bytes | int) -> bytes:
-        k = self.index[piece]
-        return self.flat[self.piece_at[k] : self.piece_at[k] + self.piece_n[k]].astype("<u4").tobytes()
-
     def cut(self, text: str) -> list[str | bytes]:
         """Pieces that are encoded independently: the first as bytes, the others as text without the space before them. Where white space follows a space there is no cut."""
         if not text:
@@ -298,7 +298,7 @@ class Encoder:
         """The ids of all texts, one behind the other, and where each text's end."""
         cut = pc.split_pattern(texts, " ")
         places, numbered = cut.offsets.to_numpy().astype(np.int64), cut.values.dictionary_encode()
-        names, which = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        names, which = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()  # no scalar for each name on the way
         numbers = self._known(names)
         # No cut precedes an empty piece or one that starts with white space, so its text is cut anew; so is one with a special token.
         own = (numbers == ODD)[which]
