@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from itertools import count, repeat
+from itertools import count
 
 import numpy as np
 from pyspark.sql import DataFrame
