@@ -32,6 +32,9 @@ def test_containment_with_keys_and_empty_sides(spark):
     p = spark.createDataFrame([("a", 1), ("a", 9), ("b", 1), (None, 1)], "g string, at long")
     r = spark.createDataFrame([("a", 0, 5, "x"), ("b", 2, 9, "y"), ("a", 9, 10, "z"), ("c", 0, 99, "w"), (None, 0, 9, "v")], "g string, low long, high long, name string")
     assert {(x.g, x["at"], x.name) for x in intervals.contained(p, r, "at", "low", "high", ("g",)).collect()} == {("a", 1, "x"), ("a", 9, "z")}
+    far = spark.createDataFrame([(0, 10, 1), (0, 2**62, 2), (-(2**62), 5, 3), (999, 1000, 4)] + [(i, i + 2, 5) for i in range(1000)], "low long, high long, k long")
+    counts = intervals.contained(spark.range(1000).withColumnRenamed("id", "at"), far, "at", "low", "high", rows_per_cell=100).groupBy("k").count()
+    assert {r.k: r["count"] for r in counts.collect()} == {1: 10, 2: 1000, 3: 5, 4: 1, 5: 1999}
     assert intervals.contained(p.limit(0), r, "at", "low", "high").drop("g").collect() == [] == intervals.contained(p, r.limit(0).drop("g"), "at", "low", "high").collect()
 
 
