@@ -29,11 +29,12 @@ def near_duplicate_pairs(distinct: DataFrame, relative: float = NEAR_RELATIVE) -
     """(a, b), a < b, of distinct signatures within tolerance.
 
     Volumes and areas fall into logarithmic bands a little wider than the tolerance, so matches are in the same or the next band of each;
-    one side stands in the nine bands around its own, and the join is a hash join on both. Values of zero or less have a band of their own by sign,
-    where only equal values can match.
+    one side stands in the nine bands around its own, and the join is a hash join on both. Negative values have bands of their own in the
+    same way, as no tolerance reaches over zero, and zero matches zero alone.
     """
     width = 1.01 * -math.log1p(-relative)
-    band = lambda v: F.when(v > 0, F.floor(F.log(v) / width)).otherwise(F.lit(-(1 << 40)))
+    size = lambda v: F.floor(F.log(F.abs(v)) / width)
+    band = lambda v: F.when(v > 0, size(v)).when(v < 0, (1 << 40) + size(v)).otherwise(F.lit(-(1 << 40)))  # noqa: E731  # sizes are far smaller than 2^40
     rows = distinct.select("part", F.struct("volume", "area", "dims").alias("s"), band(F.col("volume")).alias("kv"), band(F.col("area")).alias("ka"))
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     left = rows.withColumn("d", F.explode(steps)).select(F.col("part").alias("a"), F.col("s").alias("sa"), (F.col("kv") + F.col("d.i")).alias("kv"), (F.col("ka") + F.col("d.j")).alias("ka"))

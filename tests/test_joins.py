@@ -131,3 +131,16 @@ def test_percentiles_of_groups_large_and_small(spark):
         want = (round(float(np.percentile(s, 50)), 6), round(float(np.percentile(s, 95)), 6), round(max(s), 6), len(s)) if s else (None, None, None, 0)
         assert got[k] == pytest.approx(want, abs=2e-6), k
     assert statistics.median(values["two"]) == got["two"][0]
+
+
+def test_near_duplicates_of_any_sign(spark):
+    from facetlake.operators import near_duplicates
+
+    rng = random.Random(9)
+    value = lambda: rng.choice([0.0, 1.0, -1.0, 1.0015, -1.0015, 0.999, -50.0, -50.05, 1e-12, -1e-12, 1e9, 1.001e9])
+    parts = [(i, value(), value(), [1.0, 2.0, rng.choice([3.0, 3.2])]) for i in range(150)]
+    distinct = near_duplicates.signatures(spark.createDataFrame(parts, "id long, v double, a double, d array<double>"), "id", F.col("v"), F.col("a"), F.col("d"))
+    rows = [(r.part, r.volume, r.area) for r in distinct.collect()]
+    close = lambda x, y: abs(x - y) <= 2e-3 * max(abs(x), abs(y))
+    want = {(a, b) for a, v, x in rows for b, w, y in rows if a < b and close(v, w) and close(x, y)}
+    assert {tuple(r) for r in near_duplicates.near_duplicate_pairs(distinct).collect()} == want and want
