@@ -144,3 +144,17 @@ def test_near_duplicates_of_any_sign(spark):
     close = lambda x, y: abs(x - y) <= 2e-3 * max(abs(x), abs(y))
     want = {(a, b) for a, v, x in rows for b, w, y in rows if a < b and close(v, w) and close(x, y)}
     assert {tuple(r) for r in near_duplicates.near_duplicate_pairs(distinct).collect()} == want and want
+
+
+def test_crowded_cells_are_split_by_pairs(spark, monkeypatch):
+    """A cell of few points and many ranges is split too, and whole-numbered ranges that end with a cell stay out of the next one; no row is lost."""
+    monkeypatch.setattr(intervals, "PAIRS", 1 << 10)
+    monkeypatch.setattr(intervals, "LEAST_POINTS", 8)
+    points = spark.range(200).select((F.col("id") % 10).alias("at"), F.col("id").alias("i"), F.lit("g").alias("g"))
+    ranges = spark.range(300).select(F.lit(0).cast("long").alias("low"), F.lit(10).cast("long").alias("high"), F.col("id").alias("k"), F.lit("g").alias("g"))
+    assert intervals.hot_parts(points, ranges, ["g"], 1 << 20).first()._parts == 25
+    assert intervals.hot_parts(points, ranges.limit(1), ["g"], 1 << 20).isEmpty()
+    for keys, r in (((), ranges.drop("g")), (("g",), ranges)):
+        found = intervals.contained(points, r, "at", "low", "high", keys)
+        assert found.count() == found.select("i", "k").distinct().count() == 60_000
+        assert "_salt" in found._jdf.queryExecution().optimizedPlan().toString()
