@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from facetlake.functions import vectors as v
 from facetlake.functions.prefix import running_total
+from facetlake.functions.storage import materialize
 from facetlake.operators.intervals import contained
 
 
@@ -70,8 +71,9 @@ def sample_segments(segments: DataFrame, counts: DataFrame, seed: int = 1234) ->
     length get no point, a face whose boundary has none gets no points.
     """
     keys = ["sample_id", "face_idx"]
-    upto = running_total(segments.select(*keys, "seg_idx", F.col("steps").cast("long").alias("steps")), keys, "seg_idx", "steps", "high").withColumn("low", F.col("high") - F.col("steps"))
-    whole = segments.groupBy(*keys).agg(F.sum(F.col("steps").cast("long")).alias("whole"))
+    segments = materialize(segments.select(*keys, "seg_idx", F.col("steps").cast("long").alias("steps")), "segments")
+    upto = running_total(segments, keys, "seg_idx", "steps", "high").withColumn("low", F.col("high") - F.col("steps"))
+    whole = segments.groupBy(*keys).agg(F.sum("steps").alias("whole"))
     wanted = counts.where("n > 0").join(whole, keys).where("whole > 0").select(*keys, "whole", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("k"))
     number = v.hash_uniform(F.lit(f"{seed}|b"), F.col("sample_id").cast("string"), F.col("face_idx").cast("string"), F.col("k").cast("string"))
     wanted = wanted.withColumn("step", F.floor(number * F.col("whole")).cast("long"))
