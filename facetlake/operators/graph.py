@@ -6,25 +6,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.functions.constants import GRAPH_SURFACES
+from facetlake.functions.storage import materialize, spread
 
 KEYS = ("sample_id",)
 
 
-def adjacent_pairs(face_edge: DataFrame) -> DataFrame:
-    """(sample_id, src, dst, edge_idx): ordered pairs of different faces that share an edge, from rows (sample_id, face_idx, edge_idx)."""
+def adjacent_pairs(face_edge: DataFrame, half: bool = False) -> DataFrame:
+    """(sample_id, src, dst, edge_idx): ordered pairs of different faces that share an edge, from rows (sample_id, face_idx, edge_idx); ``half`` leaves those with src < dst."""
     a = face_edge.select("sample_id", "edge_idx", F.col("face_idx").alias("src")).distinct()
     b = a.withColumnRenamed("src", "dst")
-    return a.join(b, ["sample_id", "edge_idx"]).where("src <> dst")
+    return a.join(b, ["sample_id", "edge_idx"]).where("src < dst" if half else "src <> dst")
 
 
-def pair_features(pairs: DataFrame, edges: DataFrame, face_edge: DataFrame) -> DataFrame:
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """Rows with src and dst, and each again with the two turned round."""
+    ways = F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    return pairs.withColumn("_way", ways).withColumns({"src": F.col("_way.src"), "dst": F.col("_way.dst")}).drop("_way")
+
+
+def adjacent_faces(face_edge: DataFrame) -> DataFrame:
+    """(sample_id, src, dst): the ordered pairs of adjacent faces, once each. They are made distinct as unordered pairs, which is half the rows to move and to hold, in as many tasks as the input asks for."""
+    rows = materialize(face_edge.select("sample_id", "face_idx", "edge_idx").distinct(), "face_edge")
+    pairs = adjacent_pairs(rows, half=True).select("sample_id", "src", "dst")
+    return both_ways(spread(pairs, rows.count(), "sample_id", "src", "dst").distinct())
+
+
+def _unordered(arcs: DataFrame) -> DataFrame:
+    """Adds ``low`` and ``high``, an arc's ends in order (null first), and whether it is ``turned``."""
+    turned = F.coalesce(F.col("src") > F.col("dst"), F.col("dst").isNull() & F.col("src").isNotNull())
+    return arcs.withColumns({"low": F.when(turned, F.col("dst")).otherwise(F.col("src")), "high": F.when(turned, F.col("src")).otherwise(F.col("dst")), "turned": turned})
+
+
+def one_way(arcs: DataFrame, rows: int = 0) -> DataFrame:
+    """(sample_id, low, high): ends of which an arc leads one way and none the other; both directions meet in one grouping. An arc may be there several times; ``rows`` says about how many there are, for the number of tasks."""
+    back = F.col("turned") | F.col("src").eqNullSafe(F.col("dst"))
+    ways = spread(_unordered(arcs), rows, "sample_id", "low", "high").groupBy("sample_id", "low", "high").agg(F.max(~F.col("turned")).alias("there"), F.max(back).alias("back"))
+    return ways.where("there <> back").select("sample_id", "low", "high")
+
+
+def pair_features(pairs: DataFrame, edges: DataFrame, face_edge: DataFrame, half: bool = False) -> DataFrame:
     """Per ordered pair: number and length of shared edges, the share of the source's boundary, and the longest edge (of equals the one with the smallest index) with its class and angle over 180, where 0 or none counts as 180.
 
     The class and the curve also stand as indicators (``is_convex`` to ``is_bent``), which with angle, share and number are the ten features of a pair.
+    With ``half`` the pairs have src < dst and stand for both directions, which are only told apart once the edges of a pair are summed up.
     """
-    total = face_edge.select("sample_id", "face_idx", "edge_idx").distinct().join(edges.select("sample_id", "edge_idx", "length_mm"), ["sample_id", "edge_idx"]).groupBy("sample_id", F.col("face_idx").alias("src")).agg(F.sum("length_mm").alias("boundary"))
+    own = materialize(face_edge.select("sample_id", "face_idx", "edge_idx").distinct(), "face_edge")
+    total = own.join(edges.select("sample_id", "edge_idx", "length_mm"), ["sample_id", "edge_idx"]).groupBy("sample_id", F.col("face_idx").alias("src")).agg(F.sum("length_mm").alias("boundary"))
     longest = F.max_by(F.struct("edge_idx", "convexity", "dihedral_angle_deg", "curve_type"), F.struct("length_mm", -F.col("edge_idx")))
-    found = pairs.join(edges, ["sample_id", "edge_idx"]).groupBy("sample_id", "src", "dst").agg(F.count(F.lit(1)).alias("n_shared"), F.sum("length_mm").alias("shared_length"), longest.alias("main"))
+    # Few pairs share several edges, so rows are dealt as they are: partial sums would be nearly as many, and wider.
+    found = spread(pairs.join(edges, ["sample_id", "edge_idx"]), own.count(), "sample_id", "src", "dst").groupBy("sample_id", "src", "dst").agg(F.count(F.lit(1)).alias("n_shared"), F.sum("length_mm").alias("shared_length"), longest.alias("main"))
+    found = both_ways(found) if half else found
     angle = F.when(F.coalesce(F.col("main.dihedral_angle_deg"), F.lit(0.0)) == 0, 180.0).otherwise(F.col("main.dihedral_angle_deg")) / 180
     share = F.when(F.col("boundary") > 0, F.col("shared_length") / F.col("boundary")).otherwise(0.0)
     return found.join(total, ["sample_id", "src"]).select("sample_id", "src", "dst", "n_shared", "shared_length", F.col("main.edge_idx").alias("main_edge"), F.col("main.convexity").alias("convexity"), F.col("main.curve_type").alias("curve_type"), angle.alias("angle"), share.alias("shared_fraction"), *[c.cast("float").alias(k) for k, c in _indicators(F.col("main.convexity"), F.col("main.curve_type")).items()])
@@ -53,7 +84,7 @@ def node_features(faces: DataFrame, face_edge: DataFrame, edges: DataFrame, boxe
     d = F.col("dims")
     half = F.sqrt(d["x"] * d["x"] + d["y"] * d["y"] + d["z"] * d["z"]) / 2
     sized = faces.join(boxes.withColumn("scale", F.when(half > 0, half).otherwise(1.0)), "sample_id")
-    degree = adjacent_pairs(face_edge).groupBy("sample_id", F.col("src").alias("face_idx")).agg(F.countDistinct("dst").alias("degree"))
+    degree = adjacent_faces(face_edge).groupBy("sample_id", F.col("src").alias("face_idx")).agg(F.count(F.lit(1)).alias("degree"))
     rows = sized.join(convexity_fractions(face_edge, edges), ["sample_id", "face_idx"], "left").join(degree, ["sample_id", "face_idx"], "left")
     p, c, n = F.col("analytic_params"), F.col("curvature"), F.col("normal_at_centroid")
     radius = F.coalesce(p["radius"], p["minor_radius"], p["ref_radius"], F.lit(0.0))
@@ -89,14 +120,16 @@ def invariants(faces: DataFrame, pairs: DataFrame, nodes: DataFrame, face_edge:
     per_face = faces.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"), F.min("face_idx").alias("low"), F.max("face_idx").alias("high"), F.countDistinct("face_idx").alias("different"))
     per_node = nodes.groupBy("sample_id").agg(F.count(F.lit(1)).alias("nodes"), F.max(F.exists(F.array(*[F.col(c) for c, t in nodes.dtypes if t in ("float", "double")]), lambda x: F.isnan(x) | x.isNull())).alias("bad"))
     wanted = adjacent_pairs(face_edge).select("sample_id", "src", "dst")
-    # Arcs, arcs turned round and the topology's pairs are counted together: one grouping tells what is missing, too much, twice or one way.
-    is_ = lambda a, b, c: [F.lit(x).alias(n) for x, n in ((a, "have"), (b, "back"), (c, "want"))]
-    every = arcs.select("*", *is_(1, 0, 0)).unionAll(arcs.select("sample_id", "dst", "src", *is_(0, 1, 0))).unionAll(wanted.select("*", *is_(0, 0, 1)))
-    counts = every.groupBy("sample_id", "src", "dst").agg(*[F.sum(n).alias(n) for n in ("have", "back", "want")])
-    have, want = F.col("have"), F.col("want")
+    # Arcs and the topology's pairs are counted together by their unordered ends, each way for itself: one grouping tells what is missing, too much, twice or one way.
+    every = _unordered(arcs.withColumn("wanted", F.lit(False)).unionAll(wanted.withColumn("wanted", F.lit(True))))
+    ways = {n: F.count_if(w & (F.col("turned") == t)).alias(n) for n, w, t in (("have", ~F.col("wanted"), False), ("back", ~F.col("wanted"), True), ("want", F.col("wanted"), False), ("want_back", F.col("wanted"), True))}
+    counts = every.groupBy("sample_id", "low", "high").agg(*ways.values())
+    have, back, want, want_back = (F.col(n) for n in ways)
+    here, loop = have + back > 0, F.col("low").eqNullSafe(F.col("high"))
+    each = lambda f: F.sum(f(have, want).cast("int") + f(back, want_back).cast("int"))
     found = counts.groupBy("sample_id").agg(
-        F.sum("have").alias("arcs"), F.min(F.when(have > 0, F.least("src", "dst"))).alias("least"), F.max(F.when(have > 0, F.greatest("src", "dst"))).alias("most"), F.sum(F.when(F.col("src") == F.col("dst"), have)).alias("loops"),
-        F.count_if(have > 1).alias("twice"), F.sum(F.greatest(have - F.col("back"), F.lit(0))).alias("one_way"), F.count_if((want > 0) & (have == 0)).alias("missing"), F.count_if((want == 0) & (have > 0)).alias("surplus"),
+        F.sum(have + back).alias("arcs"), F.min(F.when(here, F.least("low", "high"))).alias("least"), F.max(F.when(here, F.greatest("low", "high"))).alias("most"), F.sum(F.when(F.col("low") == F.col("high"), have)).alias("loops"),
+        each(lambda h, w: h > 1).alias("twice"), F.sum(F.when(loop, 0).otherwise(F.abs(have - back))).alias("one_way"), each(lambda h, w: (w > 0) & (h == 0)).alias("missing"), each(lambda h, w: (w == 0) & (h > 0)).alias("surplus"),
     )
     rows = per_face
     for other in (per_node, found):

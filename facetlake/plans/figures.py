@@ -23,7 +23,7 @@ def face_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers as faces, each with the types of the faces around it."""
     face_edge, _ = topology(spark, d)
     own = supplier_faces(spark, d)
-    pairs = graph.adjacent_pairs(face_edge).select("sample_id", F.col("src").alias("face_idx"), F.col("dst").alias("other")).distinct()
+    pairs = graph.adjacent_faces(face_edge).select("sample_id", F.col("src").alias("face_idx"), F.col("dst").alias("other"))
     around = pairs.join(own.select("sample_id", F.col("face_idx").alias("other"), F.col("surface_type").alias("neighbour_type")), ["sample_id", "other"])
     p = F.col("analytic_params")
     params = F.struct(p["radius"], p["major_radius"], p["minor_radius"], p["ref_radius"], F.lit(None).cast("double").alias("semi_angle_rad"))

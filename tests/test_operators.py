@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -505,3 +506,51 @@ def test_scratch_tables_need_a_shared_folder_on_clusters(spark):
                 shared_root(fake)
         else:
             assert shared_root(fake)
+
+
+def test_arcs_are_told_apart_by_unordered_ends(spark):
+    """Adjacent faces come once each way; one-way arcs, repeats, loops, missing and surplus arcs are found in one grouping."""
+    rows = spark.createDataFrame([("p", f, e) for f, e in ((0, 0), (1, 0), (2, 1), (1, 1), (0, 2), (1, 2), (1, 2), (None, 0), (3, 3))], "sample_id string, face_idx int, edge_idx int")
+    assert sorted((r.src, r.dst) for r in graph.adjacent_faces(rows).collect()) == [(0, 1), (1, 0), (1, 2), (2, 1)]
+    assert {(r.src, r.dst, r.edge_idx) for r in graph.adjacent_pairs(rows, half=True).collect()} == {(0, 1, 0), (0, 1, 2), (1, 2, 1)}
+    arcs = lambda *x: spark.createDataFrame([("p", *a) for a in x], "sample_id string, src int, dst int")
+    assert [(r.low, r.high) for r in graph.one_way(arcs((1, 0), (0, 1), (1, 0), (2, 1), (3, 3))).collect()] == [(1, 2)]
+    faces, nodes = spark.createDataFrame([("p", i) for i in range(3)], "sample_id string, face_idx int"), spark.createDataFrame([("p", i, 1.0) for i in range(3)], "sample_id string, face_idx int, x double")
+    of = lambda a: graph.invariants(faces, a, nodes, rows).select("ends_in_range", "no_loops", "symmetric", "same_as_topology").first()
+    whole = ((0, 1), (1, 0), (1, 2), (2, 1))
+    assert tuple(of(arcs(*whole))) == (True, True, True, True)
+    assert tuple(of(arcs(*whole[:3]))) == (True, True, False, False)
+    assert tuple(of(arcs(*whole, (1, 0)))) == (True, True, False, True)
+    assert tuple(of(arcs(*whole, (1, 1)))) == (True, False, True, False)
+    assert tuple(of(arcs(*whole, (0, 2), (2, 0)))) == (True, True, True, False)
+    edges = spark.createDataFrame([("p", e, float(e + 1), "convex", 90.0, "line") for e in range(4)], "sample_id string, edge_idx int, length_mm double, convexity string, dihedral_angle_deg double, curve_type string")
+    both = graph.pair_features(graph.adjacent_pairs(rows), edges, rows)
+    half = graph.pair_features(graph.adjacent_pairs(rows, half=True), edges, rows, half=True)
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, half.select(*both.columns).collect())) and half.count() == 4
+    assert graph.adjacent_faces(rows)._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+
+
+def test_boxes_of_triangles_are_drawn_together(spark):
+    """In blocks of any size the buffers are those of one triangle after another; of equal depths the first wins."""
+    rng = np.random.default_rng(4)
+    corners = rng.normal(0, 1, (60, 3, 3))
+    corners[20] = corners[7]
+    cam = raster.camera(1, np.zeros(3), 1.5)
+    owner, depth = raster.rasterize(corners, cam, 48)
+    for most in (1, 700):
+        again = raster.rasterize(corners, cam, 48, most=most)
+        assert (again[0] == owner).all() and (again[1] == depth).all()
+    want, far = np.full((48, 48), -1), np.full((48, 48), np.inf)
+    for t in range(60):
+        own, d = raster.rasterize(corners[t : t + 1], cam, 48)
+        nearer = (own >= 0) & (d < far)
+        want[nearer], far[nearer] = t, d[nearer]
+    assert (want == owner).all() and (far == depth).all() and 20 not in owner
+
+
+def test_components_send_no_table_through_the_driver(spark):
+    """However small the minima are, no join of the rounds broadcasts them."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    found = connected_components(edges)
+    assert {r.component for r in found.collect()} == {0}
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
