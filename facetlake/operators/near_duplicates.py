@@ -39,14 +39,14 @@ def near_duplicate_pairs(distinct: DataFrame, relative: float = NEAR_RELATIVE) -
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     left = rows.withColumn("d", F.explode(steps)).select(F.col("part").alias("a"), F.col("s").alias("sa"), (F.col("kv") + F.col("d.i")).alias("kv"), (F.col("ka") + F.col("d.j")).alias("ka"))
     right = rows.select(F.col("part").alias("b"), F.col("s").alias("sb"), "kv", "ka")
-    return left.join(right, ["kv", "ka"]).where((F.col("a") < F.col("b")) & is_near(F.col("sa"), F.col("sb"), relative)).select("a", "b")
+    return left.join(right.hint("merge"), ["kv", "ka"]).where((F.col("a") < F.col("b")) & is_near(F.col("sa"), F.col("sb"), relative)).select("a", "b")
 
 
 def near_duplicate_clusters(parts: DataFrame, part: str, volume: Column, area: Column, dims: Column) -> DataFrame:
     """(part, cluster) of parts in clusters of two and more; the cluster is its smallest part. Equal signatures join without pairs."""
     distinct = materialize(signatures(parts, part, volume, area, dims), "signatures")
     linked = connected_components(near_duplicate_pairs(distinct))
-    heads = distinct.join(linked, distinct["part"] == linked["node"], "left").select("volume", "area", "dims", F.coalesce("component", "part").alias("cluster"), "members", F.col("component").isNotNull().alias("linked"))
+    heads = distinct.join(linked.hint("merge"), distinct["part"] == linked["node"], "left").select("volume", "area", "dims", F.coalesce("component", "part").alias("cluster"), "members", F.col("component").isNotNull().alias("linked"))
     heads = materialize(heads.where("linked or members > 1"), "heads")
     rows = parts.select(F.col(part).alias("part"), volume.cast("double").alias("volume"), area.cast("double").alias("area"), F.array_sort(dims.cast("array<double>")).alias("dims"))
-    return rows.join(heads, ["volume", "area", "dims"]).select("part", "cluster")
+    return rows.join(heads.hint("merge"), ["volume", "area", "dims"]).select("part", "cluster")
