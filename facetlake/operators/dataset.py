@@ -21,7 +21,7 @@ def eligibility(samples: DataFrame, ok_status: Column, same_version: Column, has
     own = samples.withColumns({"_status": ok_status, "_version": same_version, "_truth": F.coalesce(has_truth, F.lit(False)), "_complete": complete})
     passes = F.col("_status") & F.col("_version") & F.col("_truth") & F.col("_complete")
     first = materialize(own.where(passes).groupBy("content").agg(F.min("sample_id").alias("_first")), "firsts")
-    joined = own.join(first, "content", "left")
+    joined = own.join(first.hint("merge"), "content", "left")
     reason = F.when(~F.col("_status"), "status").when(~F.col("_version"), "version_mismatch").when(F.col("sample_id") > F.col("_first"), F.concat(F.lit("exact_duplicate_of:"), F.col("_first").cast("string"))).when(~F.col("_truth"), "no_ground_truth").when(~F.col("_complete"), "missing_artifacts").otherwise("ok")
     return joined.withColumn("reason", reason).drop("_status", "_version", "_truth", "_complete", "_first")
 
@@ -36,7 +36,7 @@ def split_units(samples: DataFrame, clusters: DataFrame) -> DataFrame:
 
     The unit of joined groups is the smallest of them.
     """
-    touched = samples.join(clusters, samples["sample_id"] == clusters["part"]).select("cluster", "design_group").distinct()
+    touched = samples.join(clusters.hint("merge"), samples["sample_id"] == clusters["part"]).select("cluster", "design_group").distinct()
     least = touched.groupBy("cluster").agg(F.min("design_group").alias("first"))
     joined = connected_components(touched.join(least, "cluster").select(F.col("design_group").alias("a"), F.col("first").alias("b")))
     joined = materialize(joined, "units").withColumnRenamed("node", "design_group")
@@ -88,7 +88,7 @@ def build(samples: DataFrame, clusters: DataFrame, seed: int = 7, mode: str = "g
     units = write(unit_families(included), "families", kept=F.count("family"))
     assigned = splits.split_by_family(units, seed) if mode == "family" else splits.split_by_group(units, seed)
     rows = write(included.join(assigned.select(F.col("unit").alias("split_unit"), "split"), "split_unit"), "samples", kept=F.count_if(F.col("split") == "train"))
-    crossing = splits.leakage(rows, "split_unit").unionAll(splits.leakage(rows, "content")).unionAll(splits.leakage(rows.join(clusters, rows["sample_id"] == clusters["part"]), F.col("cluster").cast("string")))
+    crossing = splits.leakage(rows, "split_unit").unionAll(splits.leakage(rows, "content")).unionAll(splits.leakage(rows.join(clusters.hint("merge"), rows["sample_id"] == clusters["part"]), F.col("cluster").cast("string")))
     if not crossing.isEmpty():
         raise ValueError("a unit, content or cluster crosses splits")
     excluded = samples.where(F.col("reason") != "ok").select("sample_id", "reason")
