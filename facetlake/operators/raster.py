@@ -22,7 +22,7 @@ def camera(view: int, centre: np.ndarray, radius: float, fov: float = FOV) -> di
     return {"eye": eye, "forward": -back, "right": right, "up": np.cross(right, -back)}
 
 
-def rasterize(corners: np.ndarray, cam: dict[str, np.ndarray], resolution: int, fov: float = FOV) -> tuple[np.ndarray, np.ndarray]:
+def rasterize(corners: np.ndarray, cam: dict[str, np.ndarray], resolution: int, fov: float = FOV, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """(triangle, depth) per pixel, -1 and infinity where there is none; corners are [triangle, 3, xyz].
 
     Depth runs along the view and is linear in one over itself across the image. Triangles seen from behind are drawn too; nearest wins, and of equals the first.
@@ -33,25 +33,31 @@ def rasterize(corners: np.ndarray, cam: dict[str, np.ndarray], resolution: int,
     focal = 1 / math.tan(math.radians(fov) / 2)
     px = (local[..., 0] / z * focal + 1) * resolution / 2 - 0.5
     py = (1 - local[..., 1] / z * focal) * resolution / 2 - 0.5
-    owner, depth = np.full((resolution, resolution), -1), np.full((resolution, resolution), np.inf)
+    owner, depth = np.full(resolution * resolution, -1), np.full(resolution * resolution, np.inf)
     area = (px[:, 1] - px[:, 0]) * (py[:, 2] - py[:, 0]) - (px[:, 2] - px[:, 0]) * (py[:, 1] - py[:, 0])
-    for t in np.flatnonzero((z > 1e-9).all(1) & (np.abs(area) > 1e-12)).tolist():
+    ahead = np.flatnonzero((z > 1e-9).all(1) & (np.abs(area) > 1e-12))
+    px, py, z, area = px[ahead], py[ahead], z[ahead], area[ahead]
+    box = lambda p: (np.clip(np.ceil(p.min(1)), 0, resolution).astype(int), np.clip(np.floor(p.max(1)), -1, resolution - 1).astype(int))
+    (c0, c1), (r0, r1) = box(px), box(py)
+    width = np.maximum(c1 - c0 + 1, 0)
+    size = width * np.maximum(r1 - r0 + 1, 0)  # pixels of each triangle's box; they are looked at together, so many triangles at a time that memory stays bounded
+    blocks = np.split(np.arange(len(ahead)), np.flatnonzero(np.diff((np.cumsum(size) - 1) // most)) + 1)
+    for block in blocks:
+        n = size[block]
+        t, k = np.repeat(block, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        gx, gy = c0[t] + k % np.maximum(width[t], 1), r0[t] + k // np.maximum(width[t], 1)
         x, y = px[t], py[t]
-        c0, c1 = max(0, math.ceil(x.min())), min(resolution - 1, math.floor(x.max()))
-        r0, r1 = max(0, math.ceil(y.min())), min(resolution - 1, math.floor(y.max()))
-        if c0 > c1 or r0 > r1:
-            continue
-        gx, gy = np.meshgrid(np.arange(c0, c1 + 1), np.arange(r0, r1 + 1))
-        w1 = ((gx - x[0]) * (y[2] - y[0]) - (x[2] - x[0]) * (gy - y[0])) / area[t]
-        w2 = ((x[1] - x[0]) * (gy - y[0]) - (gx - x[0]) * (y[1] - y[0])) / area[t]
+        w1 = ((gx - x[:, 0]) * (y[:, 2] - y[:, 0]) - (x[:, 2] - x[:, 0]) * (gy - y[:, 0])) / area[t]
+        w2 = ((x[:, 1] - x[:, 0]) * (gy - y[:, 0]) - (gx - x[:, 0]) * (y[:, 1] - y[:, 0])) / area[t]
         w0 = 1 - w1 - w2
-        inside = (w0 >= -1e-9) & (w1 >= -1e-9) & (w2 >= -1e-9)
-        d = 1 / np.where(inside, w0 / z[t, 0] + w1 / z[t, 1] + w2 / z[t, 2], 1)
-        box = (slice(r0, r1 + 1), slice(c0, c1 + 1))
-        nearer = inside & (d < depth[box])
-        depth[box] = np.where(nearer, d, depth[box])
-        owner[box] = np.where(nearer, t, owner[box])
-    return owner, depth
+        inside = np.flatnonzero((w0 >= -1e-9) & (w1 >= -1e-9) & (w2 >= -1e-9))
+        t, place = t[inside], (gy * resolution + gx)[inside]
+        d = 1 / (w0[inside] / z[t, 0] + w1[inside] / z[t, 1] + w2[inside] / z[t, 2])
+        order = np.lexsort((d, place))  # stable: of equals the first triangle
+        best = order[np.flatnonzero(np.diff(place[order], prepend=-1))]
+        best = best[d[best] < depth[place[best]]]
+        depth[place[best]], owner[place[best]] = d[best], ahead[t[best]]
+    return owner.reshape(resolution, resolution), depth.reshape(resolution, resolution)
 
 
 def view_pixels(triangles: DataFrame, n_views: int = N_VIEWS, resolution: int = RESOLUTION) -> DataFrame:
@@ -69,8 +75,9 @@ def view_pixels(triangles: DataFrame, n_views: int = N_VIEWS, resolution: int =
             owner, depth = rasterize(corners, camera(view, (low + high) / 2, float(np.linalg.norm(high - low)) / 2 or 1.0), resolution)
             r, c = np.nonzero(owner >= 0)
             t = owner[r, c]
-            out.append(pd.DataFrame({"sample_id": pdf["sample_id"].iloc[0], "view": view, "row": r, "col": c, "depth": depth[r, c], "face_idx": faces[t], "nx": normals[t, 0], "ny": normals[t, 1], "nz": normals[t, 2]}))
-        return pd.concat(out)
+            out.append((np.full(len(t), view), r, c, depth[r, c], faces[t], normals[t, 0], normals[t, 1], normals[t, 2]))
+        columns = dict(zip(("view", "row", "col", "depth", "face_idx", "nx", "ny", "nz"), map(np.concatenate, zip(*out, strict=True)), strict=True))
+        return pd.DataFrame({"sample_id": pdf["sample_id"].iloc[0]} | columns, index=np.arange(len(columns["view"])))
 
     return triangles.groupBy("sample_id").applyInPandas(run, "sample_id string, view int, row int, col int, depth double, face_idx int, nx double, ny double, nz double")
 
