@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from facetlake.functions.storage import spread
+
 N_VIEWS, RESOLUTION, FOV, ELEVATION = 6, 256, 35.0, 30.0
 
 
@@ -79,7 +81,8 @@ def view_pixels(triangles: DataFrame, n_views: int = N_VIEWS, resolution: int =
         columns = dict(zip(("view", "row", "col", "depth", "face_idx", "nx", "ny", "nz"), map(np.concatenate, zip(*out, strict=True)), strict=True))
         return pd.DataFrame({"sample_id": pdf["sample_id"].iloc[0]} | columns, index=np.arange(len(columns["view"])))
 
-    return triangles.groupBy("sample_id").applyInPandas(run, "sample_id string, view int, row int, col int, depth double, face_idx int, nx double, ny double, nz double")
+    # Dealt by number: by their few bytes AQE would put all parts, which are long work, into one task.
+    return spread(triangles, 0, "sample_id").groupBy("sample_id").applyInPandas(run, "sample_id string, view int, row int, col int, depth double, face_idx int, nx double, ny double, nz double")
 
 
 def pixel_counts(pixels: DataFrame) -> DataFrame:
