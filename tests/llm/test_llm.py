@@ -725,6 +725,36 @@ def test_a_phrase_in_every_document_is_no_one_bucket_s_work(spark):
     assert most[1 << 30] > 300 and most[50] < 120
 
 
+def test_substring_dedup_moves_little(spark):
+    """Copies of whole texts send no segments, windows of hot anchors send their hash alone, and texts are moved once; nulls, repeated ids and short copies too."""
+    rng = random.Random(13)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    phrase = min((text(30) for _ in range(500)), key=lambda p: suffix_dedup._substring_hashes(np.frombuffer(p.encode(), np.uint8), suffix_dedup.ANCHOR).min())
+    once = [(i, text(60) + phrase + text(60)) for i in range(100)] + [(100, "short"), (101, ""), (102, None)]
+    rows = [(i + 200 * k, t or "") for k in range(6) for i, t in once] + [(None, once[7][1]), (8, once[9][1]), (8, text(200)), (5000, once[8][1]), (5000, once[8][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want, columns = brute_strings(rows), ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    for some in (frame, frame.where("doc_id < 5000 and doc_id <> 8")):  # with ids that repeat, and without
+        got = suffix_dedup.substring_dedup(some, hot_documents=20)
+        got.collect()
+        assert got._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 2
+    assert sorted_rows(suffix_dedup.substring_dedup(frame, hot_documents=20), *columns) == want
+    named, copies, total = suffix_dedup._named(frame, "doc_id", "text")
+    assert copies.count() == 5 * 100 + 1 + 1 + 2 and total == sum(len(t) for _, t in rows)  # the first of the null id's text, the eighth's that the ninth has, and two rows of one id
+    alone = named.join(copies, F.col("row_key") == F.col("copy_key"), "left_anti")
+    held = alone.mapInArrow(suffix_dedup._send_anchors(256, 1), "bucket int, part int, ids binary, docs binary, which binary").groupBy("bucket").applyInArrow(suffix_dedup._shared_anchors(20), "row_key long, anchor int, hot long")
+    lists = held.groupBy("row_key").agg(F.collect_list("anchor").alias("shared"), F.collect_list("hot").alias("hot"))
+    sent = alone.join(lists, "row_key").select(F.col("row_key").alias("doc_key"), F.lit(0).alias("text_key"), "shared", "hot", "text").mapInArrow(suffix_dedup._send_segments(256), "bucket int, doc_key long, text_key long, ranges binary, anchors binary, docs binary, texts binary, which binary, starts binary, ends binary, bytes binary")
+    n, size = sent.agg(F.sum(F.octet_length("anchors") / 4), F.sum(F.octet_length("bytes"))).first()
+    assert n > 1000 and size <= 20 * n
+
+
+def test_packed_numbers():
+    for numbers in ([], [5], [-(1 << 63), (1 << 63) - 1, 0, -1], list(range(10**6, 10**6 + 5000, 3)), [random.Random(i).getrandbits(63) for i in range(100)]):
+        assert suffix_dedup._unpack(suffix_dedup._pack(np.array(numbers, np.int64))).tolist() == numbers
+    assert len(suffix_dedup._pack(np.arange(7, 40_007, 2))) < 200
+
+
 def test_index_interval_of_each_window():
     rng = random.Random(9)
     texts = ["".join(rng.choice("ab") for _ in range(60)).encode() for _ in range(5)] * 3
