@@ -158,3 +158,16 @@ def test_crowded_cells_are_split_by_pairs(spark, monkeypatch):
         found = intervals.contained(points, r, "at", "low", "high", keys)
         assert found.count() == found.select("i", "k").distinct().count() == 60_000
         assert "_salt" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_rows_that_make_many_pairs_are_dealt_over_tasks(spark, monkeypatch):
+    """Two thousand points and three hundred ranges are few bytes, but their pairs are made by as many tasks as the pairs ask for."""
+    monkeypatch.setattr(intervals, "PAIRS", 1 << 10)
+    monkeypatch.setattr(intervals, "LEAST_POINTS", 8)
+    points = spark.range(2000).select((F.col("id") % 10).alias("at"), F.col("id").alias("i"), F.lit("g").alias("g"))
+    ranges = spark.range(300).select(F.lit(0).cast("long").alias("low"), F.lit(10).cast("long").alias("high"), F.col("id").alias("k"), F.lit("g").alias("g"))
+    for keys, r in (((), ranges.drop("g")), (("g",), ranges)):
+        found = intervals.contained(points, r, "at", "low", "high", keys)
+        made = [x["count"] for x in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(made) == found.select("i", "k").distinct().count() == 600_000
+        assert len(made) > 20 and max(made) < 120_000
